@@ -70,9 +70,9 @@ def is_cross_currency(a, b) -> Column:
 
 
 def amount_log(amount) -> Column:
-    """ln(1 + max(amount, 0)); equal to log1p within an ulp for money amounts
-    and bit-identical to SQL engines that only offer ``ln``."""
-    return F.ln(F.lit(1.0) + F.greatest(col(amount), F.lit(0.0)))
+    """log1p(max(amount, 0)) (correctly rounded, so it equals a correctly
+    rounded ``ln(1 + x)`` wherever ``1 + x`` is exact)."""
+    return F.log1p(F.greatest(col(amount), F.lit(0.0)))
 
 
 def time_bucket(ts) -> Column:
