@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from txwatch import schemas as S
 from txwatch.functions import columns as C
 from txwatch.functions import rules as R
-from txwatch.operators.windows import BUCKET_COL, trailing_aggregates
+from txwatch.operators.windows import BUCKET_COL, bucket_index, trailing_aggregates
 
 HOUR = 3600
 DAY = 86400
@@ -63,7 +63,12 @@ def gold_features(silver: DataFrame, sender: str = "sender_account_masked",
     """
     velocity = sender_velocity(silver, sender=sender, bucket_seconds=bucket_seconds,
                                keep_bucket=True)
-    keyed = velocity.select(sender, BUCKET_COL, F.col("amount").cast(MONEY).alias("_amt"))
+    # Baseline from silver as partial aggregates per (sender, bucket): small
+    # tables, and the join back on (sender, bucket) matches the window's
+    # partitioning, so only the small side moves.
+    keyed = silver.select(
+        sender, bucket_index("timestamp", silver.schema["timestamp"].dataType, bucket_seconds),
+        F.col("amount").cast(MONEY).alias("_amt"))
     per_bucket = keyed.groupBy(sender, BUCKET_COL).agg(
         F.sum("_amt").alias("_s"), F.count("_amt").alias("_n"))
     per_sender = per_bucket.groupBy(sender).agg(

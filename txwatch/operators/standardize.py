@@ -62,10 +62,13 @@ def mark_duplicates(df: DataFrame, id_col: str = "transaction_id", chunk_col: st
     key is split by AQE, never gathered into one window task.
     """
     pos = F.struct(*[F.col(c) for c in order_cols])
-    firsts = df.groupBy(id_col, chunk_col).agg(F.min(pos).alias("_first_pos"))
+    # One exchange by (id, chunk) feeds both the aggregate and the join
+    # (the exchange is reused, so the input is computed once).
+    rows = df.repartition(id_col, chunk_col)
+    firsts = rows.groupBy(id_col, chunk_col).agg(F.min(pos).alias("_first_pos"))
     first_chunk = firsts.groupBy(id_col).agg(F.min(chunk_col).alias("_first_chunk"))
     marks = firsts.join(first_chunk, id_col)
-    j = df.join(marks, [id_col, chunk_col])
+    j = rows.join(marks, [id_col, chunk_col])
     reason = (F.when(pos != F.col("_first_pos"), F.lit("intra_chunk_duplicate"))
               .when(F.col(chunk_col) != F.col("_first_chunk"), F.lit("inter_chunk_duplicate")))
     return j.withColumn("dead_reason", reason).drop("_first_pos", "_first_chunk")

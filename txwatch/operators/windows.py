@@ -24,6 +24,14 @@ US = 1_000_000
 BUCKET_COL = "_tb"
 
 
+def bucket_index(ts_col: str, dtype, bucket_seconds: int) -> Column:
+    """Index of the ``bucket_seconds``-wide time bucket holding ``ts_col``
+    (same cut as ``trailing_aggregates`` uses), named ``BUCKET_COL``."""
+    us = epoch_micros(ts_col, dtype)
+    b = F.lit(bucket_seconds * US)
+    return ((us - F.pmod(us, b)) / b).cast("bigint").alias(BUCKET_COL)
+
+
 def trailing_aggregates(
     df: DataFrame,
     keys: Sequence[str],

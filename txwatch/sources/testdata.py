@@ -96,18 +96,17 @@ def ledger_bronze(spark: SparkSession, sf_dir: str, run_ts: str = DEFAULT_RUN_TS
     )
     if not with_copies:
         return base.withColumn("copy_no", F.lit(0))
-    # One pass: every row explodes into itself plus its copies (no re-scan).
+    # One pass, no re-scan: each row explodes into itself plus its copies
+    # (sequence + explode stays inside whole-stage codegen).
     okey = F.col("src_orderkey")
-    copies = F.array(
-        F.struct(F.col("chunk_id").alias("c"), F.lit(0).alias("n"), F.lit(True).alias("keep")),
-        F.struct((F.col("chunk_id") + 1).alias("c"), F.lit(1).alias("n"),
-                 (okey % INTER_COPY_EVERY == 0).alias("keep")),
-        F.struct(F.col("chunk_id").alias("c"), F.lit(2).alias("n"),
-                 (okey % INTRA_COPY_EVERY == 0).alias("keep")),
-    )
-    out = base.withColumn("_cp", F.explode(F.filter(copies, lambda x: x["keep"])))
-    return (out.withColumn("chunk_id", F.col("_cp.c"))
-            .withColumn("copy_no", F.col("_cp.n")).drop("_cp"))
+    inter = (okey % INTER_COPY_EVERY == 0).cast("int")
+    intra = (okey % INTRA_COPY_EVERY == 0).cast("int")
+    out = base.withColumn("_i", F.explode(F.sequence(F.lit(0), inter + intra)))
+    copy_no = (F.when(F.col("_i") == 0, F.lit(0))
+               .when((F.col("_i") == 1) & (inter == 1), F.lit(1)).otherwise(F.lit(2)))
+    out = out.withColumn("copy_no", copy_no)
+    return (out.withColumn("chunk_id", F.col("chunk_id") + (F.col("copy_no") == 1).cast("int"))
+            .drop("_i"))
 
 
 ORDINAL_COLUMNS = ("src_orderkey", "src_linenumber", "src_partkey", "src_suppkey", "copy_no")
