@@ -11,10 +11,14 @@ from txwatch import schemas as S
 from txwatch.functions import columns as C
 
 
+# Columns that order rows for dedup; carried through standardisation.
+BOOKKEEPING = ("chunk_id", "copy_no", "row_in_chunk")
+
+
 def standardize(bronze: DataFrame, with_format_in_id: bool = True) -> DataFrame:
     """Raw columns -> the 19 silver columns (plus any bookkeeping columns
     such as ``chunk_id`` and ordinals, which are carried through)."""
-    keep = [c for c in bronze.columns if c.startswith("src_") or c in ("chunk_id", "copy_no")]
+    keep = [c for c in bronze.columns if c.startswith("src_") or c in BOOKKEEPING]
     ts = C.parse_timestamp("Timestamp")
     src = F.col("source") if "source" in bronze.columns else F.lit(S.SOURCE_IBM)
     tx_id = C.transaction_id(
