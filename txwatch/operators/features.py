@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from txwatch import schemas as S
 from txwatch.functions import columns as C
 from txwatch.functions import rules as R
-from txwatch.operators.windows import BUCKET_COL, bucket_index, trailing_aggregates
+from txwatch.operators.sliding import auto_block_seconds, sliding_sums
 
 HOUR = 3600
 DAY = 86400
@@ -19,17 +19,22 @@ MONEY = "decimal(24,6)"
 
 def sender_velocity(df: DataFrame, sender: str = "sender_account_masked",
                     ts: str = "timestamp", frame_seconds: int = HOUR,
-                    bucket_seconds: int | None = None, keep_bucket: bool = False) -> DataFrame:
-    """``sender_tx_count_1h`` (rows in the trailing hour, peers included) and
-    ``sender_amount_sum_1h`` from one shared window."""
-    df = df.withColumn("_amt", F.col("amount").cast(MONEY))
-    out = trailing_aggregates(
+                    block_seconds: int | None = None) -> DataFrame:
+    """``sender_tx_count_1h`` (rows in the trailing hour, peers included),
+    ``sender_amount_sum_1h`` and the whole-sender baseline
+    ``sender_avg_amount``, all from one exchange by (sender, time block)."""
+    if block_seconds is None:
+        block_seconds = auto_block_seconds(df, [sender], ts, frame_seconds)
+    df = df.withColumns({"_amt": F.col("amount").cast(MONEY),
+                         "_amt_n": F.when(F.col("amount").isNotNull(), F.lit(1))})
+    out = sliding_sums(
         df, [sender], ts,
-        [("sender_tx_count_1h", frame_seconds, lambda: F.count(F.lit(1))),
-         ("_sum_1h", frame_seconds, lambda: F.sum("_amt"))],
-        value_cols=["_amt"], bucket_seconds=bucket_seconds, keep_bucket=keep_bucket)
-    return (out.withColumn("sender_amount_sum_1h", F.col("_sum_1h").cast("double"))
-            .drop("_sum_1h", "_amt"))
+        [("sender_tx_count_1h", frame_seconds, None), ("_sum_1h", frame_seconds, "_amt")],
+        block_seconds, totals=[("_tot_s", "_amt"), ("_tot_n", "_amt_n")])
+    return (out.withColumns({
+        "sender_amount_sum_1h": F.col("_sum_1h").cast("double"),
+        "sender_avg_amount": F.col("_tot_s").cast("double") / F.col("_tot_n").cast("double")})
+        .drop("_sum_1h", "_amt", "_amt_n", "_tot_s", "_tot_n"))
 
 
 def sender_baseline(df: DataFrame, sender: str = "sender_account_masked") -> DataFrame:
@@ -53,42 +58,33 @@ def rule_features(df: DataFrame) -> DataFrame:
 
 
 def gold_features(silver: DataFrame, sender: str = "sender_account_masked",
-                  bucket_seconds: int = DAY) -> DataFrame:
+                  block_seconds: int | None = None) -> DataFrame:
     """Silver -> the 28 gold columns.
 
-    One exchange by (sender, day bucket) feeds the 1h window; the sender
-    baseline is aggregated per (sender, bucket), rolled up per sender and
-    joined back on (sender, bucket), so the wide rows are shuffled once and
-    a hot sender stays split across its day buckets.
-    """
-    velocity = sender_velocity(silver, sender=sender, bucket_seconds=bucket_seconds,
-                               keep_bucket=True)
-    # Baseline from silver as partial aggregates per (sender, bucket): small
-    # tables, and the join back on (sender, bucket) matches the window's
-    # partitioning, so only the small side moves.
-    keyed = silver.select(
-        sender, bucket_index("timestamp", silver.schema["timestamp"].dataType, bucket_seconds),
-        F.col("amount").cast(MONEY).alias("_amt"))
-    per_bucket = keyed.groupBy(sender, BUCKET_COL).agg(
-        F.sum("_amt").alias("_s"), F.count("_amt").alias("_n"))
-    per_sender = per_bucket.groupBy(sender).agg(
-        (F.sum("_s").cast("double") / F.sum("_n").cast("double")).alias("sender_avg_amount"))
-    bucket_avg = per_bucket.select(sender, BUCKET_COL).join(per_sender, sender)
-    g = velocity.join(bucket_avg, [sender, BUCKET_COL], "left").drop(BUCKET_COL)
+    One exchange by (sender, time block) feeds the 1h window and a small
+    (sender, block) table feeds the baseline; the block is chosen so the
+    busiest block of the hottest sender stays bounded (see ``sliding``)."""
+    g = sender_velocity(silver, sender=sender, block_seconds=block_seconds)
     g = rule_features(g)
     g = g.withColumn("amount_vs_sender_avg", R.amount_vs_sender_avg())
     return g.select(*S.GOLD_COLUMNS)
 
 
 def long_window_features(df: DataFrame, sender: str = "sender_account_masked",
-                         ts: str = "timestamp") -> DataFrame:
-    """time_bucket, 7d and 30d trailing counts on unix seconds."""
-    df = df.withColumn("time_bucket", C.time_bucket(ts))
-    return trailing_aggregates(
+                         ts: str = "timestamp", block_seconds: int | None = None) -> DataFrame:
+    """time_bucket, 7d and 30d trailing counts of ids on unix seconds."""
+    if block_seconds is None:
+        block_seconds = auto_block_seconds(df, [sender], ts, 7 * DAY, also_divide=(30 * DAY,))
+    df = df.withColumns({"time_bucket": C.time_bucket(ts),
+                         "_id_n": F.when(F.col("transaction_id").isNotNull(), F.lit(1))})
+    out = sliding_sums(
         df, [sender], ts,
-        [("rolling_7d_tx_count", 7 * DAY, lambda: F.count("transaction_id")),
-         ("rolling_30d_tx_count", 30 * DAY, lambda: F.count("transaction_id"))],
-        value_cols=["transaction_id"], time_unit_seconds=1)
+        [("rolling_7d_tx_count", 7 * DAY, "_id_n"), ("rolling_30d_tx_count", 30 * DAY, "_id_n")],
+        block_seconds, time_unit_seconds=1)
+    return out.withColumns({
+        "rolling_7d_tx_count": F.coalesce(F.col("rolling_7d_tx_count").cast("bigint"), F.lit(0)),
+        "rolling_30d_tx_count": F.coalesce(F.col("rolling_30d_tx_count").cast("bigint"), F.lit(0)),
+    }).drop("_id_n")
 
 
 def amount_zscore(df: DataFrame, group: str = "payment_type") -> DataFrame:

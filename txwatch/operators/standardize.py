@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from txwatch import schemas as S
@@ -66,13 +66,14 @@ def mark_duplicates(df: DataFrame, id_col: str = "transaction_id", chunk_col: st
     key is split by AQE, never gathered into one window task.
     """
     pos = F.struct(*[F.col(c) for c in order_cols])
-    # One exchange by (id, chunk) feeds both the aggregate and the join
-    # (the exchange is reused, so the input is computed once).
-    rows = df.repartition(id_col, chunk_col)
-    firsts = rows.groupBy(id_col, chunk_col).agg(F.min(pos).alias("_first_pos"))
-    first_chunk = firsts.groupBy(id_col).agg(F.min(chunk_col).alias("_first_chunk"))
-    marks = firsts.join(first_chunk, id_col)
-    j = rows.join(marks, [id_col, chunk_col])
+    # The aggregate branch reads only id, chunk and ordinal columns (pruned
+    # scan) and combines map-side before its small shuffle; the rows move
+    # once, in the join.
+    firsts = df.groupBy(id_col, chunk_col).agg(F.min(pos).alias("_first_pos"))
+    # first chunk per id over the small (id, chunk) table (a hot id has one
+    # row per chunk here), without deriving the table a second time
+    marks = firsts.withColumn("_first_chunk", F.min(chunk_col).over(Window.partitionBy(id_col)))
+    j = df.join(marks, [id_col, chunk_col])
     reason = (F.when(pos != F.col("_first_pos"), F.lit("intra_chunk_duplicate"))
               .when(F.col(chunk_col) != F.col("_first_chunk"), F.lit("inter_chunk_duplicate")))
     return j.withColumn("dead_reason", reason).drop("_first_pos", "_first_chunk")
