@@ -7,8 +7,8 @@ For a frame of ``f`` time units and blocks of ``W`` units (``W`` divides
   inside the ``(key, block)`` partition;
 * rows of the block exactly ``f`` earlier with time ``>= t - f``: those
   rows are copied once, as narrow context rows, into the partition ``f/W``
-  blocks later, where a ``RANGE [-f, unbounded following]`` frame over the
-  context rows counts them;
+  blocks later, and counted as (all context rows) - (context rows up to
+  ``t - f - 1``), two frames Spark evaluates in one linear pass;
 * all rows of the blocks in between: a prefix over a small
   ``(key, block) -> count, sum`` table (at most one row per key and block),
   joined back on ``(key, block)``, which is already the partitioning of the
@@ -111,9 +111,16 @@ def sliding_sums(
         return F.when(mask, F.lit(1) if val is None else F.col(val))
 
     cols = {}
+    whole_part = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     for name, f_len, h, val in specs:
         fine = F.sum(weight(val, is_own)).over(w.rangeBetween(Window.unboundedPreceding, 0))
-        start = F.sum(weight(val, F.col("_hop") == h)).over(w.rangeBetween(-f_len, Window.unboundedFollowing))
+        # context rows with time >= t - f = all context rows minus those with
+        # time <= t - f - 1 (two linear frames; an "unbounded following"
+        # frame would be recomputed for every row)
+        ctx = weight(val, F.col("_hop") == h)
+        ctx_all = F.sum(ctx).over(whole_part)
+        ctx_before = F.sum(ctx).over(w.rangeBetween(Window.unboundedPreceding, -(f_len + 1)))
+        start = F.when(ctx_all.isNotNull(), ctx_all - F.coalesce(ctx_before, F.lit(0)))
         cols[f"_fine_{name}"] = fine
         cols[f"_start_{name}"] = start
     windowed = both.withColumns(cols).where(is_own)

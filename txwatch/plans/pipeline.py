@@ -1,10 +1,12 @@
 """The layered pipeline: bronze -> clean/dead -> silver -> gold -> alerts.
 
 ``Ledger`` builds each layer lazily, once per (session, input folder, run
-time). Silver, gold and alerts are materialised with a reliable checkpoint
+time). Silver, gold and alerts are materialised once as written tables
 in the shared checkpoint folder, so later queries read the written layer
 instead of recomputing (and re-shuffling) the whole lineage, and a lost
-executor never forces recomputation from the raw tables.
+executor never forces recomputation from the raw tables. The layers are
+written as Parquet under ``spark.checkpoint.dir``, so reads of them prune
+columns and push filters down.
 """
 
 from __future__ import annotations
@@ -32,8 +34,8 @@ class Ledger:
         self.run_ts = run_ts
         self.persist = persist
 
-    def _keep(self, df: DataFrame) -> DataFrame:
-        return materialize(df) if self.persist else df
+    def _keep(self, df: DataFrame, name: str, sort_within: str | None = None) -> DataFrame:
+        return materialize(df, name, sort_within) if self.persist else df
 
     # --- bronze ---------------------------------------------------------
     @cached_property
@@ -60,7 +62,7 @@ class Ledger:
     @cached_property
     def _dedup(self) -> DataFrame:
         marked = ST.mark_duplicates(self.standardized, order_cols=TD.ORDINAL_COLUMNS)
-        return self._keep(marked)
+        return self._keep(marked, "silver-marked")
 
     @property
     def silver(self) -> DataFrame:
@@ -74,11 +76,11 @@ class Ledger:
     # --- gold -----------------------------------------------------------
     @cached_property
     def gold(self) -> DataFrame:
-        return self._keep(FE.gold_features(self.silver))
+        return self._keep(FE.gold_features(self.silver), "gold", sort_within="transaction_id")
 
     @cached_property
     def alerts(self) -> DataFrame:
-        return self._keep(A.generate_alerts(self.gold, self.run_ts))
+        return self._keep(A.generate_alerts(self.gold, self.run_ts), "alerts")
 
     @property
     def scores(self) -> DataFrame:
@@ -91,9 +93,9 @@ class Ledger:
     @property
     def status_changes(self) -> DataFrame:
         """A status change log derived from the alerts (grows with them):
-        ids starting 0-3 -> investigating (mixed case), 4-5 -> closed, then
-        investigating again for 4; ids starting 'a' -> an invalid status;
-        ids starting 'b' -> an unknown alert id."""
+        ids starting 0-4 -> 'investigating' (lower case) after 1h; ids
+        starting 4-5 -> CLOSED after 2h (so '4' has two updates, the later
+        wins); 'a' -> an invalid status; 'b' -> an unknown alert id."""
         a = self.alerts.select("alert_id", "created_at")
         first = F.substring("alert_id", 1, 1)
         t1 = F.col("created_at") + F.expr("INTERVAL 1 HOUR")
