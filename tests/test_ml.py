@@ -44,3 +44,17 @@ def test_train_score_registry_and_stream(spark):
     got = {r.transaction_id: r.ml_probability for r in out.collect()}
     assert got.keys() == batch.keys()
     assert all(abs(got[k] - batch[k]) < 1e-12 for k in got)
+
+
+def test_permutation_is_a_bucketed_permutation(spark):
+    lg = Ledger(spark, SF001, persist=False)
+    ds = ML.ml_dataset(lg.gold)
+    perm = ML.permuted_features(ds, bucket_rows=200)
+    assert perm.count() == ds.count()
+    # every feature value multiset is preserved (a permutation, not a sample)
+    for f in ("amount", "rule_score"):
+        a = sorted(r[0] for r in ds.select(f).collect())
+        b = sorted(r[0] for r in perm.select(f"_p_{f}").collect())
+        assert a == b
+    moved = perm.where(F.col("amount") != F.col("_p_amount")).count()
+    assert moved > ds.count() // 2

@@ -289,6 +289,13 @@ def feature_importance(spark, sf):
     return ML.feature_importance(_model(spark, sf))
 
 
+@register("permutation_importance")
+def permutation_importance(spark, sf):
+    """AUC drop per permuted feature on the val and test rows."""
+    ds = ML.ml_dataset(ledger(spark, sf).gold)
+    return ML.permutation_importance(_model(spark, sf), ds)
+
+
 @register("stream_clean")
 def stream_clean(spark, sf):
     return SS.stream_clean(spark, sf)

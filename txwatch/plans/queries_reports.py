@@ -176,24 +176,22 @@ def transaction_lookup(spark, sf):
 
 @register("batch_lookup", with_layers(f"""
 , req AS (
-  SELECT ROW_NUMBER() OVER (ORDER BY k, transaction_id) AS ordinal, transaction_id FROM (
-    SELECT 0 AS k, transaction_id FROM alerts
-    UNION ALL SELECT 1, 'unknown-' || transaction_id FROM alerts WHERE typology = 'structuring'))
+    SELECT '0:' || transaction_id AS ordinal, transaction_id FROM alerts
+    UNION ALL SELECT '1:unknown-' || transaction_id, 'unknown-' || transaction_id FROM alerts
+    WHERE typology = 'structuring')
 SELECT r.ordinal, r.transaction_id, s.ml_probability, s.final_risk_score,
        {RISK_LEVEL_SQL.format(s='s.final_risk_score')} AS risk_level
 FROM req r LEFT JOIN scores s ON r.transaction_id = s.transaction_id""".replace("\n, req AS", ",\nreq AS")))
 def batch_lookup(spark, sf):
-    """Every alerted id plus unknown ids, in request order (no size cap for
-    this report; the request API applies ``max_ids``)."""
-    from pyspark.sql import Window
+    """Every alerted id plus unknown ids, kept in request order. The request
+    key ``ordinal`` sorts in request order (group, then id), so no global
+    numbering window is needed; the request API applies ``max_ids``."""
     a = ledger(spark, sf).alerts
-    req = (a.select(F.lit(0).alias("k"), "transaction_id")
-           .unionByName(a.where(F.col("typology") == "structuring")
-                        .select(F.lit(1).alias("k"),
-                                F.concat(F.lit("unknown-"), "transaction_id").alias("transaction_id"))))
-    ids = req.select(F.row_number().over(Window.orderBy("k", "transaction_id")).cast("bigint")
-                     .alias("ordinal"), "transaction_id")
-    return AN.batch_lookup(ids, ledger(spark, sf).scores)
+    known = a.select(F.concat(F.lit("0:"), "transaction_id").alias("ordinal"), "transaction_id")
+    unknown = (a.where(F.col("typology") == "structuring")
+               .select(F.concat(F.lit("1:unknown-"), "transaction_id").alias("ordinal"),
+                       F.concat(F.lit("unknown-"), "transaction_id").alias("transaction_id")))
+    return AN.batch_lookup(known.unionByName(unknown), ledger(spark, sf).scores)
 
 
 ALERT_COLS = "alert_id, transaction_id, risk_score, typology, status, created_at"
