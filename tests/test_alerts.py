@@ -2,6 +2,7 @@
 import datetime as dt
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from txwatch.operators import alerts as A
 
@@ -13,8 +14,7 @@ def gold(spark, scores):
     return spark.createDataFrame(rows, "transaction_id string, rule_score double, is_structuring long, "
                                        "is_high_risk_type long, is_cross_currency long, "
                                        "sender_tx_count_1h long, amount_vs_sender_avg double, amount double"
-                                 ).withColumn("is_round_amount", __import__("pyspark.sql.functions",
-                                                                          fromlist=["lit"]).lit(0))
+                                 ).withColumn("is_round_amount", F.lit(0))
 
 
 def test_threshold_is_exact_percentile(spark):

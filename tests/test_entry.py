@@ -1,6 +1,8 @@
 """Driver contract on sf0.001 and layer invariants on pipeline output."""
 import __spark_entry__ as E
 from tests.conftest import SF001
+from txwatch.operators import alerts as A
+from txwatch.operators import quality as Q
 from txwatch.plans.pipeline import Ledger
 
 
@@ -24,9 +26,9 @@ def test_layers_invariants(spark):
     assert gold.count() == n_silver
     assert lg.bronze.count() == lg.clean.count() + lg.dead_letter.count()
     assert lg.clean.count() == n_silver + lg.silver_dead.count()
-    thr = __import__("txwatch.operators.alerts", fromlist=["x"]).alert_threshold(gold).first()[0]
+    thr = A.alert_threshold(gold).first()[0]
     assert alerts.count() == gold.where(gold.rule_score >= thr).count()
-    for r in __import__("txwatch.operators.quality", fromlist=["x"]).rules_gold(gold).collect():
+    for r in Q.rules_gold(gold).collect():
         assert r.passed, r.rule
 
 

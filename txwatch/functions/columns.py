@@ -40,15 +40,11 @@ def transaction_id(source, ts_text, sender, receiver, amount, payment_format=Non
 
 
 def parse_timestamp(c) -> Column:
-    """Timestamp text -> timestamp_ntz; unparseable text gives null (ANSI-safe)."""
-    text = col(c).cast("string")
-    parsed = F.coalesce(
-        F.try_to_timestamp(text, F.lit("yyyy-MM-dd HH:mm:ss")),
-        F.try_to_timestamp(text, F.lit("yyyy/MM/dd HH:mm:ss")),
-        F.try_to_timestamp(text, F.lit("yyyy/MM/dd HH:mm")),
-        F.try_to_timestamp(text, F.lit("yyyy-MM-dd HH:mm")),
-    )
-    return parsed.cast(T.TimestampNTZType())
+    """Timestamp text (``yyyy-MM-dd HH:mm[:ss]`` or with ``/``) ->
+    timestamp_ntz, independent of the session time zone; text that does not
+    parse gives null (ANSI-safe)."""
+    text = F.regexp_replace(col(c).cast("string"), "/", "-")
+    return text.try_cast(T.TimestampNTZType())
 
 
 def tx_hour(ts) -> Column:

@@ -242,5 +242,4 @@ def gate_bronze(bronze: DataFrame) -> DataFrame:
     present = set(bronze.columns)
     rows = [(c, c in present) for c in S.BRONZE_REQUIRED]
     return spark.createDataFrame(rows, "column string, present boolean").withColumn(
-        "row_count", F.lit(None).cast("bigint")).withColumn(
         "row_count", bronze.agg(F.count(F.lit(1))).scalar())

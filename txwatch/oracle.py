@@ -19,7 +19,8 @@ def _list(values) -> str:
     return "[" + ", ".join(_q(v) for v in values) + "]"
 
 
-def _currency(c: str) -> str:
+def currency_case(c: str) -> str:
+    """CASE mapping currency names to codes (unknown names pass through)."""
     arms = " ".join(f"WHEN {_q(k)} THEN {_q(v)}" for k, v in S.CURRENCY_CODES.items())
     return f"CASE {c} {arms} ELSE {c} END"
 
@@ -94,8 +95,8 @@ std0 AS (
          '****' || right("Account_receiver", 4) AS receiver_account_masked,
          "From Bank" AS sender_bank, "To Bank" AS receiver_bank,
          CAST("Amount Paid" AS DOUBLE) AS amount,
-         {_currency('"Payment Currency"')} AS payment_currency,
-         {_currency('"Receiving Currency"')} AS receiving_currency,
+         {currency_case('"Payment Currency"')} AS payment_currency,
+         {currency_case('"Receiving Currency"')} AS receiving_currency,
          "Payment Format" AS payment_type,
          CAST("Is Laundering" AS BIGINT) AS is_laundering,
          CAST(NULL AS VARCHAR) AS typology, source, ingested_at,

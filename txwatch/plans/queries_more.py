@@ -15,6 +15,7 @@ from txwatch.operators import ml as ML
 from txwatch.operators import quality as Q
 from txwatch.operators import standardize as ST
 from txwatch.oracle import RUN_TS, with_layers
+from txwatch.oracle import currency_case as CUR
 from txwatch.plans import publish as P
 from txwatch.plans.catalog import register
 from txwatch.plans.pipeline import ledger
@@ -47,8 +48,8 @@ def transaction_id_variants(spark, sf):
 
 @register("currency_codes", with_layers("""
 SELECT "Payment Currency" AS currency_name, payment_currency AS currency_code, COUNT(*) AS tx_count
-FROM (SELECT "Payment Currency", """ + __import__("txwatch.oracle", fromlist=["_currency"])._currency(
-    '"Payment Currency"') + """ AS payment_currency FROM clean) GROUP BY 1, 2""", "silver"))
+FROM (SELECT "Payment Currency", """ + CUR('"Payment Currency"') + """ AS payment_currency FROM clean)
+GROUP BY 1, 2""", "silver"))
 def currency_codes(spark, sf):
     c = ledger(spark, sf).clean
     return (c.select(F.col("Payment Currency").alias("currency_name"),
@@ -126,7 +127,6 @@ SAML_SQL = """saml AS (SELECT strftime(ts, '%Y-%m-%d %H:%M:%S') AS timestamp, 'E
   value AS amount, 'US Dollar' AS currency, event_type AS payment_type,
   CAST(event_type = 'error' AS INTEGER) AS is_laundering,
   CASE WHEN event_type = 'error' THEN 'error_burst' END AS typology FROM events)"""
-CUR = __import__("txwatch.oracle", fromlist=["_currency"])._currency
 UNIFIED_SQL = f""", {SAML_SQL},
 unified AS (
   SELECT md5(concat_ws('_', 'ibm_aml', "Timestamp", "Account_sender", "Account_receiver", {ID_TEXT},
