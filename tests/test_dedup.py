@@ -48,3 +48,14 @@ def test_incremental_split(spark):
     unseen, seen = ST.incremental_split(new, pub)
     assert [r.transaction_id for r in unseen.collect()] == ["c"]
     assert [r.transaction_id for r in seen.collect()] == ["b"]
+
+
+def test_packed_ordinal_orders_like_the_tuple(spark):
+    import itertools
+    rows = [(a, b, c) for a, b, c in itertools.product([0, 7, 123456789012], [0, 9], [0, 5, 99999])]
+    df = spark.createDataFrame(rows, "a long, b long, c long")
+    key = ST.packed_ordinal([("a", 0), ("b", 1), ("c", 5)])
+    got = [tuple(r)[:3] for r in df.select("a", "b", "c", key.alias("k")).orderBy("k").collect()]
+    assert got == sorted(rows)
+    plan = df.groupBy("a").agg(F.min(key))._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from txwatch import schemas as S
@@ -54,18 +54,39 @@ def standardize(bronze: DataFrame, with_format_in_id: bool = True) -> DataFrame:
     return df.select(*S.SILVER_COLUMNS, *keep)
 
 
+def packed_ordinal(parts: Sequence[tuple[str, int]]) -> Column:
+    """Lexicographic order of non-negative integral columns as ONE
+    ``decimal(38,0)``: every column after the first takes a fixed number of
+    digits (its values must stay below 10**digits). A single comparable key
+    lets the first-copy aggregate run as a hash aggregate (a struct key would
+    force a sort-based one)."""
+    width = sum(d for _, d in parts[1:])
+    if width >= 38:
+        raise ValueError("ordinal does not fit in 38 digits")
+    key = F.col(parts[0][0]).cast("decimal(38,0)")
+    for c, d in parts[1:]:
+        key = key * F.lit(10 ** d).cast("decimal(38,0)") + F.col(c).cast("decimal(38,0)")
+    return key.cast("decimal(38,0)")
+
+
 def mark_duplicates(df: DataFrame, id_col: str = "transaction_id", chunk_col: str = "chunk_id",
-                    order_cols: Sequence[str] = ()) -> DataFrame:
+                    order_cols: Sequence[str] = (), order_key: Column | None = None) -> DataFrame:
     """Add ``dead_reason``: null for the first copy of an id, else
     ``intra_chunk_duplicate`` (not first inside its chunk) or
     ``inter_chunk_duplicate`` (first in its chunk, id seen in an earlier chunk).
 
-    "First" means the smallest ``(chunk, order_cols)``. Built from partial
+    "First" means the smallest ``(chunk, order_cols)`` (or ``order_key``,
+    one comparable column, e.g. ``packed_ordinal``). Built from partial
     aggregates (min per (id, chunk), then min chunk per id) and one join back,
     so an id with very many copies is combined map-side and the join's hot
     key is split by AQE, never gathered into one window task.
     """
-    pos = F.struct(*[F.col(c) for c in order_cols])
+    if order_key is not None:
+        pos = order_key
+    elif len(order_cols) == 1:
+        pos = F.col(order_cols[0])
+    else:
+        pos = F.struct(*[F.col(c) for c in order_cols])
     # The aggregate branch reads only id, chunk and ordinal columns (pruned
     # scan) and combines map-side before its small shuffle; the rows move
     # once, in the join.

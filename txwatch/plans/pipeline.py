@@ -61,7 +61,8 @@ class Ledger:
 
     @cached_property
     def _dedup(self) -> DataFrame:
-        marked = ST.mark_duplicates(self.standardized, order_cols=TD.ORDINAL_COLUMNS)
+        marked = ST.mark_duplicates(self.standardized,
+                                    order_key=ST.packed_ordinal(TD.ORDINAL_DIGITS))
         return self._keep(marked, "silver-marked")
 
     @property

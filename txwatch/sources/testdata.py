@@ -110,6 +110,9 @@ def ledger_bronze(spark: SparkSession, sf_dir: str, run_ts: str = DEFAULT_RUN_TS
 
 
 ORDINAL_COLUMNS = ("src_orderkey", "src_linenumber", "src_partkey", "src_suppkey", "copy_no")
+# digits of each ordinal column after the first, for a packed sortable key
+ORDINAL_DIGITS = (("src_orderkey", 0), ("src_linenumber", 1), ("src_partkey", 10),
+                  ("src_suppkey", 10), ("copy_no", 1))
 
 
 def events_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
