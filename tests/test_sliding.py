@@ -48,3 +48,15 @@ def test_auto_block(spark):
     assert auto_block_seconds(df, ["k"], "ts", 3600, target_rows=10 ** 9) == 3600
     small = auto_block_seconds(df, ["k"], "ts", 3600, target_rows=1)
     assert small < 3600 and 3600 % small == 0
+
+
+def test_gold_same_for_any_block(spark):
+    from tests.conftest import SF001
+    from txwatch.operators import features as FE
+    from txwatch.plans.pipeline import Ledger
+    silver = Ledger(spark, SF001, persist=False).silver
+    cols = ["transaction_id", "sender_tx_count_1h", "sender_amount_sum_1h", "sender_avg_amount", "rule_score"]
+    ref = sorted(tuple(r) for r in FE.gold_features(silver, block_seconds=3600).select(*cols).collect())
+    for block in (60, 900, None):
+        got = sorted(tuple(r) for r in FE.gold_features(silver, block_seconds=block).select(*cols).collect())
+        assert got == ref, block

@@ -1,7 +1,8 @@
 """The layered pipeline: bronze -> clean/dead -> silver -> gold -> alerts.
 
 ``Ledger`` builds each layer lazily, once per (session, input folder, run
-time). Silver, gold and alerts are materialised once as written tables
+time). Bronze, silver, gold, alerts and the status-applied alerts are
+materialised once as written tables
 in the shared checkpoint folder, so later queries read the written layer
 instead of recomputing (and re-shuffling) the whole lineage, and a lost
 executor never forces recomputation from the raw tables. The layers are
@@ -40,7 +41,7 @@ class Ledger:
     # --- bronze ---------------------------------------------------------
     @cached_property
     def bronze(self) -> DataFrame:
-        return TD.ledger_bronze(self.spark, self.sf_dir, self.run_ts)
+        return self._keep(TD.ledger_bronze(self.spark, self.sf_dir, self.run_ts), "bronze")
 
     @cached_property
     def _split(self) -> tuple[DataFrame, DataFrame]:
@@ -122,9 +123,9 @@ class Ledger:
     def _status(self) -> tuple[DataFrame, DataFrame]:
         return A.apply_status_changes(self.alerts, self.status_changes)
 
-    @property
+    @cached_property
     def alerts_current(self) -> DataFrame:
-        return self._status[0]
+        return self._keep(self._status[0], "alerts-current")
 
     @property
     def status_rejected(self) -> DataFrame:

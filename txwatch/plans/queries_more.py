@@ -306,6 +306,13 @@ def stream_dedup(spark, sf):
     return SS.stream_dedup(spark, sf)
 
 
+@register("stream_velocity")
+def stream_velocity(spark, sf):
+    """Sliding 1h/10min sender windows as a watermarked stream (append mode
+    emits windows that closed before the watermark)."""
+    return SS.stream_velocity(spark, sf)
+
+
 @register("sender_velocity_sliding", _events_sql("""
 win AS (SELECT e.*, time_bucket(INTERVAL 10 MINUTE, timestamp) - INTERVAL (k * 10) MINUTE AS window_start
         FROM evp e, unnest(range(0, 6)) t(k))
