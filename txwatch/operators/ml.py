@@ -142,3 +142,27 @@ def permutation_importance(model: PipelineModel, ds: DataFrame, seed: int = 42)
     return (spark.createDataFrame(rows, "feature string, base_auc double, permuted_auc double, "
                                         "auc_drop double")
             .orderBy(F.desc("auc_drop"), "feature"))
+
+
+def evaluate(model: PipelineModel, ds: DataFrame) -> DataFrame:
+    """Val and test metrics of a fitted model: the decision threshold is the
+    best-F1 sweep threshold on val (applied to both splits); AUC, average
+    precision, confusion counts and precision/recall/F1 per split."""
+    from txwatch.operators import metrics as M
+    scored = model.transform(ds.where(F.col("split") != "train")).select(
+        "split", vector_to_array(F.col("probability"))[1].alias("score"),
+        F.col(S.TARGET).alias("label"))
+    val = scored.where(F.col("split") == "val")
+    # model scoring is not deterministic for the analyzer, so the threshold
+    # (one number) is fetched rather than used as a scalar subquery
+    thr = F.lit(M.best_threshold(M.threshold_sweep(val)).first()["threshold"])
+    out = []
+    for split in ("val", "test"):
+        part = scored.where(F.col("split") == split)
+        row = (M.from_confusion(M.confusion(part, thr))
+               .withColumn("auc_roc", F.lit(M.auc_roc(part).first()[0]).cast("double"))
+               .withColumn("auc_pr", F.lit(M.average_precision(part).first()[0]).cast("double"))
+               .withColumn("threshold", thr)
+               .withColumn("split", F.lit(split)))
+        out.append(row)
+    return out[0].unionByName(out[1])

@@ -284,6 +284,13 @@ def model_scores(spark, sf):
     return ML.score(_model(spark, sf), ds)
 
 
+@register("model_evaluation")
+def model_evaluation(spark, sf):
+    """Val/test AUC, AP and threshold metrics of the fitted model."""
+    ds = ML.ml_dataset(ledger(spark, sf).gold)
+    return ML.evaluate(_model(spark, sf), ds)
+
+
 @register("feature_importance")
 def feature_importance(spark, sf):
     return ML.feature_importance(_model(spark, sf))
