@@ -60,3 +60,14 @@ def test_gold_same_for_any_block(spark):
     for block in (60, 900, None):
         got = sorted(tuple(r) for r in FE.gold_features(silver, block_seconds=block).select(*cols).collect())
         assert got == ref, block
+
+
+@pytest.mark.parametrize("block", [60, 3600])
+def test_cumulative_frame(spark, block):
+    rows = fixture_rows(200, seed=11)
+    df = spark.createDataFrame(rows, "id string, k string, ts timestamp_ntz, amount double")
+    got = {r.id: (r.n, r.s) for r in sliding_sums(
+        df, ["k"], "ts", [("n", None, None), ("s", None, "amount")], block).collect()}
+    for rid, k, t, _ in rows:
+        hits = [x for x in rows if x[1] == k and x[2] <= t]
+        assert got[rid] == (len(hits), sum(x[3] for x in hits))

@@ -45,6 +45,22 @@ def sender_baseline(df: DataFrame, sender: str = "sender_account_masked") -> Dat
          / F.count("amount").cast("double")).alias("sender_avg_amount"))
 
 
+def sender_trailing_baseline(df: DataFrame, sender: str = "sender_account_masked",
+                             ts: str = "timestamp", block_seconds: int | None = None) -> DataFrame:
+    """``sender_avg_amount_trailing``: the sender's average amount over its
+    rows up to and including ``t`` (peers included), so no future row leaks
+    into the baseline. Same block split as the 1h window."""
+    if block_seconds is None:
+        block_seconds = auto_block_seconds(df, [sender], ts, HOUR)
+    df = df.withColumns({"_amt": F.col("amount").cast(MONEY),
+                         "_amt_n": F.when(F.col("amount").isNotNull(), F.lit(1))})
+    out = sliding_sums(df, [sender], ts, [("_cs", None, "_amt"), ("_cn", None, "_amt_n")],
+                       block_seconds)
+    return (out.withColumn("sender_avg_amount_trailing",
+                           F.col("_cs").cast("double") / F.col("_cn").cast("double"))
+            .drop("_cs", "_cn", "_amt", "_amt_n"))
+
+
 def rule_features(df: DataFrame) -> DataFrame:
     df = df.withColumns({
         "_ptr": R.payment_type_risk_decimal("payment_type"),

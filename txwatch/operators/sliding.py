@@ -67,15 +67,17 @@ def sliding_sums(
     df: DataFrame,
     keys: Sequence[str],
     ts_col: str,
-    frames: Sequence[tuple[str, int, str | None]],
+    frames: Sequence[tuple[str, int | None, str | None]],
     block_seconds: int,
     time_unit_seconds: int | None = None,
     totals: Sequence[tuple[str, str | None]] = (),
 ) -> DataFrame:
     """Add one column per ``(name, frame_seconds, value_col)``: the count of
     the key's rows in ``[t - frame, t]`` when ``value_col`` is None, else the
-    sum of ``value_col`` over them (null when no value). ``totals`` adds
-    ``(name, value_col)`` whole-key counts/sums from the same small table."""
+    sum of ``value_col`` over them (null when no value). A frame of ``None``
+    is cumulative (all of the key's rows up to ``t``): the own block's
+    running sum plus a prefix over all earlier blocks of the small table.
+    ``totals`` adds ``(name, value_col)`` whole-key counts/sums."""
     unit_s = time_unit_seconds or 0
     scale = US if not unit_s else 1 / unit_s
     w_len = int(block_seconds * scale)
@@ -83,6 +85,9 @@ def sliding_sums(
         raise ValueError("block must be at least one time unit")
     specs = []
     for name, f_sec, val in frames:
+        if f_sec is None:
+            specs.append((name, None, None, val))
+            continue
         f_len = int(f_sec * scale)
         if f_len % w_len:
             raise ValueError(f"block of {block_seconds}s must divide the {f_sec}s frame")
@@ -94,7 +99,7 @@ def sliding_sums(
     base = base.withColumn(BLOCK, F.expr(f"(_ord - pmod(_ord, {w_len})) div {w_len}"))
 
     # Own rows (wide) plus one narrow context copy per distinct hop f/W.
-    hops = sorted({h for _, _, h, _ in specs})
+    hops = sorted({h for _, _, h, _ in specs if h is not None})
     own = base.withColumn("_hop", F.lit(0))
     narrow = base.select(*keys, "_ord", BLOCK, *values)
     parts = [own]
@@ -114,6 +119,11 @@ def sliding_sums(
     whole_part = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     for name, f_len, h, val in specs:
         fine = F.sum(weight(val, is_own)).over(w.rangeBetween(Window.unboundedPreceding, 0))
+        cols[f"_fine_{name}"] = fine
+        if h is None:
+            cols[f"_start_{name}"] = F.lit(None).cast("long" if val is None else
+                                                       base.schema[val].dataType)
+            continue
         # context rows with time >= t - f = all context rows minus those with
         # time <= t - f - 1 (two linear frames; an "unbounded following"
         # frame would be recomputed for every row)
@@ -121,7 +131,6 @@ def sliding_sums(
         ctx_all = F.sum(ctx).over(whole_part)
         ctx_before = F.sum(ctx).over(w.rangeBetween(Window.unboundedPreceding, -(f_len + 1)))
         start = F.when(ctx_all.isNotNull(), ctx_all - F.coalesce(ctx_before, F.lit(0)))
-        cols[f"_fine_{name}"] = fine
         cols[f"_start_{name}"] = start
     windowed = both.withColumns(cols).where(is_own)
 
@@ -132,8 +141,12 @@ def sliding_sums(
     mids = {}
     for name, _, h, val in specs:
         src = "_n" if val is None else f"_s_{val}"
-        mids[f"_mid_{name}"] = (F.sum(src).over(cw.rangeBetween(-(h - 1), -1)) if h > 1
-                                else F.lit(None).cast(coarse.schema[src].dataType))
+        if h is None:
+            mids[f"_mid_{name}"] = F.sum(src).over(cw.rangeBetween(Window.unboundedPreceding, -1))
+        elif h > 1:
+            mids[f"_mid_{name}"] = F.sum(src).over(cw.rangeBetween(-(h - 1), -1))
+        else:
+            mids[f"_mid_{name}"] = F.lit(None).cast(coarse.schema[src].dataType)
     whole = Window.partitionBy(*keys)
     for tname, val in totals:
         src = "_n" if val is None else f"_s_{val}"

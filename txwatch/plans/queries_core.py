@@ -52,6 +52,19 @@ def sender_baseline(spark, sf):
         F.count(F.lit(1)).alias("tx_count"))
 
 
+@register("sender_baseline_trailing", with_layers("""
+SELECT transaction_id, sender_account_masked, timestamp,
+  CAST(SUM(CAST(amount AS DECIMAL(24,6))) OVER w AS DOUBLE) / CAST(COUNT(amount) OVER w AS DOUBLE)
+    AS sender_avg_amount_trailing
+FROM silver
+WINDOW w AS (PARTITION BY sender_account_masked ORDER BY timestamp
+             RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""", "silver"))
+def sender_baseline_trailing(spark, sf):
+    """Leak-free sender baseline: average amount up to each transaction."""
+    return FE.sender_trailing_baseline(ledger(spark, sf).silver).select(
+        "transaction_id", "sender_account_masked", "timestamp", "sender_avg_amount_trailing")
+
+
 @register("alert_threshold", with_layers("SELECT threshold FROM thr"))
 def alert_threshold(spark, sf):
     return A.alert_threshold(ledger(spark, sf).gold)
