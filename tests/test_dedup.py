@@ -59,3 +59,11 @@ def test_packed_ordinal_orders_like_the_tuple(spark):
     assert got == sorted(rows)
     plan = df.groupBy("a").agg(F.min(key))._jdf.queryExecution().executedPlan().toString()
     assert "HashAggregate" in plan and "SortAggregate" not in plan
+
+
+def test_sample_rows_layout_independent(spark):
+    df = spark.range(20000).selectExpr("cast(id as string) as k")
+    a = {r.k for r in I.sample_rows(df.repartition(1), 0.15, key="k").collect()}
+    b = {r.k for r in I.sample_rows(df.repartition(7), 0.15, key="k").collect()}
+    assert a == b and 2500 < len(a) < 3500
+    assert I.sample_rows(df, 1.0).count() == 20000

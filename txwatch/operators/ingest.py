@@ -47,3 +47,17 @@ def partition_counts(bronze: DataFrame) -> DataFrame:
     """Rows per (year, month) partition of the bronze layer."""
     return (add_year_month(bronze).groupBy("year", "month")
             .agg(F.count(F.lit(1)).alias("row_count")))
+
+
+def sample_rows(df: DataFrame, fraction: float, seed: int = 42, key: str | None = None) -> DataFrame:
+    """Bernoulli sample. With ``key`` a row is kept when a seeded 64-bit hash
+    of the key falls under ``fraction`` (the same rows whatever the
+    partitioning or row order, so reruns and retried tasks agree); without
+    it, Spark's per-partition ``sample``. A fraction >= 1 keeps every row."""
+    if fraction >= 1.0:
+        return df
+    if key is None:
+        return df.sample(fraction=fraction, seed=seed)
+    bits = 1 << 52
+    bucket = F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(bits))
+    return df.where(bucket < F.lit(int(fraction * bits)))

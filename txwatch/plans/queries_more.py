@@ -235,8 +235,9 @@ def bronze_csv_roundtrip(spark, sf):
 
 @register("sample_fraction")
 def sample_fraction(spark, sf):
-    """Bernoulli sample of silver (fraction 0.15, seed 42)."""
-    return ledger(spark, sf).silver.sample(fraction=0.15, seed=42)
+    """Bernoulli sample of silver (fraction 0.15, seed 42), reproducible by
+    transaction id."""
+    return I.sample_rows(ledger(spark, sf).silver, 0.15, seed=42, key="transaction_id")
 
 
 @register("gate_bronze")
