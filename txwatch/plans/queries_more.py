@@ -240,7 +240,9 @@ def sample_fraction(spark, sf):
     return I.sample_rows(ledger(spark, sf).silver, 0.15, seed=42, key="transaction_id")
 
 
-@register("gate_bronze")
+@register("gate_bronze", with_layers("""
+SELECT c AS "column", true AS present, (SELECT COUNT(*) FROM bronze) AS row_count
+FROM (VALUES """ + ", ".join(f"('{c}')" for c in S.BRONZE_REQUIRED) + """) v(c)""", "bronze"))
 def gate_bronze(spark, sf):
     return Q.gate_bronze(ledger(spark, sf).bronze)
 
@@ -314,13 +316,29 @@ def stream_dedup(spark, sf):
     return SS.stream_dedup(spark, sf)
 
 
-@register("stream_velocity")
+@register("stream_velocity", _events_sql("""
+win AS (SELECT e.*, time_bucket(INTERVAL 10 MINUTE, timestamp) - INTERVAL (k * 10) MINUTE AS window_start
+        FROM evp e, unnest(range(0, 6)) t(k))
+SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, sender_account_masked,
+  COUNT(*) AS tx_count, CAST(SUM(CAST(amount AS DECIMAL(24,6))) AS DOUBLE) AS amount_sum
+FROM win GROUP BY 1, 2, 3
+HAVING window_start + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 60 MINUTE"""))
 def stream_velocity(spark, sf):
     """Sliding 1h/10min sender windows as a watermarked stream (append mode
-    emits windows that closed before the watermark)."""
+    emits the windows that closed before the final watermark)."""
     return SS.stream_velocity(spark, sf)
 
 
+@register("sender_velocity_tumbling", _events_sql("""
+SELECT time_bucket(INTERVAL 1 HOUR, timestamp) AS window_start,
+  time_bucket(INTERVAL 1 HOUR, timestamp) + INTERVAL 1 HOUR AS window_end, sender_account_masked,
+  COUNT(*) AS tx_count, CAST(SUM(CAST(amount AS DECIMAL(24,6))) AS DOUBLE) AS amount_sum
+FROM evp GROUP BY 1, 2, 3"""))
+def sender_velocity_tumbling(spark, sf):
+    """Tumbling 1h sender windows on events (batch form of the stream)."""
+    return SS.sliding_velocity(TD.events_payments(spark, sf), length="1 hour", slide="1 hour")
+
+
 @register("sender_velocity_sliding", _events_sql("""
 win AS (SELECT e.*, time_bucket(INTERVAL 10 MINUTE, timestamp) - INTERVAL (k * 10) MINUTE AS window_start
         FROM evp e, unnest(range(0, 6)) t(k))

@@ -97,11 +97,18 @@ def sliding_velocity(df: DataFrame, ts: str = "timestamp", sender: str = "sender
                     sender, "tx_count", "amount_sum"))
 
 
-def stream_velocity(spark: SparkSession, sf_dir: str, delay: str = "60 minutes") -> DataFrame:
+def stream_velocity(spark: SparkSession, sf_dir: str, delay: str = "60 minutes",
+                    length: str = "1 hour", slide: str = "10 minutes") -> DataFrame:
+    """Sender windows on a watermarked stream; append mode emits a window
+    once the watermark (max event time - ``delay``) passes its end. Window
+    bounds come back as timestamp_ntz, like the batch form."""
     rows = (events_to_payments(read_event_stream(spark, sf_dir)).drop("_bad")
             .withColumn("event_time", F.col("timestamp").cast(T.TimestampType()))
             .withWatermark("event_time", delay))
-    return run_available(sliding_velocity(rows, ts="event_time"), spark, "velocity")
+    out = run_available(sliding_velocity(rows, ts="event_time", length=length, slide=slide),
+                        spark, "velocity")
+    return out.withColumns({"window_start": F.col("window_start").cast(T.TimestampNTZType()),
+                            "window_end": F.col("window_end").cast(T.TimestampNTZType())})
 
 
 def stream_scores(spark: SparkSession, stream: DataFrame, model) -> DataFrame:
