@@ -23,7 +23,7 @@ from txwatch.operators import alerts as A
 from txwatch.operators import features as FE
 from txwatch.operators import ingest as I
 from txwatch.operators import standardize as ST
-from txwatch.session import materialize
+from txwatch.session import materialize, session_key
 from txwatch.sources import testdata as TD
 
 
@@ -137,7 +137,7 @@ _LEDGERS: dict[tuple, Ledger] = {}
 
 def ledger(spark: SparkSession, sf_dir: str, run_ts: str = TD.DEFAULT_RUN_TS) -> Ledger:
     """The shared ``Ledger`` for this session and folder (built once)."""
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), run_ts)
+    key = (session_key(spark), sf_dir.rstrip("/"), run_ts)
     if key not in _LEDGERS:
         _LEDGERS[key] = Ledger(spark, sf_dir, run_ts)
     return _LEDGERS[key]

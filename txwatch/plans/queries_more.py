@@ -19,7 +19,7 @@ from txwatch.oracle import currency_case as CUR
 from txwatch.plans import publish as P
 from txwatch.plans.catalog import register
 from txwatch.plans.pipeline import ledger
-from txwatch.session import scratch_path
+from txwatch.session import scratch_path, session_key
 from txwatch.sources import testdata as TD
 from txwatch.streaming import streams as SS
 
@@ -272,7 +272,7 @@ _MODELS: dict = {}
 
 
 def _model(spark, sf):
-    key = (spark.sparkContext.applicationId, sf)
+    key = (session_key(spark), sf)
     if key not in _MODELS:
         ds = ML.ml_dataset(ledger(spark, sf).gold)
         _MODELS[key] = ML.train(ds)

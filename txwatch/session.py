@@ -48,19 +48,36 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     On a cluster this setting names a shared file system folder and is used
     as is. Only when it is unset (local tests) do we create a scratch folder.
     """
-    sc = spark.sparkContext
-    current = sc._jsc.sc().getCheckpointDir()
-    if current.isDefined():
-        return current.get()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - a remote (Connect) session has no SparkContext
+        sc = None
+    if sc is not None:
+        current = sc._jsc.sc().getCheckpointDir()
+        if current.isDefined():
+            return current.get()
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
+    if not configured and sc is not None:
         configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        configured = tempfile.mkdtemp(prefix="txwatch-ckpt-")
+        configured = _LOCAL_FALLBACK.setdefault("dir", tempfile.mkdtemp(prefix="txwatch-ckpt-"))
+    if sc is None:
+        return configured
     sc.setCheckpointDir(configured)
     return sc._jsc.sc().getCheckpointDir().get()
 
 
+_LOCAL_FALLBACK: dict[str, str] = {}
+
+
+def session_key(spark: SparkSession) -> str:
+    """Identity of a session for per-session caches."""
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001
+        return f"session-{id(spark)}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint folder (for written tables)."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
