@@ -3,9 +3,9 @@
 Counts are cast to double before arithmetic (decimal literals would
 truncate). AUC and average precision need, per distinct score, the number
 of positives/negatives strictly below it. That prefix sum runs in two
-levels: scores are cut into at most ``BUCKETS + 1`` ordered buckets whose
-totals get a prefix over a bounded table, and each bucket orders its own
-distinct scores, so no step sees all scores in one task.
+levels: distinct scores are range-partitioned into ``BUCKETS`` ordered
+buckets whose totals get a prefix over a bounded table, and each bucket
+orders its own distinct scores, so no step sees all scores in one task.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from txwatch import schemas as S
 
-BUCKETS = 1 << 16
+BUCKETS = 256
 
 
 def _d(c) -> Column:
@@ -74,14 +74,19 @@ def classification_report(cm: DataFrame) -> DataFrame:
     return cm.select(F.inline(rows))
 
 
-def score_table(df: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
+def score_table(df: DataFrame, score: str = "score", label: str = "label",
+                buckets: int = BUCKETS) -> DataFrame:
     """Per distinct score: pos, neg and the counts strictly below it
-    (pos_below, neg_below), plus totals P and N."""
+    (pos_below, neg_below), plus totals P and N.
+
+    Distinct scores are range-partitioned into ``buckets`` ordered buckets
+    (bounds from a sample of the scores, so clustered scores still spread
+    evenly; equal scores never split). Bucket totals get a prefix over a
+    table of at most ``buckets`` rows (broadcast: a proven bound), and each
+    bucket orders only its own scores."""
     g = df.groupBy(score).agg(F.count_if(F.col(label) == 1).alias("pos"),
                               F.count_if(F.col(label) != 1).alias("neg"))
-    bk = F.least(F.greatest(F.floor(F.col(score) * BUCKETS), F.lit(-1)), F.lit(BUCKETS))
-    g = g.withColumn("_bk", bk.cast("bigint"))
-    # Bounded table (at most BUCKETS + 2 rows): per-bucket totals and their prefix.
+    g = g.repartitionByRange(buckets, score).withColumn("_bk", F.spark_partition_id())
     bt = g.groupBy("_bk").agg(F.sum("pos").alias("_bp"), F.sum("neg").alias("_bn"))
     before = Window.orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
     bt = bt.select("_bk",
