@@ -36,3 +36,20 @@ def test_stream_velocity_matches_batch(spark):
     for w in b - s:
         end = dt.datetime.strptime(w[0], "%Y-%m-%d %H:%M:%S") + dt.timedelta(hours=1)
         assert end > open_after
+
+
+def test_trailing_velocity_state_across_batches(spark, tmp_path):
+    """Two files (split by time), one per trigger: the second micro-batch
+    needs the first one's state; the result equals the batch window."""
+    import pyarrow.parquet as pq
+
+    from txwatch.operators.features import sender_velocity
+    tab = pq.read_table(f"{SF001}/events.parquet").sort_by("ts")
+    half = tab.num_rows // 2
+    pq.write_table(tab.slice(0, half), tmp_path / "events_1.parquet")
+    pq.write_table(tab.slice(half), tmp_path / "events_2.parquet")
+    got = SS.stream_trailing_velocity(spark, str(tmp_path), max_files=1)
+    batch = sender_velocity(TD.events_payments(spark, SF001), block_seconds=3600)
+    key = ["transaction_id", "sender_tx_count_1h", "sender_amount_sum_1h"]
+    assert sorted(tuple(r) for r in got.select(*key).collect()) == \
+        sorted(tuple(r) for r in batch.select(*key).collect())

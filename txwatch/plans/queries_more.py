@@ -329,6 +329,19 @@ def stream_velocity(spark, sf):
     return SS.stream_velocity(spark, sf)
 
 
+@register("stream_trailing_velocity", _events_sql("""
+SELECT transaction_id, sender_account_masked, timestamp,
+  COUNT(*) OVER w AS sender_tx_count_1h,
+  CAST(SUM(CAST(amount AS DECIMAL(24,6))) OVER w AS DOUBLE) AS sender_amount_sum_1h
+FROM evp
+WINDOW w AS (PARTITION BY sender_account_masked ORDER BY timestamp
+             RANGE BETWEEN INTERVAL 1 HOUR PRECEDING AND CURRENT ROW)"""))
+def stream_trailing_velocity(spark, sf):
+    """Per-event trailing-hour sender velocity on a stream with keyed state
+    (one micro-batch over the available files equals the batch window)."""
+    return SS.stream_trailing_velocity(spark, sf)
+
+
 @register("sender_velocity_tumbling", _events_sql("""
 SELECT time_bucket(INTERVAL 1 HOUR, timestamp) AS window_start,
   time_bucket(INTERVAL 1 HOUR, timestamp) + INTERVAL 1 HOUR AS window_end, sender_account_masked,

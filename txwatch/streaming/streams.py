@@ -115,3 +115,71 @@ def stream_scores(spark: SparkSession, stream: DataFrame, model) -> DataFrame:
     """Score a stream with a fitted pipeline model (same transform as batch)."""
     from txwatch.operators.ml import score
     return score(model, stream)
+
+
+VELOCITY_OUT = T.StructType([
+    T.StructField("transaction_id", T.StringType()),
+    T.StructField("sender_account_masked", T.StringType()),
+    T.StructField("timestamp", T.TimestampNTZType()),
+    T.StructField("sender_tx_count_1h", T.LongType()),
+    T.StructField("sender_amount_sum_1h", T.DoubleType()),
+])
+VELOCITY_STATE = T.StructType([
+    T.StructField("ts_us", T.ArrayType(T.LongType())),
+    T.StructField("cents", T.ArrayType(T.LongType())),
+])
+
+
+def _trailing_hour(frame_us: int):
+    """Per-sender state function: state keeps the sender's events of the
+    last ``frame_us`` (by event time); each new event gets the count and sum
+    of the state plus batch events in ``[t - frame, t]``."""
+    import numpy as np
+    import pandas as pd
+
+    def fn(key, pdfs, state):
+        if state.hasTimedOut:
+            state.remove()
+            return
+        old_ts, old_c = (np.array(state.get[0], dtype=np.int64), np.array(state.get[1], dtype=np.int64)) \
+            if state.exists else (np.empty(0, np.int64), np.empty(0, np.int64))
+        new = pd.concat(list(pdfs), ignore_index=True)
+        epoch = pd.Timestamp("1970-01-01")
+        new_ts = ((new["timestamp"] - epoch) // pd.Timedelta(microseconds=1)).to_numpy(np.int64)
+        new_c = np.round(new["amount"].fillna(0).to_numpy() * 100).astype(np.int64)
+        has_amt = new["amount"].notna().to_numpy()
+        ts = np.concatenate([old_ts, new_ts])
+        cents = np.concatenate([old_c, np.where(has_amt, new_c, 0)])
+        order = np.argsort(ts, kind="stable")
+        ts, cents = ts[order], cents[order]
+        csum = np.concatenate([[0], np.cumsum(cents)])
+        lo = np.searchsorted(ts, new_ts - frame_us, side="left")
+        hi = np.searchsorted(ts, new_ts, side="right")
+        yield pd.DataFrame({
+            "transaction_id": new["transaction_id"],
+            "sender_account_masked": key[0],
+            "timestamp": new["timestamp"],
+            "sender_tx_count_1h": (hi - lo).astype(np.int64),
+            "sender_amount_sum_1h": (csum[hi] - csum[lo]) / 100.0,
+        })
+        keep = ts >= ts.max() - frame_us
+        state.update((ts[keep].tolist(), cents[keep].tolist()))
+        state.setTimeoutTimestamp(int(ts.max() // 1000 + frame_us // 1000))
+    return fn
+
+
+def stream_trailing_velocity(spark: SparkSession, sf_dir: str, delay: str = "60 minutes",
+                             frame_seconds: int = 3600, max_files: int | None = None) -> DataFrame:
+    """Per-event trailing-hour count and sum per sender on a stream (the
+    stream form of the batch RANGE window). Amounts are summed in integer
+    cents. State per sender is bounded by one frame of its events and is
+    dropped by an event-time timeout once the watermark passes."""
+    from pyspark.sql.streaming.state import GroupStateTimeout
+    rows = (events_to_payments(read_event_stream(spark, sf_dir, max_files)).drop("_bad")
+            .select("transaction_id", "sender_account_masked", "timestamp", "amount",
+                    F.col("timestamp").cast(T.TimestampType()).alias("event_time"))
+            .withWatermark("event_time", delay))
+    out = rows.groupBy("sender_account_masked").applyInPandasWithState(
+        _trailing_hour(frame_seconds * 1_000_000), VELOCITY_OUT, VELOCITY_STATE, "append",
+        GroupStateTimeout.EventTimeTimeout)
+    return run_available(out, spark, "trailing-velocity")
