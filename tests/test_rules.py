@@ -34,3 +34,19 @@ def test_typology_order(spark):
     got = [r.typology for r in score_rows(spark, rows).collect()]
     assert got == ["structuring_rapid", "structuring", "cross_currency_high_risk",
                    "rapid_movement", "unusual_amount", "large_round_amount", "large_round_amount"]
+
+
+def test_sender_key_keeps_colliding_accounts_apart(spark):
+    from txwatch.operators import standardize as ST
+    rows = [("2022-09-01 00:00:00", "1", "AAA1234", "2", "B0001", 100.0, "US Dollar", 100.0,
+             "US Dollar", "ACH", 0, "t", "ibm_aml"),
+            ("2022-09-01 00:10:00", "1", "ZZZ1234", "2", "B0002", 100.0, "US Dollar", 100.0,
+             "US Dollar", "ACH", 0, "t", "ibm_aml")]
+    cols = ["Timestamp", "From Bank", "Account_sender", "To Bank", "Account_receiver",
+            "Amount Received", "Receiving Currency", "Amount Paid", "Payment Currency",
+            "Payment Format", "Is Laundering", "ingested_at", "source"]
+    silver = ST.standardize(spark.createDataFrame(rows, cols), with_sender_key=True)
+    masked = FE.gold_features(silver, block_seconds=3600)
+    keyed = FE.sender_velocity(silver, sender="sender_key", block_seconds=3600)
+    assert sorted(r.sender_tx_count_1h for r in masked.collect()) == [1, 2]   # "****1234" merges
+    assert sorted(r.sender_tx_count_1h for r in keyed.collect()) == [1, 1]

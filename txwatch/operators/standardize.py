@@ -15,9 +15,14 @@ from txwatch.functions import columns as C
 BOOKKEEPING = ("chunk_id", "copy_no", "row_in_chunk")
 
 
-def standardize(bronze: DataFrame, with_format_in_id: bool = True) -> DataFrame:
+def standardize(bronze: DataFrame, with_format_in_id: bool = True,
+                with_sender_key: bool = False) -> DataFrame:
     """Raw columns -> the 19 silver columns (plus any bookkeeping columns
-    such as ``chunk_id`` and ordinals, which are carried through)."""
+    such as ``chunk_id`` and ordinals, which are carried through).
+
+    ``with_sender_key`` adds ``sender_key``, a SHA-256 of the raw sender
+    account: windows keyed on it keep apart accounts whose masked forms
+    collide (same last four characters), without storing the account."""
     keep = [c for c in bronze.columns if c.startswith("src_") or c in BOOKKEEPING]
     ts = C.parse_timestamp("Timestamp")
     src = F.col("source") if "source" in bronze.columns else F.lit(S.SOURCE_IBM)
@@ -40,6 +45,7 @@ def standardize(bronze: DataFrame, with_format_in_id: bool = True) -> DataFrame:
          else F.lit(None).cast("string")).alias("typology"),
         src.alias("source"),
         F.col("ingested_at").cast("string").alias("ingested_at"),
+        F.col("Account_sender").cast("string").alias("_raw_sender"),
         *keep,
     )
     df = df.withColumns({
@@ -51,6 +57,9 @@ def standardize(bronze: DataFrame, with_format_in_id: bool = True) -> DataFrame:
         "is_weekend": C.is_weekend("tx_day_of_week"),
         "is_cross_currency": C.is_cross_currency("payment_currency", "receiving_currency"),
     })
+    if with_sender_key:
+        keep = ["sender_key", *keep]
+        df = df.withColumn("sender_key", F.sha2(F.col("_raw_sender"), 256))
     return df.select(*S.SILVER_COLUMNS, *keep)
 
 
