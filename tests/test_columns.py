@@ -1,8 +1,6 @@
 """Scalar column functions against the edge rows of FIXTURES.md."""
 import datetime as dt
 
-from pyspark.sql import functions as F
-
 from txwatch.functions import columns as C
 from txwatch.functions import rules as R
 

@@ -5,7 +5,6 @@ import tempfile
 from pyspark.sql import functions as F
 
 from tests.conftest import SF001
-from txwatch import schemas as S
 from txwatch.plans import jobs, publish as P
 from txwatch.plans.pipeline import Ledger
 from txwatch.sources import files, testdata as TD

@@ -1,5 +1,4 @@
 """Rule score exactness and the ordered typology arms."""
-from pyspark.sql import functions as F
 
 from txwatch.functions import rules as R
 from txwatch.operators import features as FE
