@@ -22,6 +22,27 @@ BASE_CONF = {
 }
 
 
+def cluster_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20,
+                 shuffle_expansion: float = 1.5) -> dict[str, str]:
+    """Starting settings for a cluster run over ``input_bytes`` of Parquet.
+
+    Input splits of ``target_partition_bytes``; initial shuffle partitions
+    sized so each shuffle partition holds about that much (the widest
+    shuffle, the sender window, moves about ``shuffle_expansion`` times the
+    input it reads), and never fewer than 2 per core. AQE coalesces small
+    partitions and splits skewed join partitions at runtime, so these are
+    upper bounds, not per-query settings."""
+    shuffle = max(2 * total_cores, int(input_bytes * shuffle_expansion // target_partition_bytes) + 1)
+    return {
+        **BASE_CONF,
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+    }
+
+
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "txwatch") -> SparkSession:
     """Local session for tests and the bench (cluster jobs bring their own)."""
