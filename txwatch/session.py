@@ -23,16 +23,19 @@ BASE_CONF = {
 
 
 def cluster_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20,
-                 shuffle_expansion: float = 1.5) -> dict[str, str]:
+                 shuffle_expansion: float = 1.5, max_shuffle_partitions: int = 100_000) -> dict[str, str]:
     """Starting settings for a cluster run over ``input_bytes`` of Parquet.
 
     Input splits of ``target_partition_bytes``; initial shuffle partitions
     sized so each shuffle partition holds about that much (the widest
     shuffle, the sender window, moves about ``shuffle_expansion`` times the
-    input it reads), and never fewer than 2 per core. AQE coalesces small
-    partitions and splits skewed join partitions at runtime, so these are
-    upper bounds, not per-query settings."""
-    shuffle = max(2 * total_cores, int(input_bytes * shuffle_expansion // target_partition_bytes) + 1)
+    input it reads), never fewer than 2 per core and at most
+    ``max_shuffle_partitions`` (map-output tracking grows with maps x
+    reducers; above the cap partitions get larger and the external sort
+    spills). AQE coalesces small partitions and splits skewed join
+    partitions at runtime, so these are upper bounds, not per-query settings."""
+    wanted = int(input_bytes * shuffle_expansion // target_partition_bytes) + 1
+    shuffle = max(2 * total_cores, min(max_shuffle_partitions, wanted))
     return {
         **BASE_CONF,
         "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
