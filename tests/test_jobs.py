@@ -73,3 +73,12 @@ def test_feature_sink_dynamic_overwrite(spark):
     P.write_features(df, f"{root}/f", "2022-09-02")
     P.write_features(df, f"{root}/f", "2022-09-02")
     assert spark.read.parquet(f"{root}/f").count() == 2
+
+
+def test_cluster_conf_bounds():
+    from txwatch.session import cluster_conf
+    big = cluster_conf(100 * 2 ** 40, 8000)
+    assert big["spark.sql.shuffle.partitions"] == "100000"
+    small = cluster_conf(2 ** 30, 64)
+    assert int(small["spark.sql.shuffle.partitions"]) == 128   # floor: 2 per core
+    assert small["spark.sql.adaptive.enabled"] == "true"
