@@ -26,7 +26,7 @@ def pct_sql(num: str, den: str, d: int = 4) -> str:
 
 # ---------------------------------------------------------------- KPIs --
 @register("summary_kpis", with_layers(f"""
-SELECT COUNT(*) AS total_transactions, coalesce(SUM(is_laundering), 0) AS total_laundering,
+SELECT COUNT(*) AS total_transactions, CAST(coalesce(SUM(is_laundering), 0) AS BIGINT) AS total_laundering,
        {pct_sql('SUM(is_laundering)', 'COUNT(*)')} AS laundering_rate_pct,
        (SELECT COUNT(*) FROM alerts_cur) AS total_alerts,
        (SELECT COUNT(*) FROM alerts_cur WHERE status = 'OPEN') AS open_alerts
@@ -37,7 +37,7 @@ def summary_kpis(spark, sf):
 
 
 @register("monitor_panels", with_layers(f"""
-SELECT COUNT(*) AS total_transactions, coalesce(SUM(is_laundering), 0) AS total_laundering,
+SELECT COUNT(*) AS total_transactions, CAST(coalesce(SUM(is_laundering), 0) AS BIGINT) AS total_laundering,
        {pct_sql('SUM(is_laundering)', 'COUNT(*)')} AS laundering_rate_pct,
        (SELECT COUNT(*) FROM alerts_cur) AS total_alerts,
        (SELECT COUNT(*) FROM alerts_cur WHERE status = 'OPEN') AS open_alerts,
@@ -58,7 +58,7 @@ def top_risk_senders(spark, sf):
 
 DAILY_SQL = f"""
 tx AS (SELECT CAST(timestamp AS DATE) AS date, COUNT(*) AS transaction_count,
-              SUM(is_laundering) AS laundering_count, {r4('AVG(rule_score)')} AS avg_rule_score
+              CAST(SUM(is_laundering) AS BIGINT) AS laundering_count, {r4('AVG(rule_score)')} AS avg_rule_score
        FROM gold GROUP BY 1),
 al AS (SELECT CAST(t.timestamp AS DATE) AS date, COUNT(*) AS alert_count
        FROM alerts a JOIN gold t ON a.transaction_id = t.transaction_id GROUP BY 1),
@@ -92,7 +92,7 @@ def daily_alerts(spark, sf):
 
 @register("payment_type_stats", with_layers(f"""
 SELECT payment_type, COUNT(*) AS tx_count, {r4('AVG(rule_score)')} AS avg_rule_score,
-       {r4('AVG(amount)', 2)} AS avg_amount, SUM(is_laundering) AS laundering_count,
+       {r4('AVG(amount)', 2)} AS avg_amount, CAST(SUM(is_laundering) AS BIGINT) AS laundering_count,
        {pct_sql('SUM(is_laundering)', 'COUNT(*)')} AS laundering_rate
 FROM gold GROUP BY payment_type""", "gold"))
 def payment_type_stats(spark, sf):
@@ -284,8 +284,9 @@ def with_eval(body: str) -> str:
 
 SWEEP_SQL = ", sw0 AS (" + " UNION ALL ".join(
     f"SELECT CAST({i / 20!r} AS DOUBLE) AS threshold, "
-    f"count_if(score >= {t}) AS predicted_pos, count_if(score >= {t} AND label = 1) AS tp, "
-    f"count_if(label = 1) AS P, COUNT(*) AS n FROM ev"
+    f"CAST(count_if(score >= {t}) AS BIGINT) AS predicted_pos, "
+    f"CAST(count_if(score >= {t} AND label = 1) AS BIGINT) AS tp, "
+    f"CAST(count_if(label = 1) AS BIGINT) AS P, COUNT(*) AS n FROM ev"
     for i, t in M.sweep_thresholds()) + """),
 sw AS (SELECT threshold, predicted_pos, tp, predicted_pos - tp AS fp, P - tp AS fn,
   coalesce(CAST(tp AS DOUBLE) / NULLIF(CAST(predicted_pos AS DOUBLE), 0), 0.0) AS precision,
@@ -298,10 +299,10 @@ best AS (SELECT threshold, f1 FROM (
   SELECT threshold, f1, 0 AS d FROM sw WHERE predicted_pos > 0 AND f1 > 0
   UNION ALL SELECT 0.5, 0.0, 1) ORDER BY f1 DESC, d, threshold LIMIT 1)"""
 
-CM_AT_BEST = """cm AS (SELECT count_if(score < (SELECT threshold FROM best) AND label <> 1) AS tn,
-  count_if(score >= (SELECT threshold FROM best) AND label <> 1) AS fp,
-  count_if(score < (SELECT threshold FROM best) AND label = 1) AS fn,
-  count_if(score >= (SELECT threshold FROM best) AND label = 1) AS tp FROM ev)"""
+CM_AT_BEST = """cm AS (SELECT CAST(count_if(score < (SELECT threshold FROM best) AND label <> 1) AS BIGINT) AS tn,
+  CAST(count_if(score >= (SELECT threshold FROM best) AND label <> 1) AS BIGINT) AS fp,
+  CAST(count_if(score < (SELECT threshold FROM best) AND label = 1) AS BIGINT) AS fn,
+  CAST(count_if(score >= (SELECT threshold FROM best) AND label = 1) AS BIGINT) AS tp FROM ev)"""
 
 
 def _best(spark, sf):
@@ -401,7 +402,7 @@ def model_gate(spark, sf):
 @register("ml_split", with_layers(f"""
 SELECT CASE WHEN timestamp <= TIMESTAMP '{S.TRAIN_END}' THEN 'train'
             WHEN timestamp <= TIMESTAMP '{S.VAL_END}' THEN 'val' ELSE 'test' END AS split,
-       COUNT(*) AS row_count, SUM(is_laundering) AS positives
+       COUNT(*) AS row_count, CAST(SUM(is_laundering) AS BIGINT) AS positives
 FROM gold GROUP BY 1""", "gold"))
 def ml_split(spark, sf):
     ds = ML.ml_dataset(ledger(spark, sf).gold)
@@ -412,7 +413,7 @@ def ml_split(spark, sf):
 @register("class_balance", with_layers(f"""
 SELECT pos, neg, CASE WHEN pos > 0 THEN CAST(round(CAST(CAST(neg AS DOUBLE) / CAST(pos AS DOUBLE)
   AS DECIMAL(38,12)), 2) AS DOUBLE) ELSE 1000.0 END AS scale_pos_weight
-FROM (SELECT count_if(is_laundering = 1) AS pos, count_if(is_laundering = 0) AS neg
+FROM (SELECT CAST(count_if(is_laundering = 1) AS BIGINT) AS pos, CAST(count_if(is_laundering = 0) AS BIGINT) AS neg
       FROM gold WHERE timestamp <= TIMESTAMP '{S.TRAIN_END}')""", "gold"))
 def class_balance(spark, sf):
     return ML.class_balance(ML.ml_dataset(ledger(spark, sf).gold))
@@ -454,14 +455,15 @@ def gate_gold(spark, sf):
 SELECT {r4('AVG(rule_score)', 6)} AS avg_rule_score, MAX(rule_score) AS max_rule_score,
        MIN(rule_score) AS min_rule_score, {r4('AVG(sender_tx_count_1h)', 6)} AS avg_tx_1h,
        MAX(sender_tx_count_1h) AS max_tx_1h, COUNT(*) AS total_rows,
-       count_if(is_laundering = 1) AS laundering_rows FROM gold""", "gold"))
+       CAST(count_if(is_laundering = 1) AS BIGINT) AS laundering_rows FROM gold""", "gold"))
 def gold_profile(spark, sf):
     return Q.gold_profile(ledger(spark, sf).gold)
 
 
 @register("silver_profile", with_layers(f"""
-SELECT COUNT(*) AS total_rows, count_if(transaction_id IS NULL) AS null_transaction_id,
-       count_if(amount IS NULL) AS null_amount, count_if(amount < 0) AS negative_amount,
+SELECT COUNT(*) AS total_rows, CAST(count_if(transaction_id IS NULL) AS BIGINT) AS null_transaction_id,
+       CAST(count_if(amount IS NULL) AS BIGINT) AS null_amount,
+       CAST(count_if(amount < 0) AS BIGINT) AS negative_amount,
        COUNT(*) - COUNT(DISTINCT transaction_id) - CASE WHEN count_if(transaction_id IS NULL) > 0 THEN 1 ELSE 0 END
          AS duplicate_transaction_id,
        {r4('AVG(is_laundering) * 100')} AS laundering_rate_pct,
