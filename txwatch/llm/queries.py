@@ -9,9 +9,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F  # noqa: F401
+from pyspark.sql import functions as F
 
-from txwatch.llm import exact_dedup
+from txwatch.llm import exact_dedup, substring_dedup
 from txwatch.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -27,6 +27,31 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+@query("op1_substring_dedup", """
+WITH w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS ws
+  FROM documents),
+windows AS (
+  SELECT doc_id, i, array_to_string(ws[i:i + 12], ' ') AS win
+  FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 11)) AS i FROM w)),
+lows AS (SELECT win, min(doc_id) AS low FROM windows GROUP BY win HAVING count(*) > 1),
+gone AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS pos
+  FROM windows JOIN lows USING (win) WHERE low < doc_id),
+lost AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id),
+kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY pos) AS kept
+  FROM (SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS pos FROM w)
+  ANTI JOIN gone USING (doc_id, pos) GROUP BY doc_id)
+SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n, 0) AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM w LEFT JOIN lost USING (doc_id) LEFT JOIN kept USING (doc_id)
+""")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring_dedup.substring_dedup(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 @query("op9_exact_dedup", """
 WITH d AS (
   SELECT doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
