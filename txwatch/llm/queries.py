@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txwatch.llm import exact_dedup, substring_dedup
+from txwatch.llm import exact_dedup, quality_rules, substring_dedup
 from txwatch.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -52,6 +52,63 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+_RULES_SQL = {r: f"CASE WHEN {below} > 0 THEN {above} / {below} ELSE 0.0 END"
+              for r, (above, below) in quality_rules.RULES.items()}
+
+
+def _quality_sql() -> str:
+    q = quality_rules
+    share = q.ALPHA / len(q.RULES)
+    tests = [f"count(*) FILTER (WHERE {v} >= {c}) AS {r}_{i}" for r, v in _RULES_SQL.items() for i, c in enumerate(q.GRID)]
+    rows = [f"SELECT lang, n, level, '{r}' AS rule, {c} AS cutoff, {r}_{i} AS k FROM counts"
+            for r in q.RULES for i, c in enumerate(q.GRID)]
+    return f"""
+WITH w AS (
+  SELECT doc_id, lang, coalesce(text, '') AS text,
+         list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS ws,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS ls
+  FROM documents),
+grams AS (SELECT doc_id, i, array_to_string(ws[i:i + 4], ' ') AS g
+          FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 3)) AS i FROM w)),
+repeated AS (
+  SELECT doc_id, count(DISTINCT pos) AS n FROM (
+    SELECT doc_id, unnest(range(i, i + 5)) AS pos FROM grams
+    SEMI JOIN (SELECT doc_id, g FROM grams GROUP BY ALL HAVING count(*) > 1) USING (doc_id, g))
+  GROUP BY doc_id),
+m AS (
+  SELECT doc_id, lang, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(array_to_string(ws, '')) AS BIGINT) AS word_chars,
+         CAST(len(regexp_extract_all(text, '[#*$%&|<>]')) AS BIGINT) AS n_symbols,
+         CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines, coalesce(n, 0) AS n_repeat_words,
+         CAST(len(ls) AS BIGINT) AS n_lines, CAST(len(regexp_extract_all(text, '\\p{{Lu}}')) AS BIGINT) AS n_upper,
+         CAST(len(regexp_extract_all(text, '!')) AS BIGINT) AS n_shouts
+  FROM w LEFT JOIN repeated USING (doc_id)),
+f AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM m),
+counts AS (
+  SELECT lang, count(*) AS n, {q.DELTA} / (count(*) OVER () * {len(q.RULES)}) AS level, {', '.join(tests)}
+  FROM f SEMI JOIN (SELECT doc_id FROM labels GROUP BY doc_id HAVING max(quality) = 1) USING (doc_id)
+  WHERE NOT base_failed GROUP BY lang),
+long AS ({' UNION ALL '.join(rows)}),
+terms AS (SELECT lang, n, level, rule, cutoff, k, unnest(range(0, k + 1)) AS i FROM long WHERE k < n * {share}),
+passed AS (
+  SELECT lang, rule, cutoff FROM terms GROUP BY lang, rule, cutoff, level
+  HAVING sum(exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({share}) + (n - i) * ln(1 - {share}))) <= level),
+failed AS (SELECT lang, rule, max(cutoff) AS cutoff FROM (SELECT lang, rule, cutoff FROM long EXCEPT SELECT * FROM passed)
+           GROUP BY lang, rule),
+best AS (SELECT p.lang, p.rule, min(p.cutoff) AS cut FROM passed p
+         LEFT JOIN failed x ON p.lang IS NOT DISTINCT FROM x.lang AND p.rule = x.rule
+         WHERE x.cutoff IS NULL OR p.cutoff > x.cutoff GROUP BY p.lang, p.rule),
+cuts AS (SELECT lang, {', '.join(f"max(cut) FILTER (WHERE rule = '{r}') AS cut_{r}" for r in q.RULES)} FROM best GROUP BY lang)
+SELECT f.doc_id, {', '.join('f.' + c for c in q.COUNTS)}, base_failed,
+       NOT base_failed AND NOT ({' OR '.join(f'coalesce({v} >= cut_{r}, false)' for r, v in _RULES_SQL.items())}) AS kept
+FROM f LEFT JOIN cuts ON f.lang IS NOT DISTINCT FROM cuts.lang
+"""
+
+
+@query("op3_quality_rules", _quality_sql())
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query("op9_exact_dedup", """
 WITH d AS (
   SELECT doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
