@@ -5,7 +5,7 @@
 2. Misra-Gries finds the digests that may be frequent, with Spark's
    ``approx_top_k`` aggregates: each task keeps at most ``counters`` counters
    (all are decremented when a new item finds the map full), and the maps are
-   merged in two levels. The survivors that are not frequent do no harm.
+   merged. The survivors that are not frequent do no harm.
 3. The survivors are verified: their exact group size and winner come from one
    aggregate, at most ``counters`` rows, broadcast. Their rows are settled
    on the map side, without a shuffle.
@@ -33,14 +33,14 @@ def normal_digest(text: Column) -> Column:
 def frequent(digests: DataFrame, counters: int = COUNTERS, groups: int = 256) -> DataFrame:
     """Misra-Gries survivors of ``digest``: at most ``counters`` rows.
 
-    The maps of all tasks meet in ``groups`` merges first and in one after, so
-    no task merges more than ``max(tasks / groups, groups)`` of them."""
+    The maps of the tasks meet in ``groups`` merges; these summaries are merged
+    as Misra-Gries summaries are: counters of one item add up, the largest stay."""
     size = f"{counters}"
     level = digests.groupBy(F.pmod(F.spark_partition_id(), F.lit(groups)).alias("g")).agg(
         F.expr(f"approx_top_k_accumulate(digest, {size})").alias("state"))
-    merged = level.agg(F.expr(f"approx_top_k_combine(state, {size})").alias("state"))
-    found = merged.select(F.explode(F.expr(f"approx_top_k_estimate(state, {size})")).alias("top"))
-    return found.select(F.col("top.item").alias("digest"))
+    found = level.select(F.explode(F.expr(f"approx_top_k_estimate(state, {size})")).alias("top"))
+    return (found.groupBy(F.col("top.item").alias("digest")).agg(F.sum("top.count").alias("n"))
+            .orderBy(F.desc("n"), "digest").limit(counters).select("digest"))
 
 
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
