@@ -17,7 +17,7 @@ windows, wherever they start, hold one anchor at the same shift. Passes:
 3. each batch removes the words under windows whose smallest id is below the
    document's own.
 
-Windows are compared by 128 bits of hash (anchors, which only propose, by 64).
+Windows are compared by 96 bits of hash (anchors, which only propose, by 64).
 The batches come from one exchange of the texts that all passes reuse.
 """
 
@@ -39,7 +39,7 @@ BATCH_BYTES, BUCKET_BYTES = 16 << 20, 16 << 20
 NO_ID = np.iinfo(np.int64).max
 
 ANCHOR = np.dtype([("hash", U), ("multi", np.uint8)])
-SPAN = np.dtype([("hash", U), ("hash2", U), ("low", np.int64), ("multi", np.uint8)])
+SPAN = np.dtype([("hash", U), ("hash2", np.uint32), ("low", np.int64), ("multi", np.uint8)])
 OUT = "doc_id long, text_sha256 string, n_words long, n_removed long, kept_text string"
 _OUT = pa.schema([("doc_id", pa.int64()), ("text_sha256", pa.string()), ("n_words", pa.int64()),
                   ("n_removed", pa.int64()), ("kept_text", pa.string())])
@@ -140,7 +140,7 @@ def send_spans(group: pa.Table, answers: pa.Table, window: int, period: int, n_b
         at = np.flatnonzero(np.cumsum(cover)[:n] > 0)
         first.append(window_hashes(h, window, at))
         second.append(window_hashes(h, window, at, second=True))
-    h1, h2, owner = np.concatenate(first), np.concatenate(second), b.owners(first)
+    h1, h2, owner = np.concatenate(first), np.concatenate(second).astype(np.uint32), b.owners(first)
     order, starts = _grouped(h1, h2)
     out = np.empty(len(starts), SPAN)
     if len(starts):
@@ -152,17 +152,14 @@ def send_spans(group: pa.Table, answers: pa.Table, window: int, period: int, n_b
 
 
 def lowest_ids(entries: np.ndarray, sender: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Back to each sender: the smallest id of its windows that two documents have."""
+    """Back to each sender: its windows that a smaller id has than one of its own, with the smallest."""
     order, starts = _grouped(entries["hash"], entries["hash2"])
     if not len(starts):
         return entries, sender
-    several = np.diff(np.append(starts, len(order))) > 1
-    several |= np.maximum.reduceat(entries["multi"][order], starts) > 0
-    low = np.minimum.reduceat(entries["low"][order], starts)
-    group = _spread(starts, len(order))
-    keep = several[group]
+    low = np.minimum.reduceat(entries["low"][order], starts)[_spread(starts, len(order))]
+    keep = (low < entries["low"][order]) | (entries["multi"][order] > 0)
     back = entries[order[keep]].copy()
-    back["low"] = low[group[keep]]
+    back["low"] = low[keep]
     return back, sender[order[keep]]
 
 
@@ -178,7 +175,7 @@ def remove(group: pa.Table, answers: pa.Table, window: int, period: int) -> pa.T
             at = np.searchsorted(known["hash"], h1)
             open_ = np.flatnonzero((at < len(known)) & (known["hash"][np.minimum(at, len(known) - 1)] == h1))
             if len(open_):
-                h2 = window_hashes(h, window, open_, second=True)
+                h2 = window_hashes(h, window, open_, second=True).astype(np.uint32)
                 at, h1 = at[open_], h1[open_]
                 hits = []
                 while len(open_):  # a second round only where two windows share their first 64 bits
