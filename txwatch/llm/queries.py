@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txwatch.llm import exact_dedup, quality_rules, substring_dedup
+from txwatch.llm import exact_dedup, ngram_join, quality_rules, substring_dedup
 from txwatch.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -109,6 +109,12 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query("op8_ngram_join")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = ngram_join.ngram_join(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "class_id", "n_links", "n_copies")
+
+
 @query("op9_exact_dedup", """
 WITH d AS (
   SELECT doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
