@@ -11,13 +11,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txwatch.llm import exact_dedup, ngram_join, quality_rules, substring_dedup
+from txwatch.llm import exact_dedup, ngram_join, packing, quality_rules, substring_dedup
 from txwatch.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
+def vocabulary(name: str) -> str:
+    """The place of a public tokenizer file, the same on every machine."""
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
 def query(name: str, sql: str | None = None):
     def add(fn):
         QUERIES[name] = fn
@@ -126,3 +132,9 @@ FROM d WINDOW g AS (PARTITION BY text_sha256)
 """)
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
+
+
+@query("op10_packing")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"),
+                        value=F.crc32("ids").alias("ids_crc32"))
