@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txwatch.llm import exact_dedup, ngram_join, packing, quality_rules, substring_dedup
+from txwatch.llm import bpe, exact_dedup, ngram_join, packing, quality_rules, substring_dedup
 from txwatch.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -115,6 +115,14 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query("op7_bpe")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = vocabulary("word_bpe_49k.json")
+    found = bpe.decode_ids(bpe.encode_texts(table(spark, sf_dir, "documents"), path), path)
+    return found.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+                        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 @query("op8_ngram_join")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = ngram_join.ngram_join(table(spark, sf_dir, "documents"))
