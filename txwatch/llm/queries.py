@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txwatch.llm import bpe, exact_dedup, ngram_join, packing, quality_rules, substring_dedup
+from txwatch.llm import bpe, exact_dedup, ngram_join, packing, quality_rules, substring_dedup, warc_zip
 from txwatch.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -58,6 +58,20 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+@query("op2_warc", """
+WITH p AS (SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes,
+                  sha256(coalesce(html, '')) AS payload_digest FROM pages),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND page_id <> first THEN first END AS refers_to
+FROM f
+""")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = warc_zip.round_trip(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 _RULES_SQL = {r: f"CASE WHEN {below} > 0 THEN {above} / {below} ELSE 0.0 END"
               for r, (above, below) in quality_rules.RULES.items()}
 
