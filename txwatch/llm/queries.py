@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txwatch.llm import bpe, exact_dedup, ngram_join, packing, quality_rules, substring_dedup, warc_zip
+from txwatch.llm import bpe, exact_dedup, html_extract, ngram_join, packing, quality_rules, substring_dedup, warc_zip
 from txwatch.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -129,6 +129,11 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query("op6_html_extraction")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.main_text(table(spark, sf_dir, "pages"))
+
+
 @query("op7_bpe")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = vocabulary("word_bpe_49k.json")
