@@ -8,6 +8,7 @@ all passes of one query share, so its exchange is planned once and reused.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,6 +28,12 @@ def words(text: Column) -> Column:
     return F.filter(parts, lambda w: w != "")
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once (a column that a lambda names
+    could be put in its place and be computed again for each element)."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

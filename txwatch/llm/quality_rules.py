@@ -22,7 +22,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from txwatch.llm.common import words
+from txwatch.llm.common import let, words
 from txwatch.session import materialize
 
 SYMBOLS = "#*$%&|<>"
@@ -39,11 +39,6 @@ RULES = {"symbols": ("n_symbols", "n_words"), "capitals": ("n_upper", "word_char
          "shouts": ("n_shouts", "n_words")}
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` of a value that is computed once."""
-    return F.element_at(F.transform(F.array(value), body), 1)
-
-
 def occurrences(text: Column, chars: str) -> Column:
     """How often the characters stand in the text."""
     return F.length(text) - F.length(reduce(lambda t, c: F.replace(t, F.lit(c), F.lit("")), chars, text))

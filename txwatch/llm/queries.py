@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txwatch.llm import bpe, exact_dedup, html_extract, ngram_join, packing, quality_rules, substring_dedup, warc_zip
+from txwatch.llm import bpe, exact_dedup, html_extract, license_scan, ngram_join, packing, quality_rules, substring_dedup, warc_zip
 from txwatch.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -129,6 +129,51 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def _license_sql() -> str:
+    q = license_scan
+    rows = []
+    for base, texts in (("true", q.PHRASES), ("false", q.NOTICES)):
+        for text, label in texts.items():
+            w = text.split()
+            k = q.gram(len(w))
+            rows += [f"('{text}', '{label}', {base}, {len(w)}, {k}, {t}, '{' '.join(w[t:t + k])}')" for t in range(len(w) - k + 1)]
+    return f"""
+WITH templates(template, label, base, size, k, t, gram) AS (VALUES {', '.join(rows)}),
+w AS (SELECT doc_id, list_filter(regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '') AS ws FROM documents),
+grams AS (
+  SELECT doc_id, i - 1 AS pos, array_to_string(ws[i:i + k - 1], ' ') AS gram
+  FROM (SELECT doc_id, ws, k, unnest(range(1, len(ws) - k + 2)) AS i FROM w, (VALUES ({q.SHORT}), ({q.LONG})) AS ks(k))),
+hits AS (SELECT DISTINCT doc_id, template, label, base, size, k, t, pos, pos - t AS diag FROM grams JOIN templates USING (gram)),
+places AS (SELECT doc_id, label, true AS base, min(pos) AS start, 1.0 AS covered FROM hits WHERE base
+           GROUP BY doc_id, template, label, size, k, diag HAVING count(*) = size - k + 1),
+jumps AS (SELECT *, diag - lag(diag) OVER (PARTITION BY doc_id, template ORDER BY diag) > {q.GAP} AS jump
+          FROM (SELECT DISTINCT doc_id, template, diag FROM hits WHERE NOT base)),
+runs AS (SELECT doc_id, template, diag,
+         sum(CASE WHEN jump THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id, template ORDER BY diag) AS run FROM jumps),
+covers AS (SELECT doc_id, template, label, size, run, min(pos) AS first, max(pos + k - 1) AS last,
+           count(DISTINCT word) AS n
+           FROM (SELECT *, unnest(range(t, t + k)) AS word FROM hits WHERE NOT base) JOIN runs USING (doc_id, template, diag)
+           GROUP BY doc_id, template, label, size, run),
+found AS (
+  SELECT doc_id, label, base, start, covered FROM places UNION ALL
+  SELECT doc_id, label, false, NULL, n / size FROM covers
+  WHERE n / size >= {q.MIN_COVERED} AND last - first + 1 <= {q.MAX_STRETCH} * size)
+SELECT w.doc_id, CAST(any_value(len(ws)) AS BIGINT) AS n_words, count(start) AS n_base,
+       CAST(min(start) AS BIGINT) AS first_word, CAST(max(start) AS BIGINT) AS last_word,
+       coalesce(string_agg(DISTINCT label, ',' ORDER BY label) FILTER (WHERE base), '') AS base_labels,
+       coalesce(string_agg(DISTINCT label, ',' ORDER BY label), '') AS labels,
+       CAST(coalesce(max(covered), 0) AS DOUBLE) AS score
+FROM w LEFT JOIN found USING (doc_id) GROUP BY w.doc_id
+"""
+
+
+@query("op4_license_scan", _license_sql())
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
 @query("op6_html_extraction")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.main_text(table(spark, sf_dir, "pages"))
