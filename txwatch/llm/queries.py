@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txwatch.llm import bpe, exact_dedup, html_extract, license_scan, ngram_join, packing, quality_rules, substring_dedup, warc_zip
+from txwatch.llm import bpe, exact_dedup, html_extract, license_scan, lm_score, ngram_join, packing, quality_rules, substring_dedup, warc_zip
 from txwatch.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -174,6 +174,11 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(table(spark, sf_dir, "documents"))
 
 
+@query("op5_lm_scoring")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.scores(table(spark, sf_dir, "documents"))
+
+
 @query("op6_html_extraction")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.main_text(table(spark, sf_dir, "pages"))
