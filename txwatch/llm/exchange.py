@@ -38,7 +38,7 @@ def cut(batch: int, entries: np.ndarray, key: str, n_buckets: int) -> pa.Table:
     """One row for each bucket that gets entries (a structured array sorted by ``key``)."""
     bucket = ((entries[key] >> U(32)) * U(n_buckets) >> U(32)).astype(np.int64)
     at = np.flatnonzero(np.diff(bucket, prepend=-1)) if len(bucket) else np.zeros(0, np.int64)
-    ends = np.append(at[1:], len(bucket))
+    ends = np.append(at, len(bucket))[1:]
     return pa.table([pa.array(bucket[at], pa.int32()), pa.array([batch] * len(at), pa.int32()),
                      pa.array([packed(entries[a:b]) for a, b in zip(at, ends, strict=True)], pa.binary())],
                     schema=_ASK)
@@ -62,7 +62,7 @@ def settle(asked: DataFrame, dtype: np.dtype,
         order = np.argsort(to, kind="stable")
         back, to = back[order], to[order]
         rows, at = np.unique(to, return_index=True)
-        ends = np.append(at[1:], len(to))
+        ends = np.append(at, len(to))[1:]
         batches = group.column("batch").to_pylist()
         return pa.table([pa.array([batches[r] for r in rows], pa.int32()),
                          pa.array([packed(back[a:b]) for a, b in zip(at, ends, strict=True)], pa.binary())],
