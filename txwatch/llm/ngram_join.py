@@ -95,32 +95,39 @@ def signatures(docs: DataFrame, n: int, bands: int, rows: int) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, text_key long, n_bytes long, set_key binary, bands array<long>")
 
 
-def common_counts(sets: list[np.ndarray]) -> np.ndarray:
-    """How many shingles each two of the sets share."""
-    m = len(sets)
-    values, owner = np.concatenate(sets), np.repeat(np.arange(m), [len(s) for s in sets])
+def common_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """How many shingles each two sets share, of all sets if ``right`` is empty."""
+    sets, n = [*left, *right], len(left)
+    values, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(s) for s in sets])
     order = np.argsort(values, kind="stable")
     values, owner = values[order], owner[order]
     new = np.flatnonzero(np.append(True, values[1:] != values[:-1]))
     size = np.diff(np.append(new, len(values)))
     column = np.cumsum(size > 1) - 1  # only shingles of two sets count
+    total = int(column[-1]) + 1
     shared = np.repeat(size > 1, size)
     owner, column = owner[shared], np.repeat(column, size)[shared]
-    both = np.zeros((m, m), np.float32)
-    edges = np.searchsorted(column, np.arange(0, column[-1] + 1 + COLUMNS, COLUMNS)) if len(column) else [0]
-    for k, (a, b) in enumerate(zip(edges[:-1], edges[1:], strict=True)):
-        x = np.zeros((m, COLUMNS), np.float32)
-        x[owner[a:b], column[a:b] - k * COLUMNS] = 1
-        both += x @ x.T
+    both = np.zeros((n, len(right) or n), np.float32)
+    for at in range(0, total, COLUMNS):
+        a, b = np.searchsorted(column, (at, at + COLUMNS))
+        x = np.zeros((len(sets), min(COLUMNS, total - at)), np.float32)
+        x[owner[a:b], column[a:b] - at] = 1
+        both += x[:n] @ (x[n:] if right else x).T
     return both.astype(np.float64)
 
 
-def linked(sets: list[np.ndarray], threshold: float) -> np.ndarray:
-    """Which two of the sets have a Jaccard similarity of at least the threshold."""
-    size = np.array([len(s) for s in sets], np.float64)
-    both = common_counts(sets)
-    out = both / (size[:, None] + size[None, :] - both) >= threshold
-    np.fill_diagonal(out, False)
+def linked(left: list[np.ndarray], right: list[np.ndarray], threshold: float) -> np.ndarray:
+    """Which two sets, one of each side or all of the left if ``right`` is empty,
+    have a Jaccard similarity of at least the threshold, as a square matrix."""
+    n = len(left)
+    size = np.array([len(s) for s in (*left, *right)], np.float64)
+    both = common_counts(left, right)
+    near = both / (size[:n, None] + size[None, n if right else 0:] - both) >= threshold
+    if not right:
+        np.fill_diagonal(near, False)
+        return near
+    out = np.zeros((len(size), len(size)), bool)
+    out[:n, n:], out[n:, :n] = near, near.T
     return out
 
 
@@ -153,10 +160,12 @@ def verified(candidates: DataFrame, n: int, threshold: float) -> DataFrame:
             for r in rows:
                 if cols["node"][r] not in sets:
                     sets[cols["node"][r]] = shingles(cols["body"][r], n)
-            links = linked([sets[cols["node"][r]] for r in rows], threshold)
-            block = np.array([cols["block"][r] for r in rows])
-            if i != j:
-                links &= block[:, None] != block[None, :]
+            rows.sort(key=lambda r: cols["block"][r])  # by block, by node within
+            of = [sets[cols["node"][r]] for r in rows]
+            n_left = len(rows) if i == j else sum(cols["block"][r] == i for r in rows)
+            if n_left == 0 or (i != j and n_left == len(rows)):
+                continue
+            links = linked(of[:n_left], of[n_left:], threshold)
             weight = np.array([cols["weight"][r] for r in rows], np.int64)
             root = roots(links)
             some = np.flatnonzero(links.any(axis=1))
