@@ -3,9 +3,9 @@
 Counts are cast to double before arithmetic (decimal literals would
 truncate). AUC and average precision need, per distinct score, the number
 of positives/negatives strictly below it. That prefix sum runs in two
-levels: distinct scores are range-partitioned into ``BUCKETS`` ordered
-buckets whose totals get a prefix over a bounded table, and each bucket
-orders its own distinct scores, so no step sees all scores in one task.
+levels: distinct scores fall into at most ``BUCKETS`` ordered buckets, by
+bounds fetched once, whose totals get a prefix over a bounded table, and each
+bucket orders its own distinct scores, so no step sees all scores in one task.
 """
 
 from __future__ import annotations
@@ -74,32 +74,49 @@ def classification_report(cm: DataFrame) -> DataFrame:
     return cm.select(F.inline(rows))
 
 
+def score_bounds(scores: DataFrame, score: str, buckets: int) -> list[float]:
+    """At most ``buckets - 1`` bounds that cut the distinct scores about evenly.
+    They are fetched once, as numbers: a bucket is then the same for a score
+    wherever and however often it is computed."""
+    cuts = scores.approxQuantile(score, [i / buckets for i in range(1, buckets)], 1 / (4 * buckets))
+    return sorted(set(cuts))
+
+
+def bucket_of(score: Column, bounds: list[float]) -> Column:
+    """How many bounds are at or below the score, by a balanced tree of tests."""
+    def tree(lo: int, hi: int) -> Column:
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        return F.when(score < F.lit(bounds[mid]), tree(lo, mid)).otherwise(tree(mid + 1, hi))
+    return tree(0, len(bounds))
+
+
 def score_table(df: DataFrame, score: str = "score", label: str = "label",
                 buckets: int = BUCKETS) -> DataFrame:
     """Per distinct score: pos, neg and the counts strictly below it
-    (pos_below, neg_below), plus totals P and N.
-
-    Distinct scores are range-partitioned into ``buckets`` ordered buckets
-    (bounds from a sample of the scores, so clustered scores still spread
-    evenly; equal scores never split). Bucket totals get a prefix over a
-    table of at most ``buckets`` rows (broadcast: a proven bound), and each
-    bucket orders only its own scores."""
-    g = df.groupBy(score).agg(F.count_if(F.col(label) == 1).alias("pos"),
-                              F.count_if(F.col(label) != 1).alias("neg"))
-    g = g.repartitionByRange(buckets, score).withColumn("_bk", F.spark_partition_id())
+    (pos_below, neg_below), plus totals P and N. Null scores are left out.
+
+    A score's bucket depends on its value alone (``bucket_of``), so equal
+    scores never split and repeated evaluations agree. Bucket totals get a
+    prefix, and P and N, over a table of at most ``buckets`` rows (broadcast:
+    a proven bound); each bucket orders only its own scores."""
+    g = (df.where(F.col(score).isNotNull()).groupBy(F.col(score).cast("double").alias(score))
+         .agg(F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) != 1).alias("neg")))
+    g = g.withColumn("_bk", bucket_of(F.col(score), score_bounds(g, score, buckets)))
     bt = g.groupBy("_bk").agg(F.sum("pos").alias("_bp"), F.sum("neg").alias("_bn"))
     before = Window.orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.orderBy("_bk").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     bt = bt.select("_bk",
                    F.coalesce(F.sum("_bp").over(before), F.lit(0)).alias("_pb"),
-                   F.coalesce(F.sum("_bn").over(before), F.lit(0)).alias("_nb"))
+                   F.coalesce(F.sum("_bn").over(before), F.lit(0)).alias("_nb"),
+                   F.sum("_bp").over(whole).alias("P"), F.sum("_bn").over(whole).alias("N"))
     within = Window.partitionBy("_bk").orderBy(score).rowsBetween(Window.unboundedPreceding, -1)
-    totals = g.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
     return (g.join(F.broadcast(bt), "_bk")
             .select(score, "pos", "neg",
                     (F.col("_pb") + F.coalesce(F.sum("pos").over(within), F.lit(0))).alias("pos_below"),
-                    (F.col("_nb") + F.coalesce(F.sum("neg").over(within), F.lit(0))).alias("neg_below"))
-            .withColumn("P", totals.select("P").scalar())
-            .withColumn("N", totals.select("N").scalar()))
+                    (F.col("_nb") + F.coalesce(F.sum("neg").over(within), F.lit(0))).alias("neg_below"),
+                    "P", "N"))
 
 
 def auc_roc(df: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
