@@ -30,6 +30,7 @@ from txwatch.functions.columns import epoch_micros
 
 US = 1_000_000
 BLOCK = "_blk"
+NO_TIME = 1 << 60
 
 
 def order_value(ts_col: str, dtype, time_unit_seconds: int | None) -> Column:
@@ -77,7 +78,8 @@ def sliding_sums(
     sum of ``value_col`` over them (null when no value). A frame of ``None``
     is cumulative (all of the key's rows up to ``t``): the own block's
     running sum plus a prefix over all earlier blocks of the small table.
-    ``totals`` adds ``(name, value_col)`` whole-key counts/sums."""
+    ``totals`` adds ``(name, value_col)`` whole-key counts/sums. Rows without a
+    time see one another (and, cumulatively, all rows of their key)."""
     unit_s = time_unit_seconds or 0
     scale = US if not unit_s else 1 / unit_s
     w_len = int(block_seconds * scale)
@@ -96,7 +98,14 @@ def sliding_sums(
 
     dtype = df.schema[ts_col].dataType
     base = df.withColumn("_ord", order_value(ts_col, dtype, time_unit_seconds))
-    base = base.withColumn(BLOCK, F.expr(f"(_ord - pmod(_ord, {w_len})) div {w_len}"))
+    # Null keys form one group and null times are last, in a block of their
+    # own, as in a SQL window; the join below then needs no null-safe equality.
+    base = base.withColumn(BLOCK, F.coalesce(F.expr(f"(_ord - pmod(_ord, {w_len})) div {w_len}"), F.lit(NO_TIME)))
+    names, keys = list(keys), []
+    for i, name in enumerate(names):
+        base = base.withColumns({f"_k{i}": F.coalesce(F.col(name).cast("string"), F.lit("")),
+                                 f"_n{i}": F.col(name).isNull()})
+        keys += [f"_k{i}", f"_n{i}"]
 
     # Own rows (wide) plus one narrow context copy per distinct hop f/W.
     hops = sorted({h for _, _, h, _ in specs if h is not None})
@@ -104,7 +113,7 @@ def sliding_sums(
     narrow = base.select(*keys, "_ord", BLOCK, *values)
     parts = [own]
     for h in hops:
-        parts.append(narrow.withColumn(BLOCK, F.col(BLOCK) + h).withColumn("_hop", F.lit(h)))
+        parts.append(narrow.where(F.col("_ord").isNotNull()).withColumn(BLOCK, F.col(BLOCK) + h).withColumn("_hop", F.lit(h)))
     both = parts[0]
     for p in parts[1:]:
         both = both.unionByName(p, allowMissingColumns=True)
@@ -170,4 +179,4 @@ def sliding_sums(
     for tname, _ in totals:
         result[tname] = F.col(f"_tot_{tname}")
     drop = [c for c in out.columns if c.startswith(("_fine_", "_start_", "_mid_", "_tot_"))]
-    return out.withColumns(result).drop(*drop, "_ord", "_hop", BLOCK)
+    return out.withColumns(result).drop(*drop, *keys, "_ord", "_hop", BLOCK)

@@ -88,7 +88,9 @@ def mark_duplicates(df: DataFrame, id_col: str = "transaction_id", chunk_col: st
     one comparable column, e.g. ``packed_ordinal``). Built from partial
     aggregates (min per (id, chunk), then min chunk per id) and one join back,
     so an id with very many copies is combined map-side and the join's hot
-    key is split by AQE, never gathered into one window task.
+    key is split by AQE, never gathered into one window task. Every row comes
+    back: a null id has no duplicates and stays (the silver gate reports it), a
+    null chunk is dead as ``unknown_chunk``.
     """
     if order_key is not None:
         pos = order_key
@@ -103,10 +105,13 @@ def mark_duplicates(df: DataFrame, id_col: str = "transaction_id", chunk_col: st
     # first chunk per id over the small (id, chunk) table (a hot id has one
     # row per chunk here), without deriving the table a second time
     marks = firsts.withColumn("_first_chunk", F.min(chunk_col).over(Window.partitionBy(id_col)))
-    j = df.join(marks, [id_col, chunk_col])
-    reason = (F.when(pos != F.col("_first_pos"), F.lit("intra_chunk_duplicate"))
+    marks = marks.withColumnsRenamed({id_col: "_id", chunk_col: "_chunk"})
+    j = df.join(marks, (F.col(id_col) == F.col("_id")) & (F.col(chunk_col) == F.col("_chunk")), "left")
+    reason = (F.when(F.col(id_col).isNull(), F.lit(None).cast("string"))
+              .when(F.col(chunk_col).isNull(), F.lit("unknown_chunk"))
+              .when(pos != F.col("_first_pos"), F.lit("intra_chunk_duplicate"))
               .when(F.col(chunk_col) != F.col("_first_chunk"), F.lit("inter_chunk_duplicate")))
-    return j.withColumn("dead_reason", reason).drop("_first_pos", "_first_chunk")
+    return j.withColumn("dead_reason", reason).drop("_id", "_chunk", "_first_pos", "_first_chunk")
 
 
 def dedup(df: DataFrame, order_cols: Sequence[str], id_col: str = "transaction_id",
