@@ -21,20 +21,22 @@ from txwatch.operators.quality import raise_if_failed
 
 def write_bronze(bronze: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Year/month partitioned Parquet (month zero-padded text)."""
-    (I.add_year_month(bronze).write.mode(mode).partitionBy("year", "month").parquet(path))
+    write_layer(I.add_year_month(bronze), path, ("year", "month"), mode)
 
 
 def write_layer(df: DataFrame, path: str, partition_cols=("source", "year", "month"),
-                mode: str = "overwrite") -> None:
-    """One file set per partition: repartition by the partition columns so
-    each output partition is written by few tasks, then partitionBy."""
+                mode: str = "overwrite", max_records: int = 5_000_000) -> None:
+    """Partitioned Parquet. The rebalance hint gathers each output partition in
+    few tasks, and AQE splits a partition that is too large for one (a month
+    that holds most rows); ``max_records`` bounds single files."""
     parts = [c for c in partition_cols]
     with_parts = df
     if "year" in parts and "year" not in df.columns:
         with_parts = with_parts.withColumns({
             "year": F.year("timestamp").cast("string"),
             "month": F.lpad(F.month("timestamp").cast("string"), 2, "0")})
-    (with_parts.repartition(*parts).write.mode(mode).partitionBy(*parts).parquet(path))
+    (with_parts.hint("rebalance", *parts).write.mode(mode).option("maxRecordsPerFile", max_records)
+     .partitionBy(*parts).parquet(path))
 
 
 def write_features(df: DataFrame, root: str, run_date: str) -> None:
@@ -59,17 +61,32 @@ def export_alerts_csv(export: DataFrame, path: str) -> None:
 
 
 def _move(spark: SparkSession, src: str, dst: str) -> None:
+    """Put ``src`` in the place of ``dst``. The old layer steps aside first and
+    goes last, so a crash at any point leaves one of the two, and the next
+    call ends the move. Doing it again when only ``dst`` is there is no error."""
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     src_p, dst_p = jvm.org.apache.hadoop.fs.Path(src), jvm.org.apache.hadoop.fs.Path(dst)
     fs = src_p.getFileSystem(conf)
-    if fs.exists(dst_p):
-        fs.delete(dst_p, True)
+    aside = jvm.org.apache.hadoop.fs.Path(dst.rstrip("/") + "._old")
+    if not fs.exists(src_p):
+        if not fs.exists(dst_p) and fs.exists(aside):
+            fs.rename(aside, dst_p)
+        if not fs.exists(dst_p):
+            raise FileNotFoundError(f"neither {src} nor {dst} is there")
+        return
     parent = dst_p.getParent()
     if parent is not None and not fs.exists(parent):
         fs.mkdirs(parent)
+    if fs.exists(dst_p):
+        if fs.exists(aside):
+            fs.delete(aside, True)
+        if not fs.rename(dst_p, aside):
+            raise OSError(f"could not move {dst} aside")
     if not fs.rename(src_p, dst_p):
         raise OSError(f"could not move {src} to {dst}")
+    if fs.exists(aside):
+        fs.delete(aside, True)
 
 
 def publish_staged(df: DataFrame, staging: str, target: str,

@@ -70,7 +70,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster this setting names a shared file system folder and is used
-    as is. Only when it is unset (local tests) do we create a scratch folder.
+    as is. Only when it is unset in one local process (tests) do we create a
+    scratch folder; on any other master an unset folder is an error.
     """
     try:
         sc = spark.sparkContext
@@ -84,6 +85,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not configured and sc is not None:
         configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if sc is not None and not sc.master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         configured = _LOCAL_FALLBACK.setdefault("dir", tempfile.mkdtemp(prefix="txwatch-ckpt-"))
     if sc is None:
         return configured
