@@ -13,21 +13,22 @@ from txwatch.functions import rules as R
 THRESHOLD_DP = 6
 
 
-def alert_threshold(gold: DataFrame, percentile: float = S.ALERT_PERCENTILE) -> DataFrame:
-    """One row ``threshold``: exact continuous percentile of ``rule_score``.
+def alert_threshold(gold: DataFrame, percentile: float = S.ALERT_PERCENTILE,
+                    digits: int | None = THRESHOLD_DP) -> DataFrame:
+    """One row ``threshold``: exact continuous percentile of ``rule_score``,
+    rounded to ``digits`` for display (None: as it is, to compare with).
 
     The score is discrete, so rows are first counted per distinct score
     (map-side partial aggregate) and the percentile runs over the tiny
     (score, frequency) table."""
     freq = gold.groupBy("rule_score").agg(F.count(F.lit(1)).alias("_n"))
-    return freq.agg(
-        F.round(F.percentile("rule_score", F.lit(percentile), F.col("_n")), THRESHOLD_DP)
-        .alias("threshold"))
+    value = F.percentile("rule_score", F.lit(percentile), F.col("_n"))
+    return freq.agg((value if digits is None else F.round(value, digits)).alias("threshold"))
 
 
 def threshold_value(gold: DataFrame, percentile: float = S.ALERT_PERCENTILE) -> Column:
-    """The threshold as a scalar-subquery column (no driver round trip)."""
-    return alert_threshold(gold, percentile).scalar()
+    """The unrounded threshold as a scalar-subquery column (no driver round trip)."""
+    return alert_threshold(gold, percentile, None).scalar()
 
 
 def alert_id(run_ts: str) -> Column:

@@ -160,8 +160,9 @@ def alert_list(alerts: DataFrame, status: str | None = None, typology: str | Non
 
 
 def alert_search(alerts: DataFrame, date_from=None, date_to=None, min_score=None,
-                 max_score=None, status=None, typology=None, limit: int = 500) -> DataFrame:
-    """All filters are applied before the limit (so no match is lost)."""
+                 max_score=None, status=None, typology=None, limit: int | None = None,
+                 offset: int = 0) -> DataFrame:
+    """Every match, best first; ``limit`` and ``offset`` page through them."""
     a = alerts
     if status:
         a = a.where(F.col("status") == status.upper())
@@ -175,8 +176,22 @@ def alert_search(alerts: DataFrame, date_from=None, date_to=None, min_score=None
         a = a.where(F.col("risk_score") >= min_score)
     if max_score is not None:
         a = a.where(F.col("risk_score") <= max_score)
-    return (a.select("alert_id", "transaction_id", "risk_score", "typology", "status", "created_at")
-            .orderBy(F.desc("risk_score"), "alert_id").limit(limit))
+    found = (a.select("alert_id", "transaction_id", "risk_score", "typology", "status", "created_at")
+             .orderBy(F.desc("risk_score"), "alert_id"))
+    found = found.offset(offset) if offset else found
+    return found if limit is None else found.limit(limit)
+
+
+def alert_by_id(alerts: DataFrame, gold: DataFrame, scores: DataFrame, alert_id) -> DataFrame:
+    """Detail of one alert (``alert_id`` a literal or a scalar column); no row
+    for an unknown id."""
+    return alert_detail(alerts.where(F.col("alert_id") == alert_id), gold, scores)
+
+
+def alert_of_transaction(alerts: DataFrame, tx_id) -> DataFrame:
+    """The alert of one transaction; no row if it has none."""
+    return (alerts.where(F.col("transaction_id") == tx_id)
+            .select("transaction_id", "alert_id", "risk_score", "typology", "status", "created_at"))
 
 
 def alert_detail(alerts: DataFrame, gold: DataFrame, scores: DataFrame) -> DataFrame:

@@ -29,15 +29,25 @@ def add_year_month(df: DataFrame, ts_text: str = "Timestamp") -> DataFrame:
 
 
 def is_bad_row(amount: str = "Amount Paid", sender: str = "Account_sender",
-               receiver: str = "Account_receiver") -> F.Column:
-    """Dead-letter rule: amount missing or negative, or an account missing."""
+               receiver: str = "Account_receiver", ts_text: str | None = "Timestamp") -> F.Column:
+    """Dead-letter rule: ``dead_letter_reason`` names one."""
+    return dead_letter_reason(amount, sender, receiver, ts_text).isNotNull()
+
+
+def dead_letter_reason(amount: str = "Amount Paid", sender: str = "Account_sender",
+                       receiver: str = "Account_receiver", ts_text: str | None = "Timestamp") -> F.Column:
+    """Why a row cannot enter silver (null: it can): amount missing or
+    negative, an account missing, or a time that cannot be read."""
     a = F.col(amount)
-    return a.isNull() | (a < 0) | F.col(sender).isNull() | F.col(receiver).isNull()
+    reason = (F.when(a.isNull(), F.lit("missing_amount")).when(a < 0, F.lit("negative_amount"))
+              .when(F.col(sender).isNull() | F.col(receiver).isNull(), F.lit("missing_account")))
+    return reason if ts_text is None else reason.when(C.parse_timestamp(ts_text).isNull(), F.lit("bad_timestamp"))
 
 
 def split_dead_letter(bronze: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(clean, dead) from one flag column; both sides read the same plan."""
-    flagged = bronze.withColumn("_bad", is_bad_row())
+    ts = "Timestamp" if "Timestamp" in bronze.columns else None
+    flagged = bronze.withColumn("_bad", is_bad_row(ts_text=ts))
     clean = flagged.where(~F.col("_bad")).drop("_bad")
     dead = flagged.where(F.col("_bad")).drop("_bad")
     return clean, dead
@@ -50,8 +60,8 @@ def partition_counts(bronze: DataFrame) -> DataFrame:
 
 
 def sample_rows(df: DataFrame, fraction: float, seed: int = 42, key: str | None = None) -> DataFrame:
-    """Bernoulli sample. With ``key`` a row is kept when a seeded 64-bit hash
-    of the key falls under ``fraction`` (the same rows whatever the
+    """Bernoulli sample. With ``key`` a row is kept when the leading 52 bits of
+    the MD5 of seed and key fall under ``fraction`` (the same rows whatever the
     partitioning or row order, so reruns and retried tasks agree); without
     it, Spark's per-partition ``sample``. A fraction >= 1 keeps every row."""
     if fraction >= 1.0:
@@ -59,5 +69,6 @@ def sample_rows(df: DataFrame, fraction: float, seed: int = 42, key: str | None
     if key is None:
         return df.sample(fraction=fraction, seed=seed)
     bits = 1 << 52
-    bucket = F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(bits))
+    digest = F.md5(F.concat(F.lit(str(seed)), F.col(key).cast("string")))
+    bucket = F.conv(F.substring(digest, 1, 13), 16, 10).cast("bigint")
     return df.where(bucket < F.lit(int(fraction * bits)))

@@ -7,6 +7,8 @@ ROW_NUMBER dedup, PERCENTILE), so the two engines share no code path.
 
 from __future__ import annotations
 
+import re
+
 from txwatch import schemas as S
 from txwatch.sources import testdata as TD
 
@@ -50,7 +52,8 @@ ldg_j AS (
   JOIN supplier s ON l.l_suppkey = s.s_suppkey
 ),
 ldg AS (
-  SELECT strftime(ts, '%Y-%m-%d %H:%M:%S') AS "Timestamp",
+  SELECT CASE WHEN l_orderkey % {TD.JUNK_TIME_EVERY} = 0 AND l_linenumber = 2 THEN 'not a time'
+              ELSE strftime(ts, '%Y-%m-%d %H:%M:%S') END AS "Timestamp",
          CAST(c_nationkey AS VARCHAR) AS "From Bank",
          lpad(CAST(CASE WHEN o_custkey % {TD.HOT_SENDER_EVERY} = 0 THEN 0 ELSE o_custkey END AS VARCHAR), 9, '0') AS "Account_sender",
          CAST(s_nationkey AS VARCHAR) AS "To Bank",
@@ -78,11 +81,11 @@ bronze AS (
 
 
 def _silver() -> str:
-    ts = """CAST(strptime("Timestamp", '%Y-%m-%d %H:%M:%S') AS TIMESTAMP)"""
+    ts = """CAST(try_strptime("Timestamp", '%Y-%m-%d %H:%M:%S') AS TIMESTAMP)"""
     return f"""
 bronze_flag AS (
   SELECT *, ("Amount Paid" IS NULL OR "Amount Paid" < 0 OR "Account_sender" IS NULL
-             OR "Account_receiver" IS NULL) AS is_bad
+             OR "Account_receiver" IS NULL OR {ts} IS NULL) AS is_bad
   FROM bronze
 ),
 clean AS (SELECT * EXCLUDE (is_bad) FROM bronze_flag WHERE NOT is_bad),
@@ -166,12 +169,18 @@ TYPOLOGY = """CASE
 
 def _alerts() -> str:
     return f"""
-thr AS (SELECT round(quantile_cont(rule_score, {S.ALERT_PERCENTILE}), 6) AS threshold FROM gold),
+ranked AS (SELECT rule_score, row_number() OVER (ORDER BY rule_score) - 1 AS i,
+           CAST(count(*) OVER () - 1 AS DOUBLE) * {S.ALERT_PERCENTILE} AS p FROM gold),
+cut AS (SELECT CASE WHEN min(rule_score) = max(rule_score) THEN min(rule_score)
+        ELSE (ceil(any_value(p)) - any_value(p)) * min(rule_score)
+             + (any_value(p) - floor(any_value(p))) * max(rule_score) END AS exact
+        FROM ranked WHERE i = floor(p) OR i = ceil(p)),
+thr AS (SELECT round(exact, 6) AS threshold FROM cut),
 alerts AS (
   SELECT md5(transaction_id || '{RUN_TS}') AS alert_id, transaction_id,
          rule_score AS risk_score, {TYPOLOGY} AS typology, 'OPEN' AS status,
          {CREATED_AT} AS created_at, CAST(NULL AS TIMESTAMP) AS updated_at
-  FROM gold WHERE rule_score >= (SELECT threshold FROM thr)
+  FROM gold WHERE rule_score >= (SELECT exact FROM cut)
 ),
 changes AS (
   SELECT alert_id, 'investigating' AS status, created_at + INTERVAL 1 HOUR AS changed_at
@@ -207,7 +216,7 @@ rejected AS (
   UNION ALL
   SELECT alert_id, status, changed_at, 'alert_not_found' FROM changes_n
     WHERE status IN ('OPEN', 'INVESTIGATING', 'CLOSED')
-      AND alert_id NOT IN (SELECT alert_id FROM alerts)
+      AND NOT EXISTS (SELECT 1 FROM alerts a WHERE a.alert_id = changes_n.alert_id)
 ),
 scores AS (
   SELECT transaction_id, rule_score AS ml_probability, rule_score AS final_risk_score FROM gold
@@ -223,4 +232,8 @@ def with_layers(body: str, upto: str = "alerts") -> str:
         parts.append(_gold())
     if upto == "alerts":
         parts.append(_alerts())
-    return "WITH " + ",".join(parts) + "\n" + body
+    # layers that several places read are built once
+    text = ",".join(parts)
+    for layer in ("bronze", "std", "marked", "gold", "alerts"):
+        text = re.sub(rf"(?m)^{layer} AS \(", f"{layer} AS MATERIALIZED (", text)
+    return "WITH " + text + "\n" + body

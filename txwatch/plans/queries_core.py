@@ -128,8 +128,8 @@ def clean_rows(spark, sf):
 
 
 @register("bronze_partition_counts", with_layers("""
-SELECT CAST(year(CAST(strptime("Timestamp", '%Y-%m-%d %H:%M:%S') AS TIMESTAMP)) AS VARCHAR) AS year,
-       lpad(CAST(month(CAST(strptime("Timestamp", '%Y-%m-%d %H:%M:%S') AS TIMESTAMP)) AS VARCHAR), 2, '0') AS month,
+SELECT CAST(year(CAST(try_strptime("Timestamp", '%Y-%m-%d %H:%M:%S') AS TIMESTAMP)) AS VARCHAR) AS year,
+       lpad(CAST(month(CAST(try_strptime("Timestamp", '%Y-%m-%d %H:%M:%S') AS TIMESTAMP)) AS VARCHAR), 2, '0') AS month,
        COUNT(*) AS row_count
 FROM bronze GROUP BY 1, 2""", "bronze"))
 def bronze_partition_counts(spark, sf):

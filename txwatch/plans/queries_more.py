@@ -131,7 +131,7 @@ UNIFIED_SQL = f""", {SAML_SQL},
 unified AS (
   SELECT md5(concat_ws('_', 'ibm_aml', "Timestamp", "Account_sender", "Account_receiver", {ID_TEXT},
              "Payment Format")) AS transaction_id,
-    CAST(strptime("Timestamp", '%Y-%m-%d %H:%M:%S') AS TIMESTAMP) AS timestamp,
+    CAST(try_strptime("Timestamp", '%Y-%m-%d %H:%M:%S') AS TIMESTAMP) AS timestamp,
     "Account_sender" AS sender_account, "Account_receiver" AS receiver_account,
     "From Bank" AS sender_bank, "To Bank" AS receiver_bank, "Amount Paid" AS amount,
     {CUR('"Payment Currency"')} AS payment_currency, {CUR('"Receiving Currency"')} AS receiving_currency,
@@ -196,8 +196,9 @@ INC = ", ".join(("transaction_id", "chunk_id", "copy_no"))
 
 
 @register("incremental_new_rows", with_layers(f"""
-SELECT {INC} FROM std WHERE chunk_id >= 3 AND transaction_id NOT IN
-  (SELECT transaction_id FROM marked WHERE dead_reason IS NULL AND chunk_id <= 2)""", "silver"))
+SELECT {INC} FROM std ANTI JOIN
+  (SELECT transaction_id FROM marked WHERE dead_reason IS NULL AND chunk_id <= 2) USING (transaction_id)
+WHERE chunk_id >= 3""", "silver"))
 def incremental_new_rows(spark, sf):
     lg = ledger(spark, sf)
     published = lg._dedup.where(F.col("dead_reason").isNull() & (F.col("chunk_id") <= 2))
@@ -206,8 +207,9 @@ def incremental_new_rows(spark, sf):
 
 
 @register("incremental_seen_rows", with_layers(f"""
-SELECT {INC} FROM std WHERE chunk_id >= 3 AND transaction_id IN
-  (SELECT transaction_id FROM marked WHERE dead_reason IS NULL AND chunk_id <= 2)""", "silver"))
+SELECT {INC} FROM std SEMI JOIN
+  (SELECT transaction_id FROM marked WHERE dead_reason IS NULL AND chunk_id <= 2) USING (transaction_id)
+WHERE chunk_id >= 3""", "silver"))
 def incremental_seen_rows(spark, sf):
     lg = ledger(spark, sf)
     published = lg._dedup.where(F.col("dead_reason").isNull() & (F.col("chunk_id") <= 2))
@@ -233,7 +235,9 @@ def bronze_csv_roundtrip(spark, sf):
     return spark.read.schema(S.BRONZE_CSV_SCHEMA).option("header", True).csv(path)
 
 
-@register("sample_fraction")
+@register("sample_fraction", with_layers(f"""
+SELECT {', '.join(S.SILVER_COLUMNS)} FROM silver
+WHERE CAST('0x' || substr(md5('42' || transaction_id), 1, 13) AS BIGINT) < {int(0.15 * (1 << 52))}""", "silver"))
 def sample_fraction(spark, sf):
     """Bernoulli sample of silver (fraction 0.15, seed 42), reproducible by
     transaction id."""

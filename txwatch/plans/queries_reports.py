@@ -208,13 +208,35 @@ def alert_list(spark, sf):
 @register("alert_search", with_layers(f"""
 SELECT {ALERT_COLS} FROM alerts_cur
 WHERE CAST(created_at AS DATE) BETWEEN DATE '2022-09-18' AND DATE '2022-09-18'
-  AND risk_score >= 0.6 AND risk_score <= 0.9
-ORDER BY risk_score DESC, alert_id LIMIT 500"""))
+  AND risk_score >= 0.6 AND risk_score <= 0.9"""))
 def alert_search(spark, sf):
     return AN.alert_search(ledger(spark, sf).alerts_current, date_from="2022-09-18",
                            date_to="2022-09-18", min_score=0.6, max_score=0.9)
 
 
+@register("alert_by_id", with_layers(f"""
+SELECT a.alert_id, a.transaction_id, a.risk_score, a.typology, a.status, a.created_at,
+       t.amount, t.payment_type, t.sender_account_masked, t.receiver_account_masked,
+       t.timestamp, t.is_laundering, t.rule_score, s.ml_probability,
+       {RISK_LEVEL_SQL.format(s='s.final_risk_score')} AS risk_level
+FROM alerts_cur a LEFT JOIN gold t ON a.transaction_id = t.transaction_id
+LEFT JOIN scores s ON a.transaction_id = s.transaction_id
+WHERE a.alert_id = (SELECT max(alert_id) FROM alerts)"""))
+def alert_by_id(spark, sf):
+    """One alert's detail (the key is taken from the data)."""
+    lg = ledger(spark, sf)
+    return AN.alert_by_id(lg.alerts_current, lg.gold, lg.scores, lg.alerts.agg(F.max("alert_id")).scalar())
+
+
+@register("alert_of_transaction", with_layers(f"""
+SELECT transaction_id, alert_id, risk_score, typology, status, created_at
+FROM alerts_cur WHERE transaction_id = (SELECT max(transaction_id) FROM alerts)"""))
+def alert_of_transaction(spark, sf):
+    """The alert of one transaction (the key is taken from the data)."""
+    lg = ledger(spark, sf)
+    return AN.alert_of_transaction(lg.alerts_current, lg.alerts.agg(F.max("transaction_id")).scalar())
+
+
 @register("alert_detail", with_layers("""
 SELECT a.alert_id, a.transaction_id, a.risk_score, a.typology, a.status, a.created_at,
        t.amount, t.payment_type, t.sender_account_masked, t.receiver_account_masked,

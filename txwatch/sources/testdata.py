@@ -31,6 +31,7 @@ INTER_COPY_EVERY = 50      # l_orderkey % 50 = 0 -> copy in the next chunk
 INTRA_COPY_EVERY = 75      # l_orderkey % 75 = 0 -> copy in the same chunk
 BAD_AMOUNT_EVERY = 97      # l_orderkey % 97 = 0 -> null (odd line) / negative (even line) amount
 NULL_ACCOUNT_EVERY = 89    # l_orderkey % 89 = 0 and line 3 -> null receiver account
+JUNK_TIME_EVERY = 83       # l_orderkey % 83 = 0 and line 2 -> a time that cannot be read
 CHUNKS = 4
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
@@ -74,10 +75,13 @@ def ledger_bronze(spark: SparkSession, sf_dir: str, run_ts: str = DEFAULT_RUN_TS
                   .otherwise(amount))
         receiver = F.when((ok % NULL_ACCOUNT_EVERY == 0) & (ln == 3),
                           F.lit(None).cast("string")).otherwise(receiver)
+    stamp = F.date_format(ts, "yyyy-MM-dd HH:mm:ss")
+    if with_bad_rows:
+        stamp = F.when((ok % JUNK_TIME_EVERY == 0) & (ln == 2), F.lit("not a time")).otherwise(stamp)
     label = ((F.col("l_returnflag") == "R") & (F.col("l_discount") >= 0.09)).cast("int")
 
     base = j.select(
-        F.date_format(ts, "yyyy-MM-dd HH:mm:ss").alias("Timestamp"),
+        stamp.alias("Timestamp"),
         F.col("c_nationkey").cast("string").alias("From Bank"),
         sender.alias("Account_sender"),
         F.col("s_nationkey").cast("string").alias("To Bank"),
