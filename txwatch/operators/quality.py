@@ -29,7 +29,7 @@ def _rules(agg_row: DataFrame, rules: list[tuple[str, Column, Column | None]]) -
 
 
 def raise_if_failed(report: DataFrame) -> None:
-    failed = report.where(~F.col("passed")).select("rule", "violations").limit(50).collect()
+    failed = report.where(~F.col("passed")).select("rule", "violations").collect()
     if failed:
         raise ValueError("quality gate failed: " + ", ".join(f"{r.rule}={r.violations}" for r in failed))
 

@@ -310,14 +310,27 @@ def permutation_importance(spark, sf):
     return ML.permutation_importance(_model(spark, sf), ds)
 
 
-@register("stream_clean")
+STREAM_SQL = """SELECT md5('evt_' || CAST(event_id AS VARCHAR)) AS transaction_id, ts AS timestamp,
+  '****' || right(lpad(CAST(user_id AS VARCHAR), 9, '0'), 4) AS sender_account_masked,
+  event_type AS payment_type, value AS amount, CAST(hour(ts) AS BIGINT) AS tx_hour,
+  CAST(isodow(ts) - 1 AS BIGINT) AS tx_day_of_week, ln(1 + greatest(value, 0)) AS amount_log{more} FROM events"""
+STREAM_BAD = "(value IS NULL OR value < 0 OR user_id IS NULL)"
+
+
+@register("stream_clean", STREAM_SQL.format(more="") + f" WHERE NOT {STREAM_BAD}")
 def stream_clean(spark, sf):
     return SS.stream_clean(spark, sf)
 
 
-@register("stream_dedup")
+@register("stream_dead", STREAM_SQL.format(more="") + f" WHERE {STREAM_BAD}")
+def stream_dead(spark, sf):
+    return SS.stream_clean(spark, sf, dead=True)
+
+
+@register("stream_dedup", STREAM_SQL.format(more="").replace(" FROM events", ", ts AS event_time FROM events"))
 def stream_dedup(spark, sf):
-    return SS.stream_dedup(spark, sf)
+    out = SS.stream_dedup(spark, sf)
+    return out.withColumn("event_time", F.col("event_time").cast("timestamp_ntz"))
 
 
 @register("stream_velocity", _events_sql("""

@@ -61,25 +61,34 @@ def run_available(stream: DataFrame, spark: SparkSession, name: str,
     return spark.read.parquet(f"{out}/data")
 
 
-def stream_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Standardise a stream; each micro-batch writes clean and dead rows."""
+def stream_clean(spark: SparkSession, sf_dir: str, dead: bool = False) -> DataFrame:
+    """Standardise a stream; each micro-batch writes clean and dead rows in one
+    pass, into a folder of its own that a replay overwrites. Returns the clean
+    rows, or the dead ones."""
     out = scratch_path(spark, "stream-clean")
     rows = events_to_payments(read_event_stream(spark, sf_dir))
 
     def write_both(batch: DataFrame, epoch_id: int) -> None:
-        batch.where(~F.col("_bad")).drop("_bad").write.mode("append").parquet(f"{out}/clean")
-        batch.where(F.col("_bad")).drop("_bad").write.mode("append").parquet(f"{out}/dead")
+        (batch.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("_bad")
+         .parquet(f"{out}/rows/batch_id={epoch_id}"))
 
     q = (rows.writeStream.foreachBatch(write_both)
          .option("checkpointLocation", f"{out}/_chk").trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.read.schema(rows.drop("_bad").schema).parquet(f"{out}/clean")
+    schema = T.StructType([*rows.drop("_bad").schema.fields, T.StructField("batch_id", T.StringType()),
+                           T.StructField("_bad", T.StringType())])
+    both = spark.read.schema(schema).parquet(f"{out}/rows")
+    return both.where(F.col("_bad") == str(dead).lower()).drop("_bad", "batch_id")
 
 
 def stream_dedup(spark: SparkSession, sf_dir: str, delay: str = "60 minutes") -> DataFrame:
     """First copy of each id within the watermark (event time must be a
-    ``timestamp``, so the NTZ column is cast first)."""
-    rows = (events_to_payments(read_event_stream(spark, sf_dir)).drop("_bad")
+    ``timestamp``, so the NTZ column is cast first). Every tenth event comes
+    twice, so that there is something to drop."""
+    events = read_event_stream(spark, sf_dir)
+    again = F.when(F.col("event_id") % 10 == 0, F.lit(1)).otherwise(F.lit(0))
+    events = events.withColumn("_copy", F.explode(F.sequence(F.lit(0), again))).drop("_copy")
+    rows = (events_to_payments(events).drop("_bad")
             .withColumn("event_time", F.col("timestamp").cast(T.TimestampType())))
     deduped = (rows.withWatermark("event_time", delay)
                .dropDuplicatesWithinWatermark(["transaction_id"]))
@@ -126,14 +135,16 @@ VELOCITY_OUT = T.StructType([
 ])
 VELOCITY_STATE = T.StructType([
     T.StructField("ts_us", T.ArrayType(T.LongType())),
-    T.StructField("cents", T.ArrayType(T.LongType())),
+    T.StructField("micros", T.ArrayType(T.LongType())),
 ])
 
 
-def _trailing_hour(frame_us: int):
-    """Per-sender state function: state keeps the sender's events of the
-    last ``frame_us`` (by event time); each new event gets the count and sum
-    of the state plus batch events in ``[t - frame, t]``."""
+def _trailing_hour(frame_us: int, delay_us: int):
+    """Per-sender state function: state keeps the sender's events of the last
+    ``frame_us + delay_us`` (by event time), which is what an event that is
+    ``delay_us`` late can still need; each new event gets the count and sum of
+    the state plus batch events in ``[t - frame, t]``. Money is summed in whole
+    millionths, as the batch form does."""
     import numpy as np
     import pandas as pd
 
@@ -146,13 +157,12 @@ def _trailing_hour(frame_us: int):
         new = pd.concat(list(pdfs), ignore_index=True)
         epoch = pd.Timestamp("1970-01-01")
         new_ts = ((new["timestamp"] - epoch) // pd.Timedelta(microseconds=1)).to_numpy(np.int64)
-        new_c = np.round(new["amount"].fillna(0).to_numpy() * 100).astype(np.int64)
-        has_amt = new["amount"].notna().to_numpy()
+        new_c = new["micros"].fillna(0).to_numpy().astype(np.int64)
         ts = np.concatenate([old_ts, new_ts])
-        cents = np.concatenate([old_c, np.where(has_amt, new_c, 0)])
+        micros = np.concatenate([old_c, new_c])
         order = np.argsort(ts, kind="stable")
-        ts, cents = ts[order], cents[order]
-        csum = np.concatenate([[0], np.cumsum(cents)])
+        ts, micros = ts[order], micros[order]
+        csum = np.concatenate([[0], np.cumsum(micros)])
         lo = np.searchsorted(ts, new_ts - frame_us, side="left")
         hi = np.searchsorted(ts, new_ts, side="right")
         yield pd.DataFrame({
@@ -160,26 +170,26 @@ def _trailing_hour(frame_us: int):
             "sender_account_masked": key[0],
             "timestamp": new["timestamp"],
             "sender_tx_count_1h": (hi - lo).astype(np.int64),
-            "sender_amount_sum_1h": (csum[hi] - csum[lo]) / 100.0,
+            "sender_amount_sum_1h": (csum[hi] - csum[lo]) / 1e6,
         })
-        keep = ts >= ts.max() - frame_us
-        state.update((ts[keep].tolist(), cents[keep].tolist()))
+        keep = ts >= ts.max() - frame_us - delay_us
+        state.update((ts[keep].tolist(), micros[keep].tolist()))
         state.setTimeoutTimestamp(int(ts.max() // 1000 + frame_us // 1000))
     return fn
 
 
-def stream_trailing_velocity(spark: SparkSession, sf_dir: str, delay: str = "60 minutes",
+def stream_trailing_velocity(spark: SparkSession, sf_dir: str, delay_seconds: int = 3600,
                              frame_seconds: int = 3600, max_files: int | None = None) -> DataFrame:
     """Per-event trailing-hour count and sum per sender on a stream (the
-    stream form of the batch RANGE window). Amounts are summed in integer
-    cents. State per sender is bounded by one frame of its events and is
-    dropped by an event-time timeout once the watermark passes."""
+    stream form of the batch RANGE window). State per sender is bounded by one
+    frame and one delay of its events and is dropped by an event-time timeout once the watermark passes."""
     from pyspark.sql.streaming.state import GroupStateTimeout
     rows = (events_to_payments(read_event_stream(spark, sf_dir, max_files)).drop("_bad")
-            .select("transaction_id", "sender_account_masked", "timestamp", "amount",
+            .select("transaction_id", "sender_account_masked", "timestamp",
+                    (F.col("amount").cast("decimal(24,6)") * 1_000_000).cast("bigint").alias("micros"),
                     F.col("timestamp").cast(T.TimestampType()).alias("event_time"))
-            .withWatermark("event_time", delay))
+            .withWatermark("event_time", f"{delay_seconds} seconds"))
     out = rows.groupBy("sender_account_masked").applyInPandasWithState(
-        _trailing_hour(frame_seconds * 1_000_000), VELOCITY_OUT, VELOCITY_STATE, "append",
+        _trailing_hour(frame_seconds * 1_000_000, delay_seconds * 1_000_000), VELOCITY_OUT, VELOCITY_STATE, "append",
         GroupStateTimeout.EventTimeTimeout)
     return run_available(out, spark, "trailing-velocity")
