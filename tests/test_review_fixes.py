@@ -128,3 +128,14 @@ def test_late_events_find_what_they_need(spark, tmp_path):
     got = {str(r.timestamp)[11:16]: (r.sender_tx_count_1h, r.sender_amount_sum_1h)
            for r in SS.stream_trailing_velocity(spark, str(tmp_path), max_files=1).collect()}
     assert got["10:45"] == (2, 2.01) and got["10:50"][0] == 2 and got["11:30"][0] == 2
+
+
+def test_bronze_gate_sees_single_files(spark):
+    from txwatch.operators import quality as Q
+    root = tempfile.mkdtemp(prefix="txw-gate-")
+    raw = TD.ledger_bronze(spark, SF001).select(*jobs.RAW_COLUMNS).limit(50)
+    P.write_bronze(raw, f"{root}/b")
+    assert all(r.passed for r in Q.gate_bronze_files(spark, f"{root}/b").collect())
+    raw.drop("Amount Paid").coalesce(1).write.parquet(f"{root}/b/year=2022/month=10")
+    failed = [r for r in Q.gate_bronze_files(spark, f"{root}/b").collect() if not r.passed]
+    assert [(r.rule, r.violations) for r in failed] == [("files_without_amount_paid", 1)]

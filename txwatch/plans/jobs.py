@@ -56,6 +56,7 @@ def _run(spark: SparkSession, raw: DataFrame, root: str, run_id: str, run_ts: st
     # file order defines "first copy" for dedup.
     t0 = time.time()
     P.write_bronze(raw.select(*RAW_COLUMNS), paths["bronze"])
+    Q.raise_if_failed(Q.gate_bronze_files(spark, paths["bronze"]))
     bronze = read_layer(spark, paths["bronze"]).drop("year", "month")
     clean, dead = I.split_dead_letter(bronze)
     dead = dead.drop("chunk_id", "row_in_chunk").withColumn("dead_reason", I.dead_letter_reason())

@@ -136,8 +136,11 @@ _LEDGERS: dict[tuple, Ledger] = {}
 
 
 def ledger(spark: SparkSession, sf_dir: str, run_ts: str = TD.DEFAULT_RUN_TS) -> Ledger:
-    """The shared ``Ledger`` for this session and folder (built once)."""
-    key = (session_key(spark), sf_dir.rstrip("/"), run_ts)
+    """The shared ``Ledger`` for this session, folder and input files (built
+    once; other files in the folder make a new one)."""
+    files = [f for t in ("lineitem", "orders", "customer", "supplier")
+             for f in TD.read_table(spark, sf_dir, t).inputFiles()]
+    key = (session_key(spark), sf_dir.rstrip("/"), run_ts, tuple(sorted(files)))
     if key not in _LEDGERS:
         _LEDGERS[key] = Ledger(spark, sf_dir, run_ts)
     return _LEDGERS[key]
