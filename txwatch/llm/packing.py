@@ -17,14 +17,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from txwatch.llm.tokens import encode
 from txwatch.session import materialize
 
 SIZE, END = 2048, 1
-#: Rows of one length and salt that a task ranks, on average.
-RANKED = 100_000
+#: Rows of one length and salt that a task ranks, on average; bytes of ids in one batch of pieces.
+RANKED, HELD = 100_000, 4 << 20
 
 
 def pack_histogram(counts: dict[int, int], size: int = SIZE) -> list[tuple[int, list[tuple[int, int]]]]:
@@ -67,51 +66,57 @@ def pieces(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"),
                          F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
 
+    names = ["doc_id", "start", "length", "doc_tokens", "ids"]
+
+    def table(rows: list[tuple]) -> pa.RecordBatch:
+        cols = list(zip(*rows, strict=True))
+        return pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in cols[:4]), pa.array(cols[4], pa.binary())],
+                                          names=names)
+
     def run(batches):
         for b in batches:
-            out: dict[str, list] = {"doc_id": [], "start": [], "length": [], "doc_tokens": [], "ids": []}
-            for doc, text in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist(), strict=True):
-                ids = np.append(encode(path, text), np.uint32(end)).astype("<u4")
-                for start in range(0, len(ids), size):
-                    part = ids[start:start + size]
-                    for k, v in zip(out, (doc, start, len(part), len(ids), part.tobytes()), strict=True):
-                        out[k].append(v)
-            yield pa.RecordBatch.from_arrays([*(pa.array(out[k], pa.int64()) for k in list(out)[:4]),
-                                              pa.array(out["ids"], pa.binary())], names=list(out))
+            rows, held = [], 0
+            for doc, text in zip(b.column("doc_id"), b.column("text"), strict=True):
+                ids = np.append(encode(path, text.as_py()), np.uint32(end)).astype("<u4")
+                rows += [(doc.as_py(), at, len(part := ids[at:at + size]), len(ids), part.tobytes())
+                         for at in range(0, len(ids), size)]
+                held += 4 * len(ids)
+                if held >= HELD:
+                    yield table(rows)
+                    rows, held = [], 0
+            if rows:
+                yield table(rows)
 
     return narrow.mapInArrow(run, "doc_id long, start long, length long, doc_tokens long, ids binary")
 
 
 def place(cut: DataFrame, size: int = SIZE) -> DataFrame:
-    """The rows of ``cut`` (with ``length`` up to ``size`` and a distinct ``row``)
-    and their ``sequence_id`` and ``offset``. Only the histogram reaches the driver."""
+    """``row, sequence_id, offset`` of the rows of ``cut`` (a distinct ``row`` and
+    a ``length`` up to ``size``). Only the histogram reaches the driver."""
     counts = {r.length: r.n for r in cut.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
-    n_salts = max(1, sum(counts.values()) // RANKED)
-    n_full = counts.pop(size, 0)
-    known = np.concatenate([slots(pack_histogram(counts, size), n_full), [[size, 0, 1, 0, 0]]])
     # rank within a length: within salts first, so that no length is one task
-    salted = cut.withColumn("salt", F.pmod(F.xxhash64("row"), F.lit(n_salts)))
+    n_salts = F.array(*[F.lit(-(-counts.get(k, 1) // RANKED)) for k in range(1, size + 1)])
+    salted = cut.select("row", "length", F.pmod(F.xxhash64("row"), F.element_at(n_salts, F.col("length").cast("int"))).alias("salt"))
     before = Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
     base = (salted.groupBy("length", "salt").agg(F.count(F.lit(1)).alias("n"))
             .select("length", "salt", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base")))
     own = F.row_number().over(Window.partitionBy("length", "salt").orderBy("row")) - 1
     ranked = (salted.withColumn("own", own).join(base, ["length", "salt"])
-              .withColumn("rank", F.col("base") + F.col("own")).drop("salt", "own", "base", "row"))
-    fields = [f for f in ranked.schema.fields if f.name != "rank"]
-    keep = [f.name for f in fields]
-    schema = T.StructType([*fields, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
+              .select("row", "length", (F.col("base") + F.col("own")).alias("rank")))
+    n_full = counts.pop(size, 0)
+    known = np.concatenate([slots(pack_histogram(counts, size), n_full), [[size, 0, 1, 0, 0]]])
     # a run covers a range of ranks: the last run of the length that starts at or below the rank
     key = known[:, 0] << 44 | known[:, 1]
 
     def find(batches):
         for b in batches:
-            length, rank = (b.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("length", "rank"))
+            row, length, rank = (b.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("row", "length", "rank"))
             run = known[np.searchsorted(key, length << 44 | rank, side="right") - 1]
             turn, slot = np.divmod(rank - run[:, 1], run[:, 2])
-            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), pa.array(run[:, 3] + turn),
-                                              pa.array(run[:, 4] + slot * length)], names=[*keep, "sequence_id", "offset"])
+            yield pa.RecordBatch.from_arrays([pa.array(row), pa.array(run[:, 3] + turn), pa.array(run[:, 4] + slot * length)],
+                                             names=["row", "sequence_id", "offset"])
 
-    return ranked.mapInArrow(find, schema)
+    return ranked.mapInArrow(find, "row long, sequence_id long, offset long")
 
 
 def pack(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE,
@@ -128,4 +133,4 @@ def pack(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
     cut = materialize(pieces(docs, path, id_col, text_col, size, end)
                       .select("doc_id", "start", "length", "doc_tokens", value)
                       .withColumn("row", F.monotonically_increasing_id()), "pieces")
-    return place(cut, size)
+    return cut.join(place(cut.select("row", "length"), size), "row").drop("row")
