@@ -404,6 +404,51 @@ def auc_pr(spark, sf):
     return M.average_precision(_eval_frame(spark, sf))
 
 
+def _ranked_sql(frame: str) -> str:
+    """ROC-AUC and average precision by group from ranks and running counts."""
+    return f"""
+, ev AS ({frame}),
+g0 AS (SELECT split, score, count_if(label = 1) AS pos, count_if(label <> 1) AS neg FROM ev GROUP BY split, score),
+g AS (SELECT *, SUM(pos) OVER w - pos AS pos_below, SUM(neg) OVER w - neg AS neg_below,
+      SUM(pos) OVER (PARTITION BY split) AS P, SUM(neg) OVER (PARTITION BY split) AS N
+      FROM g0 WINDOW w AS (PARTITION BY split ORDER BY score))
+SELECT split, CAST(round(CAST(SUM(CAST(pos AS DOUBLE) * (neg_below + neg * 0.5)) / (CAST(max(P) AS DOUBLE) * max(N))
+         AS DECIMAL(38,16)), 10) AS DOUBLE) AS auc_roc,
+       CAST(round(CAST(SUM(CASE WHEN pos > 0 THEN CAST(pos AS DOUBLE) / P * (CAST(P - pos_below AS DOUBLE)
+         / (P - pos_below + N - neg_below)) END) AS DECIMAL(38,16)), 10) AS DOUBLE) AS auc_pr
+FROM g GROUP BY split""".replace("\n, ev AS", ",\nev AS")
+
+
+def _curve_rows(frames):
+    """One row a split from one-row frames (scalar subqueries, no cross join)."""
+    out = None
+    for split, df in frames:
+        auc = M.auc_roc(df).select(F.round(F.col("auc_roc").cast("decimal(38,16)"), 10).cast("double")).scalar()
+        row = M.average_precision(df).select(F.lit(split).alias("split"), auc.alias("auc_roc"), "auc_pr")
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+@register("auc_by_split", with_layers(_ranked_sql(f"""
+  SELECT CASE WHEN timestamp <= TIMESTAMP '{S.VAL_END}' THEN 'val' ELSE 'test' END AS split,
+         rule_score AS score, is_laundering AS label FROM gold WHERE timestamp > TIMESTAMP '{S.TRAIN_END}'"""), "gold"))
+def auc_by_split(spark, sf):
+    """AUC and average precision of the rule score on val and on test."""
+    ds = ML.ml_dataset(ledger(spark, sf).gold)
+    return _curve_rows([(x, ds.where(F.col("split") == x).select(F.col("rule_score").alias("score"), F.col(S.TARGET).alias("label")))
+                        for x in ("val", "test")])
+
+
+@register("auc_dense_score", with_layers(_ranked_sql("""
+  SELECT 'all' AS split, CAST('0x' || substr(md5(transaction_id), 1, 13) AS BIGINT) / 4503599627370496.0 AS score,
+         is_laundering AS label FROM gold"""), "gold"))
+def auc_dense_score(spark, sf):
+    """The same for a score with as many values as rows (a hash of the id)."""
+    dense = F.conv(F.substring(F.md5("transaction_id"), 1, 13), 16, 10).cast("bigint") / F.lit(float(1 << 52))
+    gold = ledger(spark, sf).gold.select(dense.alias("score"), F.col(S.TARGET).alias("label"))
+    return _curve_rows([("all", gold)])
+
+
 @register("model_gate", with_eval(SWEEP_SQL + ",\n" + CM_AT_BEST + SCORE_TABLE_SQL.replace(
     ", st0 AS", ",\nst0 AS") + """,
 au AS (SELECT CASE WHEN max(P) > 0 AND max(N) > 0 THEN
