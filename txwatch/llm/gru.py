@@ -165,7 +165,10 @@ def window_gradient(p: Params, given, token, fresh, live, h) -> tuple[float, Par
         grads["rec"] += h0.T @ dg
         d_in[t, :, :2 * size], d_in[t, :, 2 * size:] = dg, dc
         dh = (dh * z + drh * r + dg @ p["rec"].T) * (~fresh[t])[:, None]
-    np.add.at(grads["inp"], given.ravel(), d_in.reshape(-1, 3 * size))
+    flat = given.ravel()
+    order = np.argsort(flat, kind="stable")
+    rows, at = np.unique(flat[order], return_index=True)
+    grads["inp"][rows] = np.add.reduceat(d_in.reshape(-1, 3 * size)[order], at, axis=0)
     return float(-logp.sum()), grads, states[-1]
 
 
