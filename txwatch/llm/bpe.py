@@ -18,6 +18,7 @@ import heapq
 import json
 import unicodedata
 from functools import cache
+from struct import pack
 
 import numpy as np
 import pyarrow as pa
@@ -30,8 +31,11 @@ from txwatch.llm.tokens import byte_of_char
 #: Fixed: the word pattern of the lower-casing word vocabulary (white space is dropped).
 WORD = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\p{White_Space}\p{L}\p{N}]+"
 #: Distinct words and chunks that a worker keeps; it starts anew beyond.
-KEPT = 200_000
+KEPT_WORDS, KEPT_CHUNKS = 300_000, 600_000
+#: Characters, and bytes of ids, that a worker handles at once; symbols up to which a plain scan finds the next merge.
+SLICE, SLICE_IDS, SHORT = 1 << 20, 4 << 20, 40
 NONE = np.int64(1) << 40
+NO_MERGE = 1 << 40
 
 
 class Bpe:
@@ -55,18 +59,19 @@ class Bpe:
         key = parts[:, 0] << 32 | parts[:, 1]
         order = np.argsort(key)
         self.pair_key, self.pair_id = key[order], order + self.first
-        self.texts = [""] * (max([*self.vocab.values(), *self.special.values()], default=-1) + 1)
-        for t, i in [*self.vocab.items(), *self.special.items()]:
-            self.texts[i] = t
+        self.texts = token_texts(path)
         # a token that merging its own symbols does not give must not be proposed
         usable = {t: i for t, i in self.vocab.items() if i < self.first or self.exact(self.symbols(t)) == [i]}
         self.inner = {t: i for t, i in usable.items() if not (self.end and t.endswith(self.end))}
         self.last = {t[:-len(self.end)]: i for t, i in usable.items() if t.endswith(self.end)} if self.end else self.inner
-        self.longest = max(map(len, self.inner), default=1)
+        self.reach: dict[str, int] = {}  # the longest inner token that starts with these two characters
+        for t in self.inner:
+            if len(t) > 1:
+                self.reach[t[:2]] = max(len(t), self.reach.get(t[:2], 0))
         self.longest_last = max(map(len, self.last), default=1)
         self.char_of = {b: c for c, b in byte_of_char().items()}
         self.cut = regex.compile("|".join(map(regex.escape, self.special))) if self.special else None
-        self.words: dict[str, list[int]] = {}
+        self.words: dict[str, bytes] = {}
         self.chunks: dict[str, bytes] = {}
 
     def symbols(self, token: str) -> list[int]:
@@ -76,6 +81,14 @@ class Bpe:
     def exact(self, ids: list[int]) -> list[int]:
         """Merge the lowest rank first, the leftmost among equals, until none is left."""
         n = len(ids)
+        if n <= SHORT:
+            ids, found = list(ids), self.merge.get
+            while len(ids) > 1:
+                new, k = min((found(p, NO_MERGE), k) for k, p in enumerate(zip(ids, ids[1:], strict=False)))
+                if new == NO_MERGE:
+                    break
+                ids[k:k + 2] = [new]
+            return ids
         ids, before, after = list(ids), list(range(-1, n - 1)), list(range(1, n + 1))
         heap = [(self.merge[p], k) for k, p in enumerate(zip(ids, ids[1:], strict=False)) if p in self.merge]
         heapq.heapify(heap)
@@ -100,7 +113,8 @@ class Bpe:
                 out.append(i)
                 break
             # a token of the last symbol must end the word, so an inner one stops before it
-            for stop in range(min(at + self.longest, n - 1 if self.end else n), at, -1):
+            far = at + self.reach.get(word[at:at + 2], 1)
+            for stop in range(min(far, n - 1 if self.end else n), at, -1):
                 if (i := self.inner.get(word[at:stop])) is not None:
                     out.append(i)
                     at = stop
@@ -145,28 +159,59 @@ class Bpe:
         return out + self._plain(chunk[at:])
 
     def _plain(self, text: str) -> list[str]:
+        if text.isascii() and text.isalpha():
+            return [text.lower()]
         # each character is lower-cased alone, so a final sigma is an ordinary one
         text = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
-        return ["".join(map(self.char_of.__getitem__, w.encode())) for w in _pattern().findall(text)]
+        # printable ASCII characters stand for their own bytes
+        return [w if w.isascii() and w.isprintable() else "".join(map(self.char_of.__getitem__, w.encode()))
+                for w in _pattern().findall(text)]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, little-endian 32-bit."""
         parts = [_spaces().split(t) if _controls().search(t) else t.split() for t in texts]
-        if len(self.chunks) > KEPT or len(self.words) > KEPT:
+        if len(self.chunks) > KEPT_CHUNKS:
             self.chunks.clear()
+        if len(self.words) > KEPT_WORDS:
             self.words.clear()
         new = list({c for p in parts for c in p if c not in self.chunks})
         cut = [self.pieces(c) for c in new]
         unknown = list({w for p in cut for w in p if isinstance(w, str) and w not in self.words})
-        self.words.update(zip(unknown, self.encode_words(unknown), strict=True))
+        self.words.update((w, pack(f"<{len(ids)}I", *ids)) for w, ids in
+                          zip(unknown, self.encode_words(unknown), strict=True))
         for c, p in zip(new, cut, strict=True):
-            ids = [i for w in p for i in (self.words[w] if isinstance(w, str) else [w])]
-            self.chunks[c] = np.array(ids, "<u4").tobytes()
+            self.chunks[c] = b"".join([self.words[w] if isinstance(w, str) else pack("<I", w) for w in p])
         return [b"".join(map(self.chunks.__getitem__, p)) for p in parts]
 
     def decode(self, ids: bytes) -> str:
-        """The tokens joined by a space: the vocabulary has no decoder of its own."""
-        return " ".join(map(self.texts.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+        return decode(self.texts, ids)
+
+
+def decode(texts: list[str], ids: bytes) -> str:
+    """The tokens joined by a space: the vocabulary has no decoder of its own."""
+    return " ".join(map(texts.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+
+
+@cache
+def token_texts(path: str) -> list[str]:
+    """The text of each id."""
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    ids = spec["model"]["vocab"] | {t["content"]: t["id"] for t in spec["added_tokens"]}
+    out = [""] * (max(ids.values(), default=-1) + 1)
+    for t, i in ids.items():
+        out[i] = t
+    return out
+
+
+def slices(values: list, limit: int):
+    """Ranges of values of about ``limit`` characters or bytes together."""
+    start = held = 0
+    for k, v in enumerate(values, 1):
+        held += len(v or b"")
+        if held >= limit or k == len(values):
+            yield start, k
+            start, held = k, 0
 
 
 @cache
@@ -201,9 +246,12 @@ def encode_texts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
 
     def run(batches):
         for b in batches:
-            ids = bpe(path).encode(b.column("text").to_pylist())
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([len(x) // 4 for x in ids], pa.int64()),
-                                              pa.array(ids, pa.binary())], names=["doc_id", "n_tokens", "ids"])
+            texts = b.column("text").to_pylist()
+            for start, stop in slices(texts, SLICE):
+                ids = bpe(path).encode(texts[start:stop])
+                yield pa.RecordBatch.from_arrays(
+                    [b.column("doc_id").slice(start, stop - start), pa.array([len(x) // 4 for x in ids], pa.int64()),
+                     pa.array(ids, pa.binary())], names=["doc_id", "n_tokens", "ids"])
 
     return narrow.mapInArrow(run, "doc_id long, n_tokens long, ids binary")
 
@@ -214,7 +262,10 @@ def decode_ids(encoded: DataFrame, path: str, ids_col: str = "ids") -> DataFrame
 
     def run(batches):
         for b in batches:
-            texts = [bpe(path).decode(x or b"") for x in b.column(ids_col).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(texts, pa.string())], names=names)
+            ids = b.column(ids_col).to_pylist()
+            for start, stop in slices(ids, SLICE_IDS):
+                texts = [decode(token_texts(path), x or b"") for x in ids[start:stop]]
+                yield pa.RecordBatch.from_arrays([*(c.slice(start, stop - start) for c in b.columns), pa.array(texts, pa.string())],
+                                                 names=names)
 
     return encoded.mapInArrow(run, encoded.select("*", F.lit("").alias("decoded")).schema)
