@@ -6,7 +6,8 @@
    (``body/div.post-#/article``).
 2. Spark counts the votes by host and path. Paths with at least ``MIN_SHARE`` of
    a host's votes win: at most ``1 / MIN_SHARE`` of them, whatever the host's size.
-3. Each page is extracted anew from the containers on its host's best winning
+3. Each page meets its host's paths (large hosts by broadcast, the others in a
+   shuffle) and is extracted anew from the containers on its host's best winning
    path that it has; a page with none of them uses its own best container.
 
 Boilerplate (menus, headers, footers, sidebars, notices, adverts, forms,
@@ -23,7 +24,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-MIN_SHARE = 0.1
+from txwatch.session import materialize
+
+MIN_SHARE, HOT_SHARE = 0.1, 0.001
 
 RAW = {"script", "style", "textarea", "title", "iframe", "noscript", "noembed", "noframes", "template", "xmp", "svg",
        "math", "object", "canvas", "select", "button", "audio", "video"}
@@ -220,7 +223,8 @@ def host_of(url):
 
 
 def host_paths(pages: DataFrame, url_col: str = "url", html_col: str = "html", min_share: float = MIN_SHARE) -> DataFrame:
-    """``host, paths``: the winning paths of each host, most votes first."""
+    """``host, paths, votes``: the winning paths of each host, most votes first,
+    and its number of votes."""
     narrow = pages.select(host_of(F.col(url_col)).alias("host"), F.col(html_col).cast("string").alias("html")).where(
         "host is not null and html is not null")
 
@@ -231,10 +235,11 @@ def host_paths(pages: DataFrame, url_col: str = "url", html_col: str = "html", m
 
     votes = narrow.mapInArrow(run, "host string, path string").where("path is not null")
     counts = votes.groupBy("host", "path").agg(F.count(F.lit(1)).alias("n"))
-    share = F.col("n") / F.sum("n").over(Window.partitionBy("host"))
-    won = counts.withColumn("share", share).where(F.col("share") >= min_share)
+    counts = counts.withColumn("votes", F.sum("n").over(Window.partitionBy("host")))
+    won = counts.where(F.col("n") >= min_share * F.col("votes"))
     ranked = F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("n"), "path")))
-    return won.groupBy("host").agg(ranked.alias("r")).select("host", F.transform("r", lambda x: x.path).alias("paths"))
+    return won.groupBy("host").agg(ranked.alias("r"), F.first("votes").alias("votes")).select(
+        "host", F.transform("r", lambda x: x.path).alias("paths"), "votes")
 
 
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
@@ -245,10 +250,15 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     A url without host takes part in no vote and its page uses its own best
     container. Repeated rows vote each. An empty table gives no rows. Other
     columns are not read."""
-    paths = host_paths(pages, url_col, html_col, min_share).withColumnRenamed("host", "voted")
+    paths = materialize(host_paths(pages, url_col, html_col, min_share).withColumnRenamed("host", "voted"), "host-paths")
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"),
                         F.coalesce(F.col(html_col).cast("string"), F.lit("")).alias("html"), host_of(F.col(url_col)).alias("host"))
-    rows = rows.join(paths, F.col("host") == F.col("voted"), "left").select("page_id", "url", "html", "paths")
+    # hosts with a large share of the votes, at most 1 / HOT_SHARE of them, are broadcast: their pages do not move
+    hot = paths.where(F.col("votes") >= HOT_SHARE * paths.agg(F.sum("votes").cast("double")).scalar())
+    same = F.col("host") == F.col("voted")
+    settled = rows.join(F.broadcast(hot), same)
+    others = rows.join(F.broadcast(hot.select("voted")), same, "left_anti").join(paths, same, "left")
+    rows = settled.unionByName(others).select("page_id", "url", "html", "paths")
 
     def run(batches):
         for b in batches:
