@@ -31,7 +31,7 @@ from txwatch.llm.tokens import byte_of_char
 #: Fixed: the word pattern of the lower-casing word vocabulary (white space is dropped).
 WORD = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\p{White_Space}\p{L}\p{N}]+"
 #: Distinct words and chunks that a worker keeps; it starts anew beyond.
-KEPT_WORDS, KEPT_CHUNKS = 300_000, 600_000
+KEPT_WORDS, KEPT_CHUNKS = 150_000, 300_000
 #: Characters, and bytes of ids, that a worker handles at once; symbols up to which a plain scan finds the next merge.
 SLICE, SLICE_IDS, SHORT = 1 << 20, 4 << 20, 40
 NONE = np.int64(1) << 40
