@@ -103,3 +103,19 @@ def test_whole_table_and_held_out_accuracy(spark, table):
     got = same(table, [(r.doc_id, r.text) for r in table.collect()], share=1.0)
     new = [r for r in got if r.held_out]
     assert sum(r.score for r in new) > sum(r.base_score for r in new)
+
+
+def test_registered_settings_train_on_every_document_once(spark, table, monkeypatch):
+    written, keep = [], L.materialize
+
+    def note(df, name):
+        out = keep(df, name)
+        if name == "models":
+            written.append(out)
+        return out
+
+    monkeypatch.setattr(L, "materialize", note)
+    got = L.scores(table).collect()
+    assert sum(r.weight for m in written for r in m.select("weight").collect()) == got[0].train_tokens
+    new = [r for r in got if r.held_out]
+    assert sum(r.score for r in new) > sum(r.base_score for r in new)

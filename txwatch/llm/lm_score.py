@@ -5,8 +5,8 @@
    are one unknown word to the model and share its probability by their counts.
 2. Training is data-parallel: in each round every partition trains on its
    documents from the same parameters, and the parameters are averaged by
-   weight in two levels. A round takes its own share of the training documents
-   (by a hash), so the work grows with the corpus and no document is seen twice.
+   weight in two levels. A round takes its own part of the training documents
+   (by a hash) and the rounds deal all of them, so each is seen exactly once.
 3. Documents are dealt in batches; a batch joins its distinct rare tokens to the
    counts and scores its texts whole.
 """
@@ -25,8 +25,8 @@ from txwatch.llm import gru
 from txwatch.llm.common import UPPER, batched, n_parts, text_bytes
 from txwatch.session import materialize
 
-#: Model size. SHARE of the training documents moves the weights, in ROUNDS; all of them give the counts.
-VOCABULARY, HIDDEN, ROUNDS, SHARE, RATE = 1024, 16, 4, 0.25, 0.01
+#: Model size. SHARE of the training documents (all of them) moves the weights, in ROUNDS; all of them give the counts.
+VOCABULARY, HIDDEN, ROUNDS, SHARE, RATE = 1024, 16, 4, 1.0, 0.01
 BATCH_BYTES, COUNTED, BUFFER = 32 << 20, 400_000, 1 << 20
 ALPHA = 0.1
 END = b""
