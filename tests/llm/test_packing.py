@@ -9,6 +9,7 @@ from tokenizers import Tokenizer
 
 from txwatch.llm import packing as P
 from txwatch.llm.queries import QUERIES
+from txwatch.llm.tokens import encode
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 SCHEMA = "doc_id long, text string, row int, length string"
@@ -76,3 +77,11 @@ def test_patterns_place_every_length(seed):
             placed[length] += packs * times
     assert placed == counts
     assert len(P.slots(P.pack_histogram(counts, size), 0)) <= 8 * len(counts) + 1
+
+
+def test_very_long_white_space():
+    t = Tokenizer.from_file(PATH)
+    texts = ["a" + " " * 3_000_000 + "b", "\n" * 3_000_000, "x " + " \n" * 1_500_000 + "<|endoftext|>" + " " * 20_000 + "\x1c y",
+             "\u3000" * 12_000 + "z\x85" + "\t" * 10_000 + "'s", " " * 9_999 + "q"]
+    for x in texts:
+        assert encode(PATH, x).tolist() == t.encode(x, add_special_tokens=False).ids

@@ -8,6 +8,7 @@ spells out are found as ``tokenizers`` finds them.
 from __future__ import annotations
 
 import json
+import re
 from functools import cache
 
 import numpy as np
@@ -15,6 +16,11 @@ import numpy as np
 #: Fixed: the pattern of the byte-level pre-tokenizer.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
+#: White space as the pattern's ``\s`` has it (Python's also has U+001C to U+001F).
+SPACE = "[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+#: Runs of white space from this length on do not go through the encoder's regex, which fails on very long ones.
+LONG_RUN = 10_000
+
 
 @cache
 def byte_of_char() -> dict[str, int]:
@@ -38,5 +44,29 @@ def byte_encoder(path: str):
     return tiktoken.Encoding(path, pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=added)
 
 
+@cache
+def _long_run():
+    return re.compile(rf"(?<!{SPACE}){SPACE}{{{LONG_RUN},}}")
+
+
 def encode(path: str, text: str) -> np.ndarray:
-    return byte_encoder(path).encode_to_numpy(text, allowed_special="all")
+    encoder = byte_encoder(path)
+    if len(text) < LONG_RUN or not _long_run().search(text):
+        return encoder.encode_to_numpy(text, allowed_special="all")
+    # \s+(?!\S): a run is one piece up to its last character, which starts the next piece, or whole at the end of
+    # the text or before an added token
+    added = sorted(encoder.special_tokens_set, key=len, reverse=True)
+    parts = re.split("(" + "|".join(map(re.escape, added)) + ")", text) if added else [text]
+    out = []
+    for k, part in enumerate(parts):
+        if k % 2:
+            out.append(np.array([encoder.encode_single_token(part)], np.uint32))
+            continue
+        at = 0
+        for m in _long_run().finditer(part):
+            end = m.end() if m.end() == len(part) else m.end() - 1
+            out.append(encoder.encode_to_numpy(part[at:m.start()], allowed_special=set(), disallowed_special=()))
+            out.append(np.array(encoder._encode_single_piece(part[m.start():end]), np.uint32))
+            at = end
+        out.append(encoder.encode_to_numpy(part[at:], allowed_special=set(), disallowed_special=()))
+    return np.concatenate(out)
