@@ -52,3 +52,13 @@ def test_whole_table_matches_its_articles(spark):
         a = re.sub(r"<!--.*?-->", "", re.search(r"<article>(.*?)(</article>|$)", source[r.page_id], re.S)[1], flags=re.S)
         parts = [" ".join(h.unescape(re.sub(r"<[^>]*>", "", s.replace("<br>", " "))).split()) for s in re.split(r"</?(?:p|h1)\b[^>]*>", a)]
         assert r.text == "\n\n".join(p for p in parts if p)
+
+
+def test_elements_inside_a_line_swallow_no_text():
+    for odd in ('<svg class="i"/>', "<math/>", "<svg><path d='M0'>", "<p>x <button>b</p>", "<div><object>o</div>", "<div><audio>o</div>",
+                "<div><video src=a>o</div>", "<div><select><option>o</div>", "<div><canvas></div>"):
+        page = f"<article><p>first</p>{odd}<p>second</p></article>"
+        assert [t for t in H.extract(page, []).split("\n\n") if t != "x"] == ["first", "second"], odd
+    page = ("<article><p>a <svg><title>t</title><text>no</text></svg>b <button><div>no<p>no</div></button>c</p>"
+            "<p>d <select><option>no</select>e <svg><foreignObject><p>no</p></foreignObject></svg>f</p><template><p>no</p></template></article>")
+    assert " ".join(H.extract(page, []).split()) == "a b c d e f"

@@ -28,8 +28,11 @@ from txwatch.session import materialize
 
 MIN_SHARE, HOT_SHARE = 0.1, 0.001
 
-RAW = {"script", "style", "textarea", "title", "iframe", "noscript", "noembed", "noframes", "template", "xmp", "svg",
-       "math", "object", "canvas", "select", "button", "audio", "video"}
+RAW = {"script", "style", "textarea", "title", "iframe", "noembed", "noframes", "xmp"}
+#: Elements inside a line whose text goes; they end no block, and a parent's end tag closes them.
+INLINE_BAD = {"noscript", "template", "svg", "math", "object", "canvas", "select", "button", "audio", "video", "foreignobject"}
+#: An open element of these keeps its blocks from closing blocks around it; a block ends an open svg or math.
+SCOPES, FOREIGN = {"template", "object", "select", "button", "foreignobject"}, {"svg", "math"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 BLOCKS = {"address", "article", "aside", "blockquote", "body", "caption", "center", "dd", "details", "dialog", "div", "dl",
           "dt", "fieldset", "figcaption", "figure", "footer", "form", "frameset", "h1", "h2", "h3", "h4", "h5", "h6",
@@ -99,6 +102,7 @@ def blocks(html: str) -> list[tuple[Node, str, int]]:
     root = Node("html", "html", None, False)
     stack, out = [root], []
     run: list[str] = []
+    skipped: list[tuple[str, int]] = []  # open INLINE_BAD elements and the stack's height at their start
     links = in_link = at = 0
 
     def flush():
@@ -113,10 +117,12 @@ def blocks(html: str) -> list[tuple[Node, str, int]]:
     def close(to: int):
         flush()
         del stack[max(1, to):]
+        while skipped and skipped[-1][1] > len(stack):
+            skipped.pop()
 
     def add(text: str):
         nonlocal links
-        if text:
+        if text and not skipped:
             run.append(text)
             if in_link:
                 links += len(text)
@@ -128,9 +134,18 @@ def blocks(html: str) -> list[tuple[Node, str, int]]:
         if name == "br":
             run.append(" ")
         elif name == "a":
-            in_link = 0 if m[2] else 1
+            in_link = 0 if m[2] or skipped else 1
         elif name == "hr":
-            flush()
+            if not skipped:
+                flush()
+        elif name in INLINE_BAD:
+            if not m[2]:
+                if not (m[4].rstrip().endswith("/") and name in FOREIGN):
+                    skipped.append((name, len(stack)))
+            elif any(n == name for n, _ in skipped):
+                while skipped[-1][0] != name:
+                    skipped.pop()
+                del stack[skipped.pop()[1]:]
         elif name in BLOCKS and m[2]:
             for k in range(len(stack) - 1, 0, -1):
                 if stack[k].name == name:
@@ -141,7 +156,10 @@ def blocks(html: str) -> list[tuple[Node, str, int]]:
             in_link = 0
         elif name in BLOCKS and name != "html":
             flush()
-            for k in range(len(stack) - 1, 0, -1):
+            while skipped and skipped[-1][0] in FOREIGN:
+                skipped.pop()
+            low = max((n for tag, n in skipped if tag in SCOPES), default=1) - 1
+            for k in range(len(stack) - 1, max(0, low), -1):
                 if stack[k].name == "p":  # any block ends an open paragraph
                     close(k)
                     break
@@ -149,7 +167,7 @@ def blocks(html: str) -> list[tuple[Node, str, int]]:
                     break
             ends, stops = CLOSES.get(name, ((), ()))
             if ends:
-                for k in range(len(stack) - 1, 0, -1):
+                for k in range(len(stack) - 1, max(0, low), -1):
                     if stack[k].name in ends:
                         close(k)
                         if name != "tr" or stack[-1].name not in ends:
