@@ -62,3 +62,19 @@ def test_elements_inside_a_line_swallow_no_text():
     page = ("<article><p>a <svg><title>t</title><text>no</text></svg>b <button><div>no<p>no</div></button>c</p>"
             "<p>d <select><option>no</select>e <svg><foreignObject><p>no</p></foreignObject></svg>f</p><template><p>no</p></template></article>")
     assert " ".join(H.extract(page, []).split()) == "a b c d e f"
+
+
+def test_layout_wrappers_with_bad_words_keep_their_article():
+    inner = "<article><p>" + "main text here " * 9 + "</p></article>"
+    for wrap in ('<div class="layout with-sidebar">', '<div id="has-comments">', '<div class="page header-fixed">', '<section class="article-share">'):
+        tag = wrap[1:].split()[0]
+        side = '<div class="left-sidebar"><p>side</p></div><section class="related-posts"><p>other</p></section>'
+        assert H.extract(f"<body>{wrap}{inner}{side}</{tag}></body>", []) == ("main text here " * 9).strip(), wrap
+        plain = f"<body>{wrap}<div class=x><p>{'main text here ' * 9}</p></div></{tag}><div><a href=/>{'link ' * 99}</a></div></body>"
+        assert H.extract(plain, []) == ("main text here " * 9).strip(), wrap
+        assert H.extract(f"<div id=site-header><h1>Site</h1></div>{plain}", []) == ("main text here " * 9).strip(), wrap
+    cards = '<div class="related-posts"><article><p>' + "a card " * 99 + "</p></article></div>"
+    assert "card" not in H.extract(f"<body>{inner}{cards}</body>", [])
+    assert "card" not in H.extract(f"<body><h1>Title</h1>{inner}{cards}</body>", [])
+    both = '<div class="post-share"><article><p>one</p></article></div>' * 2
+    assert H.extract(f"<body>{both}</body>", []).count("one") == 2

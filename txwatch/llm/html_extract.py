@@ -76,31 +76,71 @@ def _attributes(text: str) -> dict[str, str]:
 class Node:
     """An element of the page: its place in the tree and what was said of it."""
 
-    __slots__ = ("bad", "drop", "name", "parent", "path", "score")
+    __slots__ = ("bad", "hint", "name", "parent", "path", "score")
 
-    def __init__(self, name: str, label: str, parent: Node | None, bad: bool):
-        self.name, self.parent = name, parent
+    def __init__(self, name: str, label: str, parent: Node | None, bad: bool, hint: bool):
+        self.name, self.parent, self.hint = name, parent, hint
         self.path = f"{parent.path}/{label}" if parent else label
         self.bad = bad or (parent is not None and parent.bad)
-        self.drop = False
         self.score = 0.0
 
 
 def _is_bad(name: str, attrs: dict[str, str]) -> bool:
+    """By tag, role, style or a whole class or id."""
     if name in BAD_TAGS or attrs.get("role", "").lower() in BAD_ROLES or "hidden" in attrs:
         return True
     if re.search(r"display\s*:\s*none", attrs.get("style", ""), re.I):
         return True
-    names = f"{attrs.get('class', '')} {attrs.get('id', '')}".lower().split()
-    if name in STURDY:
-        return any(n in BAD_WORDS for n in names)
-    return any(w in BAD_WORDS for n in names for w in _patterns()[2].findall(n))
+    return any(n in BAD_WORDS for n in _names(attrs))
+
+
+def _names(attrs: dict[str, str]) -> list[str]:
+    return f"{attrs.get('class', '')} {attrs.get('id', '')}".lower().split()
+
+
+def _is_hint(name: str, attrs: dict[str, str]) -> bool:
+    """By a part of a class or id; ``settle`` decides."""
+    return name not in STURDY and any(w in BAD_WORDS for n in _names(attrs) for w in _patterns()[2].findall(n))
+
+
+def settle(nodes: list[Node], found: list[tuple[Node, str, int]]) -> None:
+    """Make elements with a hint bad, but not those around the page's content:
+    a main or h1, articles if no article or main stands outside all hints, or,
+    on a page with neither, most of the text that is not link text."""
+    hinted = [n for n in nodes if n.hint and not n.bad]
+    if not hinted:
+        return
+    under = {}  # the nearest element with a hint, from the element itself up
+    for n in nodes:  # parents first
+        under[n] = n if n.hint else under[n.parent] if n.parent else None
+    marks = [n for n in nodes if not n.bad and n.name in ("article", "main", "h1")]
+    if any(n.name != "h1" and under[n] is None for n in marks):
+        firm = [n for n in marks if n.name != "article"]
+    else:
+        firm = marks
+    spared: set[Node] = set()
+    for n in firm:
+        for above in _up(n):
+            if above in spared:
+                break
+            spared.add(above)
+    if all(n.name == "h1" for n in marks):
+        weight = dict.fromkeys(nodes, 0)
+        for n, text, links in found:
+            if not n.bad:
+                weight[n] += len(text) - links
+        for n in reversed(nodes):
+            if n.parent:
+                weight[n.parent] += weight[n]
+        spared |= {n for n in hinted if 2 * weight[n] > weight[nodes[0]]}
+    for n in nodes:
+        n.bad = n.bad or (n.parent is not None and n.parent.bad) or (n.hint and n not in spared)
 
 
 def blocks(html: str) -> list[tuple[Node, str, int]]:
     """``(element, text, link characters)`` of each run of text between block boundaries."""
-    root = Node("html", "html", None, False)
-    stack, out = [root], []
+    root = Node("html", "html", None, False, False)
+    stack, nodes, out = [root], [root], []
     run: list[str] = []
     skipped: list[tuple[str, int]] = []  # open INLINE_BAD elements and the stack's height at their start
     links = in_link = at = 0
@@ -176,10 +216,12 @@ def blocks(html: str) -> list[tuple[Node, str, int]]:
                         break
             attrs = _attributes(m[4]) if m[4] else {}
             label = ".".join([name, *sorted({re.sub(r"\d+", "#", c) for c in attrs.get("class", "").lower().split()})])
-            stack.append(Node(name, label, stack[-1], _is_bad(name, attrs)))
+            stack.append(Node(name, label, stack[-1], _is_bad(name, attrs), _is_hint(name, attrs)))
+            nodes.append(stack[-1])
             in_link = 0
     add(html[at:])
     flush()
+    settle(nodes, out)
     return out
 
 
