@@ -78,3 +78,23 @@ def test_layout_wrappers_with_bad_words_keep_their_article():
     assert "card" not in H.extract(f"<body><h1>Title</h1>{inner}{cards}</body>", [])
     both = '<div class="post-share"><article><p>one</p></article></div>' * 2
     assert H.extract(f"<body>{both}</body>", []).count("one") == 2
+
+
+def test_text_around_the_largest_container_stays():
+    lead, body, rest = "lead " * 20, "body text " * 100, "rest " * 60
+    for tag in ("main", "article", "div class=post"):
+        end = tag.split()[0]
+        page = (f"<body><div class=top><p>{'x ' * 30}</p></div><{tag}><h1>T</h1><p>{lead}</p><div class=body><p>{body}</p></div></{end}>"
+                f"<div class=more><p>other</p></div></body>")
+        assert H.extract(page, []).split("\n\n") == ["T", lead.strip(), body.strip()], tag
+        assert H.extract(page, [H.vote(page)]) == H.extract(page, [H.vote(page).rsplit("/", 1)[0] + "/none"]) == H.extract(page, [])
+        inner = H.vote(page) + "/div.body"
+        assert H.extract(page, [inner]) == H.extract(page, [])
+    for tag in ("article", "main", "div class=post"):
+        page = (f"<body><{tag}><section class=intro><div class=text><p>{rest}</p></div></section><section class=rest><div class=content>"
+                f"<p>{body}</p></div></section></{tag.split()[0]}></body>")
+        assert H.extract(page, []).split("\n\n") == [rest.strip(), body.strip()], tag
+    links = f"<main><div class=body><p>{body}</p></div><div class=tags><a href=/>{'tag ' * 50}</a></div></main>"
+    assert H.extract(links, []) == body.strip()
+    cards = f"<main><h1>T</h1><article><div class=x><p>{body}</p></div></article><article><p>{rest}</p></article></main>"
+    assert H.extract(cards, []) == body.strip()

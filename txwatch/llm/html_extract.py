@@ -257,21 +257,89 @@ def best_container(kept: list[tuple[Node, str, int]]) -> Node | None:
     return max(seen.values(), key=lambda n: n.score, default=None)
 
 
+def climb(node: Node, kept: list[tuple[Node, str, int]]) -> Node:
+    """The highest element around ``node`` whose further text belongs to it: that
+    text is mostly no link text and stands in no container of its own, except
+    inside the article or main around ``node``. Nothing above a main, or above an
+    article without a main, is tried."""
+    chain = list(_up(node))
+    tops = [i for i, n in enumerate(chain) if n.name == "main"] or [i for i, n in enumerate(chain) if n.name == "article"]
+    chain = chain[:tops[-1] + 1] if tops else chain
+    # where each element meets the chain, and whether in a section beside one, a rival container or an article
+    met: dict[Node, tuple[int, bool, bool, bool]] = {n: (i, False, False, False) for i, n in enumerate(chain)}
+
+    def meet(n: Node) -> tuple[int, bool, bool, bool] | None:
+        way = []
+        for above in _up(n):
+            if above in met:
+                break
+            way.append(above)
+        else:
+            return None  # above the chain
+        for x in reversed(way):
+            i, part, rival, article = met[x.parent]
+            beside = x.parent is chain[i] and x.parent.name != "body" and x.name == "section" and i > 0 and chain[i - 1].name == "section"
+            part = part or beside
+            met[x] = (i, part, rival or (x.name in CONTAINERS and not part), article or x.name == "article")
+        return met[n]
+
+    further = [[0, 0, False, False] for _ in chain]
+    for n, text, links in kept:
+        if found := meet(n):
+            i, _, rival, article = found
+            f = further[i]
+            f[0], f[1], f[2], f[3] = f[0] + len(text), f[1] + links, f[2] or rival, f[3] or article
+    best, size, linked, rivals, articles, inside = node, 0, 0, False, False, node.name == "article"
+    for n, (more, links, rival, article) in list(zip(chain, further, strict=True))[1:]:
+        size, linked, rivals, articles = size + more, linked + links, rivals or rival, articles or article
+        whole = n.name in ("article", "main") and not articles and not inside
+        if (more or (whole and size)) and 2 * linked <= size and (whole or not rivals):
+            best = n
+        inside = inside or n.name == "article"
+    return best
+
+
 def vote(html: str) -> str | None:
-    """The generalised path of a page's best container."""
-    node = best_container(_kept(blocks(html)))
-    return node.path if node else None
+    """The generalised path of a page's best container with the text around it."""
+    kept = _kept(blocks(html))
+    node = best_container(kept)
+    return climb(node, kept).path if node else None
 
 
 def extract(html: str, paths: list[str]) -> str:
     """The text in the containers on the first of ``paths`` that the page has."""
     kept = _kept(blocks(html))
-    there = {n.path for node, _, _ in kept for n in _up(node)}
+    there: dict[str, set[Node]] = {}
+    seen: set[Node] = set()
+    for node, _, _ in kept:
+        for n in _up(node):
+            if n in seen:
+                break
+            seen.add(n)
+            there.setdefault(n.path, set()).add(n)
     path = next((p for p in paths if p in there), None)
+    best = best_container(kept) if path is None else None
+    if path is None and best is None:
+        return "\n\n".join(text for _, text, _ in kept)
     if path is None:
-        node = best_container(kept)
-        path = node.path if node else None
-    inside = [text for node, text, _ in kept if path is None or any(n.path == path for n in _up(node))]
+        chosen = there[climb(best, kept).path]
+    else:
+        chosen = there[path]
+        if len(chosen) == 1:  # the page may have more around it than its host's others
+            chosen = {climb(next(iter(chosen)), kept)}
+    under: dict[Node | None, bool] = {None: False}
+
+    def within(node: Node) -> bool:
+        way = []
+        n = node
+        while n not in under and n not in chosen:
+            way.append(n)
+            n = n.parent
+        found = n in chosen or under[n]
+        under.update(dict.fromkeys(way, found))
+        return found
+
+    inside = [text for node, text, _ in kept if within(node)]
     return "\n\n".join(inside)
 
 
