@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txwatch.llm import bpe, exact_dedup, html_extract, license_scan, lm_score, ngram_join, packing, quality_rules, substring_dedup, warc_zip
+from txwatch.llm import bpe, exact_dedup, html_extract, license_scan, lm_score, ngram_join, packing, quality_rules, substring_dedup, vector_codes, warc_zip
 from txwatch.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -215,3 +215,43 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"),
                         value=F.crc32("ids").alias("ids_crc32"))
+
+
+def _codes_sql() -> str:
+    q = vector_codes
+    steps = []
+    for r in range(q.ROUNDS + 1):
+        steps.append(f"""a{r} AS (
+  SELECT row, p, x, arg_min(entry, d * 256 + entry) AS entry, min(d) AS d FROM (
+    SELECT row, x.p, x, entry, CAST(list_dot_product(x, x) - 2 * list_dot_product(x, c) + list_dot_product(c, c) AS BIGINT) AS d
+    FROM x JOIN c{r} ON x.p = c{r}.p) GROUP BY row, p, x)""")
+        if r < q.ROUNDS:
+            steps.append(f"""c{r + 1} AS (
+  SELECT c{r}.p, c{r}.entry, coalesce(m.c, c{r}.c) AS c FROM c{r} LEFT JOIN (
+    SELECT p, entry, list(v ORDER BY i) AS c FROM (
+      SELECT p, entry, i, floor(sum(v) / count(*)) AS v
+      FROM (SELECT p, entry, unnest(x) AS v, generate_subscripts(x, 1) AS i FROM a{r}) GROUP BY p, entry, i)
+    GROUP BY p, entry) m ON c{r}.p = m.p AND c{r}.entry = m.entry)""")
+    return f"""
+WITH k AS MATERIALIZED (
+  SELECT vec_id, label, row_number() OVER (ORDER BY vec_id) AS row,
+         list_transform(embedding, lambda e: floor({q.SCALE} * CAST(e AS DOUBLE))) AS v
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0),
+x AS MATERIALIZED (SELECT row, p, v[p * (len(v) // {q.PARTS}) + 1:(p + 1) * (len(v) // {q.PARTS})] AS x
+      FROM k, (SELECT unnest(range({q.PARTS})) AS p)),
+c0 AS (SELECT p, row - 1 AS entry, x AS c FROM x WHERE row <= {q.ENTRIES}),
+{', '.join(s.replace(' AS (', ' AS MATERIALIZED (', 1) for s in steps)},
+books AS (SELECT sha256(string_agg(s, ',' ORDER BY p, entry)) AS codebooks_sha256
+          FROM (SELECT p, entry, array_to_string(list_transform(c, lambda e: CAST(CAST(e AS BIGINT) AS VARCHAR)), ',') AS s FROM c{q.ROUNDS})),
+coded AS (SELECT row, string_agg(printf('%02x', entry), '' ORDER BY p) AS code, CAST(sum(d) AS BIGINT) AS error
+          FROM a{q.ROUNDS} GROUP BY row)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM k JOIN coded USING (row), books
+"""
+
+
+@query("op11_vector_codes", _codes_sql())
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    codes = vector_codes.fit(table(spark, sf_dir, "embeddings"))
+    return vector_codes.with_label_error(codes.frame).select(
+        "vec_id", F.lower(F.hex("code")).alias("code"), "error", "label_error", F.lit(codes.sha256()).alias("codebooks_sha256"))
