@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txwatch.llm import bpe, exact_dedup, html_extract, license_scan, lm_score, ngram_join, packing, quality_rules, substring_dedup, vector_codes, warc_zip
+from txwatch.llm import bpe, exact_dedup, html_extract, license_scan, lm_score, ngram_join, packing, quality_rules, sharding, substring_dedup, vector_codes, warc_zip
 from txwatch.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -255,3 +255,64 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     codes = vector_codes.fit(table(spark, sf_dir, "embeddings"))
     return vector_codes.with_label_error(codes.frame).select(
         "vec_id", F.lower(F.hex("code")).alias("code"), "error", "label_error", F.lit(codes.sha256()).alias("codebooks_sha256"))
+
+
+def _crc32_sql(text: str) -> str:
+    """The CRC-32 of a text's bytes, one table step a byte."""
+    steps = []
+    for byte in range(256):
+        for _ in range(8):
+            byte = byte >> 1 ^ (0xEDB88320 if byte & 1 else 0)
+        steps.append(byte)
+    found = f"list_transform(regexp_extract_all(hex(encode({text})), '..'), lambda h: CAST('0x' || h AS BIGINT))"
+    return (f"xor(list_reduce(list_concat([4294967295::BIGINT], {found}), "
+            f"lambda c, b: xor(({steps}::BIGINT[])[(xor(c, b) & 255) + 1], c >> 8)), 4294967295)")
+
+
+def _shard_sql() -> str:
+    q = sharding
+    dims, bits = len(q.DIMS), q.BITS
+    scales = [f"""s{i} AS (SELECT {d} AS v, (sum(count(*)) OVER (ORDER BY {d} NULLS FIRST) - count(*)) * {1 << bits} // (SELECT count(*) FROM documents) AS x{i}
+      FROM documents GROUP BY {d})""" for i, d in enumerate(q.DIMS)]
+    joins = " ".join(f"JOIN s{i} ON d.{d} IS NOT DISTINCT FROM s{i}.v" for i, d in enumerate(q.DIMS))
+    xs = [f"x{i}" for i in range(dims)]
+    steps, last = [], "rows"
+
+    def step(exprs: dict[str, str]) -> None:
+        nonlocal last
+        keep = ", ".join(f"{exprs.get(c, c)} AS {c}" for c in (*xs, "turn"))
+        steps.append(f"t{len(steps)} AS (SELECT doc_id, size, crc, {keep} FROM {last})")
+        last = f"t{len(steps) - 1}"
+
+    for b in range(bits - 1, 0, -1):
+        low = (1 << b) - 1
+        step({"x0": f"xor(x0, CASE WHEN (x0 >> {b}) & 1 = 1 THEN {low} ELSE 0 END)"})
+        for x in xs[1:]:
+            swap = f"(CASE WHEN ({x} >> {b}) & 1 = 1 THEN 0 ELSE xor(x0, {x}) & {low} END)"
+            step({"x0": f"xor(x0, CASE WHEN ({x} >> {b}) & 1 = 1 THEN {low} ELSE {swap} END)", x: f"xor({x}, {swap})"})
+    for a, b in zip(xs, xs[1:]):
+        step({b: f"xor({b}, {a})"})
+    for b in range(bits - 1, 0, -1):
+        step({"turn": f"xor(turn, CASE WHEN ({xs[-1]} >> {b}) & 1 = 1 THEN {(1 << b) - 1} ELSE 0 END)"})
+    step({x: f"xor({x}, turn)" for x in xs})
+    curve = " + ".join(f"(({x} >> {b}) & 1) * {1 << (dims * b + dims - 1 - i)}" for b in range(bits) for i, x in enumerate(xs))
+    return f"""
+WITH {', '.join(scales)},
+rows AS (SELECT doc_id, CAST(coalesce(strlen(text), 0) + 1 AS BIGINT) AS size, {_crc32_sql("coalesce(text, '')")} AS crc,
+         {', '.join(f'CAST({x} AS BIGINT) AS {x}' for x in xs)}, CAST(0 AS BIGINT) AS turn FROM documents d {joins}),
+{', '.join(steps)},
+ranks AS (SELECT doc_id, size, crc, row_number() OVER (ORDER BY {curve}, doc_id, size, crc) - 1 AS rank FROM {last}),
+cuts AS (SELECT *, (SELECT count(*) FROM documents) // {q.SHARDS} AS small, (SELECT count(*) FROM documents) % {q.SHARDS} AS more FROM ranks),
+shards AS (SELECT *, CASE WHEN rank < more * (small + 1) THEN rank // (small + 1)
+                          ELSE more + (rank - more * (small + 1)) // greatest(small, 1) END AS shard FROM cuts)
+SELECT doc_id, size, CAST(crc AS BIGINT) AS text_crc32, '{q.LAW}' AS law, CAST(shard AS INTEGER) AS shard,
+       CAST(rank - shard * small - least(shard, more) AS BIGINT) AS slot, CAST(NULL AS INTEGER) AS grown_shard
+FROM shards
+"""
+
+
+@query("op12_hilbert_shards", _shard_sql())
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.shard(table(spark, sf_dir, "documents"))
+    return placed.select("doc_id", "size", "text_crc32", F.lit(sharding.LAW).alias("law"), "shard", "slot",
+                         F.lit(None).cast("int").alias("grown_shard"))
