@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txwatch.llm import bpe, exact_dedup, html_extract, license_scan, lm_score, ngram_join, packing, quality_rules, sharding, substring_dedup, vector_codes, warc_zip
+from txwatch.llm import bpe, exact_dedup, html_extract, license_scan, lm_score, ngram_join, packing, quality_rules, sharding, substring_dedup, token_align, vector_codes, warc_zip
 from txwatch.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -316,3 +316,9 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.shard(table(spark, sf_dir, "documents"))
     return placed.select("doc_id", "size", "text_crc32", F.lit(sharding.LAW).alias("law"), "shard", "slot",
                          F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query("op13_token_alignment")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_align.cross_align(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"),
+                                   vocabulary("piece_bpe_32k.model"))

@@ -49,13 +49,14 @@ def _long_run():
     return re.compile(rf"(?<!{SPACE}){SPACE}{{{LONG_RUN},}}")
 
 
-def encode(path: str, text: str) -> np.ndarray:
+def encode(path: str, text: str, special: bool = True) -> np.ndarray:
+    """The ids of a text; without ``special``, added tokens that it spells out are plain text."""
     encoder = byte_encoder(path)
     if len(text) < LONG_RUN or not _long_run().search(text):
-        return encoder.encode_to_numpy(text, allowed_special="all")
+        return encoder.encode_to_numpy(text, allowed_special="all" if special else set(), disallowed_special=())
     # \s+(?!\S): a run is one piece up to its last character, which starts the next piece, or whole at the end of
     # the text or before an added token
-    added = sorted(encoder.special_tokens_set, key=len, reverse=True)
+    added = sorted(encoder.special_tokens_set, key=len, reverse=True) if special else []
     parts = re.split("(" + "|".join(map(re.escape, added)) + ")", text) if added else [text]
     out = []
     for k, part in enumerate(parts):
