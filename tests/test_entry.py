@@ -1,4 +1,11 @@
 """Driver contract on sf0.001 and layer invariants on pipeline output."""
+import shutil
+import subprocess
+import sys
+from pathlib import Path
+
+import pytest
+
 import __spark_entry__ as E
 from tests.conftest import SF001
 from txwatch.operators import alerts as A
@@ -37,3 +44,37 @@ def test_selected_queries_run(spark):
     for name in ["summary_kpis", "score_histogram", "threshold_sweep", "auc_roc", "unified_union",
                  "sender_velocity_sliding", "stream_dedup", "bronze_csv_roundtrip"]:
         assert qs[name](spark, SF001).count() >= 0, name
+
+
+SAYS = "import __spark_entry__ as E; print(len(E.queries()), len(E.oracle_sql()), *(x for x in E.queries() if x[:2] == 'op' or x == 'pipeline'))"
+
+
+@pytest.mark.parametrize("gone", [["txwatch/llm", "tests/llm"], ["txwatch/llm", "tests/llm", "corpus_pipeline.py"], ["corpus_pipeline.py"], []])
+def test_entry_imports_without_the_subpackage(tmp_path, gone):
+    here = Path(E.__file__).parent
+    copy = tmp_path / "repo"
+    shutil.copytree(here, copy, ignore=shutil.ignore_patterns(".git", "__pycache__", "*.json", "*.md"))
+    for name in gone:
+        path = copy / name
+        if path.exists():
+            shutil.rmtree(path) if path.is_dir() else path.unlink()
+        if name == "txwatch/llm":
+            (path / "__pycache__").mkdir(parents=True, exist_ok=True)  # an empty folder can stay behind
+    done = subprocess.run([sys.executable, "-c", SAYS], cwd=copy, capture_output=True, text=True, timeout=120)
+    assert done.returncode == 0, done.stderr
+    n_queries, n_sql, *extra = done.stdout.split()
+    assert int(n_queries) >= 70 and int(n_sql) >= 70
+    has = (here / "txwatch/llm").exists() and "txwatch/llm" not in gone
+    assert any(x.startswith("op") for x in extra) == has
+    assert ("pipeline" in extra) == (has and "corpus_pipeline.py" not in gone)
+
+
+def test_broken_subpackage_is_not_hidden(tmp_path):
+    here = Path(E.__file__).parent
+    copy = tmp_path / "repo"
+    shutil.copytree(here, copy, ignore=shutil.ignore_patterns(".git", "__pycache__", "*.json", "*.md"))
+    if not (copy / "txwatch/llm").exists():
+        pytest.skip("the subpackage is not here")
+    (copy / "txwatch/llm/queries.py").write_text("import no_such_module\n")
+    done = subprocess.run([sys.executable, "-c", SAYS], cwd=copy, capture_output=True, text=True, timeout=120)
+    assert done.returncode != 0 and "no_such_module" in done.stderr
