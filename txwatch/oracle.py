@@ -167,7 +167,7 @@ TYPOLOGY = """CASE
       ELSE 'suspicious_pattern' END"""
 
 
-def _alerts() -> str:
+def _cut() -> str:
     return f"""
 ranked AS (SELECT rule_score, row_number() OVER (ORDER BY rule_score) - 1 AS i,
            CAST(count(*) OVER () - 1 AS DOUBLE) * {S.ALERT_PERCENTILE} AS p FROM gold),
@@ -175,6 +175,14 @@ cut AS (SELECT CASE WHEN min(rule_score) = max(rule_score) THEN min(rule_score)
         ELSE (ceil(any_value(p)) - any_value(p)) * min(rule_score)
              + (any_value(p) - floor(any_value(p))) * max(rule_score) END AS exact
         FROM ranked WHERE i = floor(p) OR i = ceil(p)),
+hits AS (
+  SELECT md5(transaction_id || '{RUN_TS}') AS alert_id, *, {TYPOLOGY} AS hit_typology
+  FROM gold WHERE rule_score >= (SELECT exact FROM cut)
+)"""
+
+
+def _alerts() -> str:
+    return f"""
 thr AS (SELECT round(exact, 6) AS threshold FROM cut),
 alerts AS (
   SELECT md5(transaction_id || '{RUN_TS}') AS alert_id, transaction_id,
@@ -223,13 +231,22 @@ scores AS (
 )"""
 
 
+#: An alert's status from the rule that makes the change log (the later change wins), without the log's joins.
+STATUS_NOW = ("CASE WHEN substr(alert_id, 1, 1) IN ('0', '1', '2', '3') THEN 'INVESTIGATING' "
+              "WHEN substr(alert_id, 1, 1) IN ('4', '5') THEN 'CLOSED' ELSE 'OPEN' END")
+CHANGED_NOW = (f"CASE WHEN substr(alert_id, 1, 1) IN ('0', '1', '2', '3') THEN {CREATED_AT} + INTERVAL 1 HOUR "
+               f"WHEN substr(alert_id, 1, 1) IN ('4', '5') THEN {CREATED_AT} + INTERVAL 2 HOUR END")
+
+
 def with_layers(body: str, upto: str = "alerts") -> str:
     """Prefix ``body`` with the CTE chain up to the named layer."""
     parts = [_ledger_rows()]
-    if upto in ("silver", "gold", "alerts"):
+    if upto in ("silver", "gold", "hits", "alerts"):
         parts.append(_silver())
-    if upto in ("gold", "alerts"):
+    if upto in ("gold", "hits", "alerts"):
         parts.append(_gold())
+    if upto in ("hits", "alerts"):
+        parts.append(_cut())
     if upto == "alerts":
         parts.append(_alerts())
     # layers that several places read are built once

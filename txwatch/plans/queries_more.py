@@ -196,9 +196,8 @@ INC = ", ".join(("transaction_id", "chunk_id", "copy_no"))
 
 
 @register("incremental_new_rows", with_layers(f"""
-SELECT {INC} FROM std ANTI JOIN
-  (SELECT transaction_id FROM marked WHERE dead_reason IS NULL AND chunk_id <= 2) USING (transaction_id)
-WHERE chunk_id >= 3""", "silver"))
+SELECT {INC} FROM (SELECT {INC}, MIN(chunk_id) OVER (PARTITION BY transaction_id) AS first_chunk FROM std)
+WHERE chunk_id >= 3 AND first_chunk > 2""", "silver"))
 def incremental_new_rows(spark, sf):
     lg = ledger(spark, sf)
     published = lg._dedup.where(F.col("dead_reason").isNull() & (F.col("chunk_id") <= 2))
@@ -207,9 +206,8 @@ def incremental_new_rows(spark, sf):
 
 
 @register("incremental_seen_rows", with_layers(f"""
-SELECT {INC} FROM std SEMI JOIN
-  (SELECT transaction_id FROM marked WHERE dead_reason IS NULL AND chunk_id <= 2) USING (transaction_id)
-WHERE chunk_id >= 3""", "silver"))
+SELECT {INC} FROM (SELECT {INC}, MIN(chunk_id) OVER (PARTITION BY transaction_id) AS first_chunk FROM std)
+WHERE chunk_id >= 3 AND first_chunk <= 2""", "silver"))
 def incremental_seen_rows(spark, sf):
     lg = ledger(spark, sf)
     published = lg._dedup.where(F.col("dead_reason").isNull() & (F.col("chunk_id") <= 2))

@@ -9,7 +9,7 @@ from txwatch.operators import analytics as AN
 from txwatch.operators import metrics as M
 from txwatch.operators import ml as ML
 from txwatch.operators import quality as Q
-from txwatch.oracle import with_layers
+from txwatch.oracle import CREATED_AT, STATUS_NOW, with_layers
 from txwatch.plans.catalog import register
 from txwatch.plans.pipeline import ledger
 
@@ -175,13 +175,12 @@ def transaction_lookup(spark, sf):
 
 
 @register("batch_lookup", with_layers(f"""
-, req AS (
-    SELECT '0:' || transaction_id AS ordinal, transaction_id FROM alerts
-    UNION ALL SELECT '1:unknown-' || transaction_id, 'unknown-' || transaction_id FROM alerts
-    WHERE typology = 'structuring')
-SELECT r.ordinal, r.transaction_id, s.ml_probability, s.final_risk_score,
-       {RISK_LEVEL_SQL.format(s='s.final_risk_score')} AS risk_level
-FROM req r LEFT JOIN scores s ON r.transaction_id = s.transaction_id""".replace("\n, req AS", ",\nreq AS")))
+SELECT '0:' || transaction_id AS ordinal, transaction_id, rule_score AS ml_probability, rule_score AS final_risk_score,
+       {RISK_LEVEL_SQL.format(s='rule_score')} AS risk_level
+FROM hits
+UNION ALL
+SELECT '1:unknown-' || transaction_id, 'unknown-' || transaction_id, NULL, NULL, 'UNKNOWN'
+FROM hits WHERE hit_typology = 'structuring'""", "hits"))
 def batch_lookup(spark, sf):
     """Every alerted id plus unknown ids, kept in request order. The request
     key ``ordinal`` sorts in request order (group, then id), so no global
@@ -206,22 +205,23 @@ def alert_list(spark, sf):
 
 
 @register("alert_search", with_layers(f"""
-SELECT {ALERT_COLS} FROM alerts_cur
-WHERE CAST(created_at AS DATE) BETWEEN DATE '2022-09-18' AND DATE '2022-09-18'
-  AND risk_score >= 0.6 AND risk_score <= 0.9"""))
+SELECT alert_id, transaction_id, rule_score AS risk_score, hit_typology AS typology, {STATUS_NOW} AS status, {CREATED_AT} AS created_at
+FROM hits WHERE rule_score >= 0.6 AND rule_score <= 0.9
+  AND {CREATED_AT} >= TIMESTAMP '2022-09-18 00:00:00' AND {CREATED_AT} < TIMESTAMP '2022-09-19 00:00:00'""", "hits"))
 def alert_search(spark, sf):
     return AN.alert_search(ledger(spark, sf).alerts_current, date_from="2022-09-18",
                            date_to="2022-09-18", min_score=0.6, max_score=0.9)
 
 
-@register("alert_by_id", with_layers(f"""
-SELECT a.alert_id, a.transaction_id, a.risk_score, a.typology, a.status, a.created_at,
-       t.amount, t.payment_type, t.sender_account_masked, t.receiver_account_masked,
-       t.timestamp, t.is_laundering, t.rule_score, s.ml_probability,
-       {RISK_LEVEL_SQL.format(s='s.final_risk_score')} AS risk_level
-FROM alerts_cur a LEFT JOIN gold t ON a.transaction_id = t.transaction_id
-LEFT JOIN scores s ON a.transaction_id = s.transaction_id
-WHERE a.alert_id = (SELECT max(alert_id) FROM alerts)"""))
+#: Alerts are rows of gold, so their detail needs no join in the twin.
+DETAIL_SQL = f"""
+SELECT alert_id, transaction_id, rule_score AS risk_score, hit_typology AS typology, {STATUS_NOW} AS status, {CREATED_AT} AS created_at,
+       amount, payment_type, sender_account_masked, receiver_account_masked, timestamp, is_laundering, rule_score,
+       rule_score AS ml_probability, {RISK_LEVEL_SQL.format(s='rule_score')} AS risk_level
+FROM hits"""
+
+
+@register("alert_by_id", with_layers(DETAIL_SQL + " ORDER BY alert_id DESC LIMIT 1", "hits"))
 def alert_by_id(spark, sf):
     """One alert's detail (the key is taken from the data)."""
     lg = ledger(spark, sf)
@@ -237,23 +237,15 @@ def alert_of_transaction(spark, sf):
     return AN.alert_of_transaction(lg.alerts_current, lg.alerts.agg(F.max("transaction_id")).scalar())
 
 
-@register("alert_detail", with_layers("""
-SELECT a.alert_id, a.transaction_id, a.risk_score, a.typology, a.status, a.created_at,
-       t.amount, t.payment_type, t.sender_account_masked, t.receiver_account_masked,
-       t.timestamp, t.is_laundering, t.rule_score, s.ml_probability,
-       CASE WHEN s.final_risk_score IS NULL THEN 'UNKNOWN' WHEN s.final_risk_score >= 0.9 THEN 'CRITICAL'
-            WHEN s.final_risk_score >= 0.7 THEN 'HIGH' WHEN s.final_risk_score >= 0.4 THEN 'MEDIUM'
-            ELSE 'LOW' END AS risk_level
-FROM alerts_cur a LEFT JOIN gold t ON a.transaction_id = t.transaction_id
-LEFT JOIN scores s ON a.transaction_id = s.transaction_id"""))
+@register("alert_detail", with_layers(DETAIL_SQL, "hits"))
 def alert_detail(spark, sf):
     lg = ledger(spark, sf)
     return AN.alert_detail(lg.alerts_current, lg.gold, lg.scores)
 
 
 @register("alert_by_transaction", with_layers(f"""
-SELECT g.transaction_id, a.alert_id, a.risk_score, a.typology, a.status, a.created_at
-FROM gold g JOIN alerts_cur a ON g.transaction_id = a.transaction_id WHERE g.is_laundering = 1"""))
+SELECT transaction_id, alert_id, rule_score AS risk_score, hit_typology AS typology, {STATUS_NOW} AS status, {CREATED_AT} AS created_at
+FROM hits WHERE is_laundering = 1""", "hits"))
 def alert_by_transaction(spark, sf):
     lg = ledger(spark, sf)
     return AN.alert_by_transaction(lg.gold, lg.alerts_current)
@@ -261,9 +253,9 @@ def alert_by_transaction(spark, sf):
 
 @register("alert_export", with_layers(f"""
 SELECT alert_id, substr(alert_id, 1, 8) AS alert_short_id, transaction_id,
-       {r4('risk_score')} AS risk_score, typology, status,
-       strftime(created_at, '%Y-%m-%d %H:%M') AS created_at
-FROM alerts_cur"""))
+       {r4('rule_score')} AS risk_score, hit_typology AS typology, {STATUS_NOW} AS status,
+       strftime({CREATED_AT}, '%Y-%m-%d %H:%M') AS created_at
+FROM hits""", "hits"))
 def alert_export(spark, sf):
     return AN.alert_export(ledger(spark, sf).alerts_current)
 
