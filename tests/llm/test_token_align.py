@@ -101,7 +101,7 @@ def test_units_do_not_change_tokens(seed):
 def test_small_slices_chunks_and_caches_change_nothing(spark, monkeypatch):
     pair = T.Pair(A, B)
     texts = [f"text number {i} has some words like {i * 7919}" for i in range(300)]
-    monkeypatch.setattr(T, "KEPT", 500)
+    monkeypatch.setattr(T, "KEPT", 100)
     whole = T.align(T.Pair(A, B), [t.encode() for t in texts])
     for at in range(0, 300, 30):
         part = T.align(pair, [t.encode() for t in texts[at:at + 30]])

@@ -19,6 +19,7 @@ from __future__ import annotations
 import hashlib
 import re
 from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -30,8 +31,10 @@ from pyspark.sql import functions as F
 from txwatch.llm.tokens import LONG_RUN, byte_encoder, encode
 from txwatch.session import materialize
 
-#: Bytes of text that are aligned at once, and that share one table of pairs; bytes of units that a worker keeps twice.
-SLICE, CHUNK, KEPT = 1 << 20, 8 << 20, 8 << 20
+#: Bytes of text that are aligned at once, and that share one table of pairs.
+SLICE, CHUNK = 1 << 20, 8 << 20
+#: Encoded units in a worker's younger half (the older half is as large), and the longest that it keeps.
+KEPT, KEPT_LENGTH = 100_000, 64
 SPACE = "▁"
 ENDS = 40  # bits of an end within a document
 
@@ -54,34 +57,56 @@ class Pair:
         apart = all(SPACE not in p.lstrip(SPACE) for i, p in enumerate(pieces) if not self.b.is_control(i))
         self.cut = re.compile(r"(?<=\S) (?=\S)").split if apart else (lambda text: [text])
         self.size_a, self.size_b = (pa.array([len(t) for t in x], pa.int64()) for x in (self.bytes_a, self.bytes_b))
+        self.spelt_a, self.spelt_b = (pa.array(x, pa.large_binary()) for x in (self.bytes_a, self.bytes_b))
         self.n_a, self.n_b = len(self.bytes_a), n_b
         # each id in decimal, as it stands inside its part of a group and at the part's end
         self.text = pa.array([f"{i}{sep}" for n, seps in ((self.n_a, ",|"), (self.n_b, ",;")) for sep in seps for i in range(n)],
                              pa.large_string())
-        self.young: dict[str, tuple[bytes, bytes, bool]] = {}
-        self.old: dict[str, tuple[bytes, bytes, bool]] = {}
-        self.held = 0
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def fresh(self, units: list[str]) -> list[bytes]:
+        """Of each unit: whether both sides spell it, how many ids of a, these, the ids of b (32-bit)."""
+        of_a = [encode(self.path_a, " " + u, special=False).tolist() if len(u) >= LONG_RUN else self.a.encode_ordinary(" " + u)
+                for u in units]
+        of_b = self.b.encode(units, num_threads=1)
+        n_a, n_b = (np.fromiter(map(len, x), np.int64, len(x)) for x in (of_a, of_b))
+        flat_a, flat_b = (np.fromiter(chain.from_iterable(x), np.int32, int(n.sum())) for x, n in ((of_a, n_a), (of_b, n_b)))
+        bodies = [b" " + u.encode() for u in units]
+        size, whole, sound = np.fromiter(map(len, bodies), np.int64, len(bodies)), b"".join(bodies), np.ones(len(units), bool)
+        for flat, n, sizes, table in ((flat_a, n_a, self.size_a, self.spelt_a), (flat_b, n_b, self.size_b, self.spelt_b)):
+            ends = np.append(0, np.cumsum(pc.take(sizes, pa.array(flat)).to_numpy()))
+            cuts = ends[np.append(0, np.cumsum(n))]
+            joined = pc.take(table, pa.array(flat)).buffers()[2].to_pybytes()[:cuts[-1]] if len(flat) else b""
+            if joined != whole or (np.diff(cuts) != size).any():
+                sound &= np.array([joined[x:y] == body for x, y, body in zip(cuts, cuts[1:], bodies, strict=False)], bool)
+        start = np.cumsum(n_a + n_b + 2) - (n_a + n_b + 2)
+        out = np.empty(int((n_a + n_b + 2).sum()), np.int32)
+        out[start], out[start + 1] = sound, n_a
+        out[np.repeat(start + 2 - (np.cumsum(n_a) - n_a), n_a) + np.arange(len(flat_a))] = flat_a
+        out[np.repeat(start + 2 + n_a - (np.cumsum(n_b) - n_b), n_b) + np.arange(len(flat_b))] = flat_b
+        data, at = out.tobytes(), (4 * np.append(start, len(out))).tolist()
+        return [data[x:y] for x, y in zip(at, at[1:], strict=False)]
 
     def units(self, distinct: list[str]) -> tuple[pa.LargeListArray, pa.LargeListArray, np.ndarray]:
         """Both sides' ids of each unit, and whether they spell it."""
-        new = [u for u in distinct if u not in self.young and u not in self.old]
-        fresh = {}
-        for u, ids_b in zip(new, self.b.encode(new, num_threads=1), strict=True):
-            ids_a = encode(self.path_a, " " + u, special=False).tolist() if len(u) >= LONG_RUN else self.a.encode_ordinary(" " + u)
-            body = b" " + u.encode()
-            sound = b"".join(map(self.bytes_a.__getitem__, ids_a)) == body and b"".join(map(self.bytes_b.__getitem__, ids_b)) == body
-            fresh[u] = np.array(ids_a, "<i4").tobytes(), np.array(ids_b, "<i4").tobytes(), sound
-        found = [fresh.get(u) or self.young.get(u) or self.old[u] for u in distinct]
-        self.young.update(fresh)
-        self.held += sum(len(u) for u in fresh)
-        if self.held > KEPT:  # the younger half stays
-            self.young, self.old, self.held = {}, self.young, 0
-        out = []
-        for side in (0, 1):
-            size = np.array([len(f[side]) // 4 for f in found], np.int64)
-            ids = pa.array(np.frombuffer(b"".join(f[side] for f in found), "<i4"))
-            out.append(pa.LargeListArray.from_arrays(pa.array(np.append(0, np.cumsum(size))), ids))
-        return out[0], out[1], np.array([f[2] for f in found], bool)
+        found = [self.young.get(u) or self.old.get(u) for u in distinct]
+        new = [u for u, f in zip(distinct, found, strict=True) if f is None]
+        if new:
+            made = dict(zip(new, self.fresh(new), strict=True))
+            found = [made[u] if f is None else f for u, f in zip(distinct, found, strict=True)]
+        self.young.update((u, f) for u, f in zip(distinct, found, strict=True) if len(u) <= KEPT_LENGTH)
+        if len(self.young) > KEPT:
+            self.young, self.old = {}, self.young
+        size = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        flat, start = np.frombuffer(b"".join(found), np.int32), np.cumsum(size) - size
+        n_a = flat[start + 1].astype(np.int64)
+        place = np.arange(len(flat)) - np.repeat(start + 2, size)
+        is_a = (place >= 0) & (place < np.repeat(n_a, size))
+        is_b = place >= np.repeat(n_a, size)
+        lists = [pa.LargeListArray.from_arrays(pa.array(np.append(0, np.cumsum(n))), pa.array(flat[mine]))
+                 for n, mine in ((n_a, is_a), (size - 2 - n_a, is_b))]
+        return lists[0], lists[1], flat[start] > 0
 
     def spelled(self, text: str) -> bool:
         """Whether both sides' tokens of a whole text join to it."""
@@ -131,6 +156,7 @@ def align(pair: Pair, bodies: list[bytes]):
     order = np.argsort(met["key"].to_numpy(), kind="stable")
     key, i, j = (met[c].to_numpy()[order] for c in ("key", "i", "j"))
     links = met["a"].to_numpy()[order].astype(np.int64) * pair.n_b + met["b"].to_numpy()[order]
+    del left, right, met
 
     n_a, n_b = np.bincount(doc_a, minlength=n), np.bincount(doc_b, minlength=n)
     n_links = np.bincount(key >> ENDS, minlength=n)
