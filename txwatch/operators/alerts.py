@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 
 from txwatch import schemas as S
 from txwatch.functions import rules as R
+from txwatch.operators.selection import percentile_exact
 
 THRESHOLD_DP = 6
 
@@ -18,17 +19,15 @@ def alert_threshold(gold: DataFrame, percentile: float = S.ALERT_PERCENTILE,
     """One row ``threshold``: exact continuous percentile of ``rule_score``,
     rounded to ``digits`` for display (None: as it is, to compare with).
 
-    The score is discrete, so rows are first counted per distinct score
-    (map-side partial aggregate) and the percentile runs over the tiny
-    (score, frequency) table."""
-    freq = gold.groupBy("rule_score").agg(F.count(F.lit(1)).alias("_n"))
-    value = F.percentile("rule_score", F.lit(percentile), F.col("_n"))
-    return freq.agg((value if digits is None else F.round(value, digits)).alias("threshold"))
+    The value is found by histograms of shrinking spans (``selection``), so a
+    dense score costs no more than one with few values."""
+    value = F.lit(percentile_exact(gold, "rule_score", percentile)).cast("double")
+    return gold.sparkSession.range(1).select((value if digits is None else F.round(value, digits)).alias("threshold"))
 
 
 def threshold_value(gold: DataFrame, percentile: float = S.ALERT_PERCENTILE) -> Column:
-    """The unrounded threshold as a scalar-subquery column (no driver round trip)."""
-    return alert_threshold(gold, percentile, None).scalar()
+    """The unrounded threshold (one number, known when the plan is made)."""
+    return F.lit(percentile_exact(gold, "rule_score", percentile)).cast("double")
 
 
 def alert_id(run_ts: str) -> Column:

@@ -26,12 +26,12 @@ def _safe_div(a, b) -> Column:
     return F.coalesce(F.try_divide(_d(a), _d(b)), F.lit(0.0))
 
 
-def confusion(df: DataFrame, threshold, score: str = "score", label: str = "label") -> DataFrame:
-    """One row tn, fp, fn, tp at ``score >= threshold`` (a number or a column)."""
+def confusion(df: DataFrame, threshold, score: str = "score", label: str = "label", by: tuple[str, ...] = ()) -> DataFrame:
+    """One row tn, fp, fn, tp at ``score >= threshold`` (a number or a column), for each value of ``by``."""
     thr = threshold if isinstance(threshold, Column) else F.lit(threshold)
     pred = F.col(score) >= thr
     pos = F.col(label) == 1
-    return df.agg(
+    return df.groupBy(*by).agg(
         F.count_if(~pred & ~pos).alias("tn"), F.count_if(pred & ~pos).alias("fp"),
         F.count_if(~pred & pos).alias("fn"), F.count_if(pred & pos).alias("tp"))
 
@@ -45,9 +45,9 @@ def from_confusion(cm: DataFrame) -> DataFrame:
         _safe_div(2 * F.col("tp"), 2 * F.col("tp") + F.col("fp") + F.col("fn")).alias("f1"))
 
 
-def classification_report(cm: DataFrame) -> DataFrame:
+def classification_report(cm: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """Per class (0, 1) precision/recall/f1/support, accuracy, macro and
-    weighted averages, from one confusion row."""
+    weighted averages, from each confusion row."""
     tn, fp, fn, tp = (F.col(c) for c in ("tn", "fp", "fn", "tp"))
     p1, r1, f1 = (_safe_div(tp, tp + fp), _safe_div(tp, tp + fn),
                   _safe_div(2 * tp, 2 * tp + fp + fn))
@@ -71,7 +71,7 @@ def classification_report(cm: DataFrame) -> DataFrame:
                  (r0 * w0 + r1 * w1).alias("recall"), (f0 * w0 + f1 * w1).alias("f1"),
                  n.cast("bigint").alias("support")),
     )
-    return cm.select(F.inline(rows))
+    return cm.select(*by, F.inline(rows))
 
 
 def score_bounds(scores: DataFrame, score: str, buckets: int) -> list[float]:
@@ -147,22 +147,23 @@ def sweep_thresholds() -> list[tuple[int, str]]:
     return [(i, f"{i / 20:.2f}") for i in range(1, S.SWEEP_STEPS + 1)]
 
 
-def threshold_sweep(df: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
+def threshold_sweep(df: DataFrame, score: str = "score", label: str = "label", by: tuple[str, ...] = ()) -> DataFrame:
     """Counts and metrics at each sweep threshold from ONE aggregate (two
-    conditional counts per threshold), unpivoted to one row per threshold."""
+    conditional counts per threshold), unpivoted to one row per threshold (and
+    value of ``by``)."""
     pos = F.col(label) == 1
     aggs = [F.count(F.lit(1)).alias("n"), F.count_if(pos).alias("P")]
     for i, t in sweep_thresholds():
         pred = F.col(score) >= F.expr(t)
         aggs += [F.count_if(pred).alias(f"pp{i}"), F.count_if(pred & pos).alias(f"tp{i}")]
-    wide = df.agg(*aggs)
+    wide = df.groupBy(*by).agg(*aggs)
     rows = F.array(*[
         F.struct(F.lit(i / 20).alias("threshold"), F.col(f"pp{i}").alias("predicted_pos"),
                  F.col(f"tp{i}").alias("tp"))
         for i, _ in sweep_thresholds()])
-    long = wide.select("n", "P", F.inline(rows))
+    long = wide.select(*by, "n", "P", F.inline(rows))
     return long.select(
-        "threshold", "predicted_pos", "tp",
+        *by, "threshold", "predicted_pos", "tp",
         (F.col("predicted_pos") - F.col("tp")).alias("fp"),
         (F.col("P") - F.col("tp")).alias("fn"),
         _safe_div("tp", "predicted_pos").alias("precision"),
