@@ -67,3 +67,23 @@ def test_edge_rows(spark):
     assert len(rows) == len(ODD) + 2
     assert {r.n_tokens for r in rows if r.doc_id in (0, 1, 2)} == {0}
     assert B.encode_texts(df.limit(0), PATH).count() == 0
+
+
+def test_words_merged_side_by_side_equal_one_by_one():
+    b = B.bpe(PATH)
+    rng = random.Random(2)
+    words = ["".join(rng.choices("aeinrst'-é", k=rng.choice([1, 2, 3, 7, 12, 39, 40, 41, 90]))) for _ in range(400)]
+    words = ["".join(map(b.char_of.__getitem__, w.encode())) for w in words]
+    symbols = [b.symbols(w + b.end) for w in words]
+    flat, n = b.exact_many(np.array([i for s in symbols for i in s]), np.array([len(s) for s in symbols]))
+    assert [x.tolist() for x in np.split(flat, np.cumsum(n)[:-1])] == [b.exact(s) for s in symbols] == b.encode_words(words)
+
+
+def test_small_caches_change_nothing(monkeypatch, reference):
+    monkeypatch.setattr(B, "KEPT_CHUNKS", 20)
+    b = B.Bpe(PATH)
+    texts = [f"word{i % 37} again and again {i * 31}" for i in range(200)]
+    for at in range(0, 200, 10):
+        for t, g in zip(texts[at:at + 10], b.encode(texts[at:at + 10]), strict=True):
+            assert np.frombuffer(g, "<u4").tolist() == reference.encode(t, add_special_tokens=False).ids
+    assert len(b.young) + len(b.old) < 150
