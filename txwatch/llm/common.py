@@ -34,6 +34,14 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def free_prefix(columns: list[str]) -> str:
+    """Underscores that no column starts with, for columns of our own beside them."""
+    prefix = "__"
+    while any(c.startswith(prefix) for c in columns):
+        prefix += "_"
+    return prefix
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from txwatch.llm.common import ascii_lower
+from txwatch.llm.common import ascii_lower, free_prefix
 from txwatch.session import materialize
 
 #: Counters that a sketch holds; a digest above about 3.5 / COUNTERS of the rows is always found.
@@ -72,18 +72,20 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 counters: int = COUNTERS) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns.
+    """The rows of ``docs`` that stay, with all their columns, whatever their names.
 
-    Rows that repeat both id and text are one document: the first stays."""
+    A null text is an empty one. Rows that repeat both id and text are one
+    document: the first stays. A null id is smaller than any other. An empty
+    table gives no rows."""
+    own = free_prefix(docs.columns)
+    at, sha, body = own + "id", own + "sha", own + "digest"
     groups = exact_groups(docs, id_col, text_col, counters)
-    stay = groups.where("kept").select(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__sha"))
-    digest = normal_digest(F.col(text_col))
-    marked = docs.withColumn("__digest", digest)
-    out = marked.join(stay, (F.col(id_col).cast("long").eqNullSafe(F.col("__id"))) & (F.col("__digest") == F.col("__sha")),
-                      "left_semi")
+    stay = groups.where("kept").select(F.col("doc_id").alias(at), F.col("text_sha256").alias(sha))
+    marked = docs.withColumn(body, normal_digest(F.col(text_col)))
+    out = marked.join(stay, (F.col(id_col).cast("long").eqNullSafe(F.col(at))) & (F.col(body) == F.col(sha)), "left_semi")
     again = groups.groupBy("doc_id", "text_sha256").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    again = again.select(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__sha"))
-    same = (F.col(id_col).cast("long").eqNullSafe(F.col("__id"))) & (F.col("__digest") == F.col("__sha"))
+    again = again.select(F.col("doc_id").alias(at), F.col("text_sha256").alias(sha))
+    same = (F.col(id_col).cast("long").eqNullSafe(F.col(at))) & (F.col(body) == F.col(sha))
     once = out.join(again, same, "left_anti")
-    repeated = out.join(again, same, "left_semi").dropDuplicates([id_col, "__digest"])
-    return once.unionByName(repeated).drop("__digest")
+    repeated = out.join(again, same, "left_semi").dropDuplicates([id_col, body])
+    return once.unionByName(repeated).drop(body)

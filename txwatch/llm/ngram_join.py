@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txwatch.llm.common import n_parts
+from txwatch.llm.common import free_prefix, n_parts
 from txwatch.llm.components import components
 from txwatch.llm.hashing import U, mix, window_hashes, word_hashes
 from txwatch.session import materialize
@@ -240,18 +240,23 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of ``docs`` that lead their class, with their columns; of rows
-    that repeat both id and text at most one."""
+    """The rows of ``docs`` that lead their class, with their columns, whatever
+    their names; of rows that repeat both id and text at most one.
+
+    A null or empty text is in no pair, so its row stays. A null id gives way
+    to any other. An empty table gives no rows."""
+    own = free_prefix(docs.columns)
+    at, key, body, more = own + "id", own + "key", own + "text", own + "again"
     found = ngram_join(docs, id_col, text_col, **options)
     stay = found.where("leads").groupBy("doc_id", "text_key").agg(F.count(F.lit(1)).alias("n"))
     rows = found.groupBy("doc_id", "text_key").agg(F.count(F.lit(1)).alias("all"))
     stay = stay.join(rows.withColumnRenamed("doc_id", "d").withColumnRenamed("text_key", "k"),
                      F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_key") == F.col("k")))
-    stay = materialize(stay.select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"),
-                                   (F.col("n") < F.col("all")).alias("__again")), "leaders")
+    stay = materialize(stay.select(F.col("doc_id").alias(at), F.col("text_key").alias(key),
+                                   (F.col("n") < F.col("all")).alias(more)), "leaders")
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    out = docs.withColumn("__text", F.xxhash64(text)).join(
-        stay, F.col(id_col).cast("long").eqNullSafe(F.col("__id")) & (F.col("__text") == F.col("__key")))
-    once = out.where("not __again")
-    repeated = out.where("__again").dropDuplicates([id_col, "__text"])
+    out = docs.withColumn(body, F.xxhash64(text)).join(
+        stay, F.col(id_col).cast("long").eqNullSafe(F.col(at)) & (F.col(body) == F.col(key)))
+    once = out.where(~F.col(more))
+    repeated = out.where(F.col(more)).dropDuplicates([id_col, body])
     return once.unionByName(repeated).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -22,7 +22,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from txwatch.llm.common import let, words
+from txwatch.llm.common import free_prefix, let, words
 from txwatch.session import materialize
 
 SYMBOLS = "#*$%&|<>"
@@ -152,15 +152,20 @@ def quality_rules(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
 
 def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
               stratum_col: str = "lang", alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:
-    """The rows of ``docs`` that are kept, with their columns. The texts do not
-    move: cutoffs come from the labelled rows, the verdict is a filter."""
-    labelled = docs.join(labels.select(F.col("doc_id").alias("__id")).distinct(),
-                         F.col(id_col).cast("long") == F.col("__id"), "left_semi")
+    """The rows of ``docs`` that are kept, with their columns, whatever their names.
+    The texts do not move: cutoffs come from the labelled rows, the verdict is a filter.
+
+    A null text has no words, so its row goes. Null strata are one stratum.
+    Repeated rows are judged each. An empty table gives no rows; without labels
+    only the base rule rejects."""
+    own = free_prefix(docs.columns)
+    labelled = docs.join(labels.select(F.col("doc_id").alias(own + "id")).distinct(),
+                         F.col(id_col).cast("long") == F.col(own + "id"), "left_semi")
     m = labelled.select(F.col(id_col).cast("long").alias("doc_id"), F.col(stratum_col).cast("string").alias("stratum"),
                         measures(F.col(text_col)).alias("m")).select("doc_id", "stratum", "m.*")
     found = materialize(cutoffs(materialize(m, "quality-measures"), labels, alpha, delta), "quality-cutoffs")
-    found = found.select(*[F.col(c).alias(f"__{c}") for c in found.columns])
-    marked = docs.withColumn("__m", measures(F.col(text_col)))
-    joined = marked.join(found, F.col(stratum_col).cast("string").eqNullSafe(F.col("__stratum")), "left")
-    return (joined.where(_verdict(lambda c: F.col(f"__m.{c}"), "__cut_"))
+    found = found.select(*[F.col(c).alias(own + c) for c in found.columns])
+    marked = docs.withColumn(own + "m", measures(F.col(text_col)))
+    joined = marked.join(found, F.col(stratum_col).cast("string").eqNullSafe(F.col(own + "stratum")), "left")
+    return (joined.where(_verdict(lambda c: F.col(f"{own}m.{c}"), own + "cut_"))
             .select(*[F.col(f"`{c}`") for c in docs.columns]))

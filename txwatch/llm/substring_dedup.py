@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txwatch.llm.common import batched, n_parts, text_bytes
+from txwatch.llm.common import batched, free_prefix, n_parts, text_bytes
 from txwatch.llm.exchange import ASK, cut, joined, settle
 from txwatch.llm.hashing import U, window_hashes, word_hashes
 
@@ -240,13 +240,15 @@ def _digests(group: pa.Table) -> pa.Array:
 
 def drop_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``docs`` with repeated passages cut out of ``text_col``; every row and
-    column stays. A text that loses no word is left as it is."""
+    column stays, whatever the names. A text that loses no word is left as it is
+    (a null one too); repeated rows are cut alike. An empty table gives no rows."""
+    own = free_prefix(docs.columns)
+    at, sha, kept, digest = own + "id", own + "sha", own + "kept", own + "body"
     changed = (substring_dedup(docs, id_col, text_col, **options).where("n_removed > 0")
-               .select(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__sha"),
-                       F.col("kept_text").alias("__kept"))
-               .dropDuplicates(["__id", "__sha"]))
+               .select(F.col("doc_id").alias(at), F.col("text_sha256").alias(sha), F.col("kept_text").alias(kept))
+               .dropDuplicates([at, sha]))
     body = F.sha2(F.coalesce(F.col(text_col).cast("string"), F.lit("")), 256)
-    out = docs.withColumn("__body", body).join(
-        changed, F.col(id_col).cast("long").eqNullSafe(F.col("__id")) & (F.col("__body") == F.col("__sha")), "left")
-    return out.select(*[F.coalesce(F.col("__kept"), F.col(c)).alias(c) if c == text_col else F.col(f"`{c}`")
+    out = docs.withColumn(digest, body).join(
+        changed, F.col(id_col).cast("long").eqNullSafe(F.col(at)) & (F.col(digest) == F.col(sha)), "left")
+    return out.select(*[F.coalesce(F.col(kept), F.col(c)).alias(c) if c == text_col else F.col(f"`{c}`")
                         for c in docs.columns])
