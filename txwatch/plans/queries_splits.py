@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from txwatch import schemas as S
+from txwatch.operators import id_index as IX
 from txwatch.operators import metrics as M
 from txwatch.operators import ml as ML
 from txwatch.operators import selection as SEL
@@ -14,6 +15,7 @@ from txwatch.oracle import with_layers
 from txwatch.plans.catalog import register
 from txwatch.plans.pipeline import ledger
 from txwatch.plans.queries_more import _model
+from txwatch.session import scratch_path
 
 BY = ("split",)
 
@@ -125,3 +127,35 @@ def shap_importance(spark, sf):
     """Mean absolute Shapley value of each feature over all val and test rows."""
     ds = ML.ml_dataset(ledger(spark, sf).gold)
     return SH.shap_importance(_model(spark, sf), ds.where(F.col("split") != "train"))
+
+
+INC = ("transaction_id", "chunk_id", "copy_no")
+
+
+def _indexed(spark, sf):
+    """Chunk by chunk: the ids of chunks 0 to 2 are loads of the index, chunk 3 asks it."""
+    lg = ledger(spark, sf)
+    index = IX.IdIndex(spark, scratch_path(spark, "id-index"))
+    published = lg._dedup.where(F.col("dead_reason").isNull())
+    index.add(published.where(F.col("chunk_id") <= 1), "transaction_id")
+    index.add(published.where(F.col("chunk_id") == 2), "transaction_id")
+    return index.split(lg.standardized.where(F.col("chunk_id") >= 3), "transaction_id")
+
+
+def _first_chunk_sql(test: str) -> str:
+    cols = ", ".join(INC)
+    return with_layers(f"""
+SELECT {cols} FROM (SELECT {cols}, MIN(chunk_id) OVER (PARTITION BY transaction_id) AS first_chunk FROM std)
+WHERE chunk_id >= 3 AND first_chunk {test}""", "silver")
+
+
+@register("indexed_new_rows", _first_chunk_sql("> 2"))
+def indexed_new_rows(spark, sf):
+    """Rows of the last chunk whose ids the written index does not hold."""
+    return _indexed(spark, sf)[0].select(*INC)
+
+
+@register("indexed_seen_rows", _first_chunk_sql("<= 2"))
+def indexed_seen_rows(spark, sf):
+    """Rows of the last chunk whose ids the written index holds."""
+    return _indexed(spark, sf)[1].select(*INC)
