@@ -3,11 +3,14 @@
 Every rolling word k-gram of every text is joined to the grams of the license
 templates (a fixed table, broadcast). A hit of gram t of a template at word p
 votes for the diagonal p - t, the word where the template would start. Votes
-are combined on the map side into one bit set a diagonal; diagonals of one
-template that lie within ``GAP`` words of their neighbour (words were added or
-left out) are merged; a span is verified by the share of the template's words
-that its hits cover and by its length. A base phrase counts only where all its
-grams vote for one diagonal, that is where its words stand one after another.
+are combined on the map side into one bit set a diagonal. A diagonal with all
+its template's grams is verified by itself: there the words stand one after
+another. That is the only way for base phrases and for notices under
+``WHOLE_BELOW`` words, where one other word makes another license. Of longer
+notices, diagonals within ``GAP`` words of their neighbour (words were added or
+left out) are merged as far as a notice may stretch; a span is verified by the
+share of the template's words that its hits cover and by the gram that tells
+the notice from its like.
 """
 
 from __future__ import annotations
@@ -41,8 +44,17 @@ NOTICES = {
     "this is free and unencumbered software released into the public domain": "unlicense",
     "all rights reserved": "all-rights-reserved",
 }
-#: Grams of short and of long templates; words a template must have to be long.
-SHORT, LONG, LONG_FROM = 2, 4, 12
+#: Fixed: the words by which a longer notice differs from those of other licenses; they must be there.
+TELLING = {
+    "gpl-notice": "the gnu general public",
+    "mit-notice": "any person obtaining a",
+    "bsd": "redistribution and use in",
+    "isc": "this software for any",
+    "mpl": "the mozilla public license",
+    "cc-by-4": "commons attribution 4 0",
+}
+#: Grams of short and of long templates; words a template must have to be long, and to be found in part.
+SHORT, LONG, LONG_FROM, WHOLE_BELOW = 2, 4, 12, 13
 GAP, MIN_COVERED, MAX_STRETCH = 3, 0.75, 1.5
 WORD_GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -58,8 +70,8 @@ def license_words(text: Column) -> Column:
 
 
 def templates(spark: SparkSession) -> DataFrame:
-    """``template, label, base, size, k, whole, t, bit, hash``: one row a gram
-    (``bit``: 1 shifted by t, ``whole``: the bits of all its grams)."""
+    """``template, label, base, size, k, whole, must, t, bit, hash``: one row a gram
+    (``bit``: 1 shifted by t, ``whole``: the bits of all its grams, ``must``: of the telling one)."""
     rows = []
     for base, texts in ((True, PHRASES), (False, NOTICES)):
         for text, label in texts.items():
@@ -68,13 +80,19 @@ def templates(spark: SparkSession) -> DataFrame:
             if len(w) > 60:
                 raise ValueError("a template has at most 60 words")
             n = len(w) - k + 1
-            rows += [(text, label, base, len(w), k, (1 << n) - 1, t, 1 << t, w[t:t + k]) for t in range(n)]
-    df = spark.createDataFrame(rows, "template string, label string, base boolean, size int, k int, whole long, t int, "
+            rows += [(text, label, base, len(w), k, (1 << n) - 1, 1 << telling(text, label), t, 1 << t, w[t:t + k]) for t in range(n)]
+    df = spark.createDataFrame(rows, "template string, label string, base boolean, size int, k int, whole long, must long, t int, "
                                      "bit long, words array<string>")
     hashed = F.when(F.col("k") == SHORT, _hash(F.col("words"), F.lit(0), SHORT)).otherwise(_hash(F.col("words"), F.lit(0), LONG))
     return df.withColumn("hash", hashed).drop("words")
 
 
+def telling(text: str, label: str) -> int:
+    """The number of the gram that must be hit (of notices that are found whole: the first)."""
+    w, tells = text.split(), TELLING.get(label, "").split()
+    return next(t for t in range(len(w)) if w[t:t + len(tells)] == tells)
+
+
 def _hash(words: Column, at: Column, k: int) -> Column:
     return F.xxhash64(F.lit(k), *[F.get(words, at + j) for j in range(k)])
 
@@ -97,28 +115,33 @@ def spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     hits = (rolled.select("doc_id", "text_key", "g.pos", "g.hash")
             .join(F.broadcast(templates(docs.sparkSession)), "hash"))
 
-    place = ["doc_id", "text_key", "template", "label", "base", "size", "k", "whole"]
+    place = ["doc_id", "text_key", "template", "label", "base", "size", "k", "whole", "must"]
     diagonal = materialize(hits.groupBy(*place, (F.col("pos") - F.col("t")).alias("diag"))
                 .agg(F.bit_or("bit").alias("hits"),
                      F.min("pos").alias("first"), F.max(F.col("pos") + F.col("k") - 1).alias("last")), "diagonals")
-    phrases = diagonal.where(F.col("base") & (F.col("hits") == F.col("whole"))).select(
+    alone = diagonal.where(F.col("hits") == F.col("whole")).select(
         "doc_id", "text_key", "label", "base", "first", "last", F.lit(1.0).alias("covered"))
 
     # neighbouring diagonals of one template in one text
     order = Window.partitionBy("doc_id", "text_key", "template").orderBy("diag")
-    notices = diagonal.where(~F.col("base"))
+    notices = diagonal.where(~F.col("base") & (F.col("size") >= WHOLE_BELOW) & (F.col("hits") != F.col("whole")))
     jump = F.coalesce(F.col("diag") - F.lag("diag").over(order) > GAP, F.lit(False)).cast("int")
-    merged = (notices.withColumn("jump", jump).withColumn("run", F.sum("jump").over(order))
-              .groupBy(*place, "run").agg(F.bit_or("hits").alias("hits"), F.min("first").alias("first"),
-                                          F.max("last").alias("last")))
+    run = notices.withColumn("jump", jump).withColumn("run", F.sum("jump").over(order))
+    start = F.min("diag").over(Window.partitionBy("doc_id", "text_key", "template", "run"))
+    # a long run in stretches of what a notice may grow by, cut in two ways so that no notice falls between two of them
+    parts = (run.withColumn("start", start).withColumn("cut", F.explode(F.array(F.lit(0), F.lit(1))))
+             .withColumn("stretch", F.expr(f"(diag - start + cut * (floor(size * {MAX_STRETCH - 1}) div 2)) div floor(size * {MAX_STRETCH - 1})")))
+    merged = (parts.groupBy(*place, "run", "cut", "stretch")
+              .agg(F.bit_or("hits").alias("hits"), F.min("first").alias("first"), F.max("last").alias("last")))
     bits = F.col("hits")
     for j in range(1, LONG):  # a gram covers its k words
         more = F.shiftleft(F.col("hits"), j)
         bits = bits.bitwiseOR(more if j < SHORT else F.when(F.col("k") > j, more).otherwise(F.lit(0).cast("long")))
     covered = F.bit_count(bits) / F.col("size")
     verified = merged.withColumn("covered", covered).where(
-        (F.col("covered") >= MIN_COVERED) & (F.col("last") - F.col("first") + 1 <= MAX_STRETCH * F.col("size")))
-    return phrases.unionByName(verified.select(*phrases.columns))
+        (F.col("covered") >= MIN_COVERED) & (F.col("hits").bitwiseAND(F.col("must")) != 0)
+        & (F.col("last") - F.col("first") + 1 <= MAX_STRETCH * F.col("size")))
+    return alone.unionByName(verified.select(*alone.columns).distinct())
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

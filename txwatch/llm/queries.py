@@ -131,35 +131,43 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _license_sql() -> str:
     q = license_scan
-    rows = []
+    phrases, grams = [], []  # found word for word; found in part
     for base, texts in (("true", q.PHRASES), ("false", q.NOTICES)):
         for text, label in texts.items():
             w = text.split()
-            k = q.gram(len(w))
-            rows += [f"('{text}', '{label}', {base}, {len(w)}, {k}, {t}, '{' '.join(w[t:t + k])}')" for t in range(len(w) - k + 1)]
+            phrases.append(f"('{text}', '{label}', {base}, {len(w)})")
+            if base == "false" and len(w) >= q.WHOLE_BELOW:
+                grams += [f"('{text}', '{label}', {len(w)}, {t}, {q.telling(text, label)}, '{' '.join(w[t:t + q.LONG])}')" for t in range(len(w) - q.LONG + 1)]
+    sizes = sorted({len(t.split()) for t in (*q.PHRASES, *q.NOTICES)})
+    grow = f"CAST(floor(size * {q.MAX_STRETCH - 1}) AS BIGINT)"
     return f"""
-WITH templates(template, label, base, size, k, t, gram) AS (VALUES {', '.join(rows)}),
+WITH phrases(template, label, base, size) AS (VALUES {', '.join(phrases)}),
+grams(template, label, size, t, must, gram) AS (VALUES {', '.join(grams)}),
 w AS (SELECT doc_id, list_filter(regexp_split_to_array(
         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
         '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '') AS ws FROM documents),
-grams AS (
-  SELECT doc_id, i - 1 AS pos, array_to_string(ws[i:i + k - 1], ' ') AS gram
-  FROM (SELECT doc_id, ws, k, unnest(range(1, len(ws) - k + 2)) AS i FROM w, (VALUES ({q.SHORT}), ({q.LONG})) AS ks(k))),
-hits AS (SELECT DISTINCT doc_id, template, label, base, size, k, t, pos, pos - t AS diag FROM grams JOIN templates USING (gram)),
-places AS (SELECT doc_id, label, true AS base, min(pos) AS start, 1.0 AS covered FROM hits WHERE base
-           GROUP BY doc_id, template, label, size, k, diag HAVING count(*) = size - k + 1),
-jumps AS (SELECT *, diag - lag(diag) OVER (PARTITION BY doc_id, template ORDER BY diag) > {q.GAP} AS jump
-          FROM (SELECT DISTINCT doc_id, template, diag FROM hits WHERE NOT base)),
-runs AS (SELECT doc_id, template, diag,
-         sum(CASE WHEN jump THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id, template ORDER BY diag) AS run FROM jumps),
-covers AS (SELECT doc_id, template, label, size, run, min(pos) AS first, max(pos + k - 1) AS last,
-           count(DISTINCT word) AS n
-           FROM (SELECT *, unnest(range(t, t + k)) AS word FROM hits WHERE NOT base) JOIN runs USING (doc_id, template, diag)
-           GROUP BY doc_id, template, label, size, run),
+firsts AS (SELECT DISTINCT split_part(template, ' ', 1) AS word FROM phrases),
+windows AS (
+  SELECT doc_id, i - 1 AS pos, n, array_to_string(ws[i:i + n - 1], ' ') AS phrase
+  FROM (SELECT doc_id, ws, i, unnest({sizes}) AS n FROM (SELECT doc_id, ws, unnest(range(1, len(ws) + 1)) AS i FROM w)
+        SEMI JOIN firsts ON ws[i] = word) WHERE i + n - 1 <= len(ws)),
+alone AS (SELECT doc_id, template, label, base, pos AS start FROM windows JOIN phrases ON phrase = template AND n = size),
+rolled AS (SELECT doc_id, i - 1 AS pos, array_to_string(ws[i:i + {q.LONG - 1}], ' ') AS gram
+           FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - {q.LONG - 2})) AS i FROM w)),
+hits AS (SELECT DISTINCT doc_id, template, label, size, t, must, pos, pos - t AS diag FROM rolled JOIN grams USING (gram)),
+diags AS (SELECT doc_id, template, size, diag FROM hits GROUP BY ALL HAVING count(*) < size - {q.LONG - 1}),
+jumps AS (SELECT *, diag - lag(diag) OVER (PARTITION BY doc_id, template ORDER BY diag) > {q.GAP} AS jump FROM diags),
+runs AS (SELECT *, sum(CASE WHEN jump THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id, template ORDER BY diag) AS run FROM jumps),
+parts AS (SELECT doc_id, template, diag, run, cut, (diag - min(diag) OVER (PARTITION BY doc_id, template, run) + cut * ({grow} // 2)) // {grow} AS stretch
+          FROM runs, (VALUES (0), (1)) AS cuts(cut)),
+covers AS (SELECT doc_id, template, label, size, run, cut, stretch, min(pos) AS first, max(pos + {q.LONG - 1}) AS last,
+           bool_or(t = must) AS told, count(DISTINCT word) AS n
+           FROM (SELECT *, unnest(range(t, t + {q.LONG})) AS word FROM hits) JOIN parts USING (doc_id, template, diag)
+           GROUP BY doc_id, template, label, size, run, cut, stretch),
 found AS (
-  SELECT doc_id, label, base, start, covered FROM places UNION ALL
+  SELECT doc_id, label, base, CASE WHEN base THEN start END AS start, 1.0 AS covered FROM alone UNION ALL
   SELECT doc_id, label, false, NULL, n / size FROM covers
-  WHERE n / size >= {q.MIN_COVERED} AND last - first + 1 <= {q.MAX_STRETCH} * size)
+  WHERE told AND n / size >= {q.MIN_COVERED} AND last - first + 1 <= {q.MAX_STRETCH} * size)
 SELECT w.doc_id, CAST(any_value(len(ws)) AS BIGINT) AS n_words, count(start) AS n_base,
        CAST(min(start) AS BIGINT) AS first_word, CAST(max(start) AS BIGINT) AS last_word,
        coalesce(string_agg(DISTINCT label, ',' ORDER BY label) FILTER (WHERE base), '') AS base_labels,
