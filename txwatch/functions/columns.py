@@ -39,12 +39,17 @@ def transaction_id(source, ts_text, sender, receiver, amount, payment_format=Non
     return F.md5(F.concat_ws("_", *parts))
 
 
+#: The forms of a time that raw files may have.
+TIME_TEXT = r"^\d{4}[-/]\d{2}[-/]\d{2}[ T]\d{2}:\d{2}(:\d{2}(\.\d{1,6})?)?$"
+
+
 def parse_timestamp(c) -> Column:
     """Timestamp text (``yyyy-MM-dd HH:mm[:ss]`` or with ``/``) ->
-    timestamp_ntz, independent of the session time zone; text that does not
-    parse gives null (ANSI-safe)."""
-    text = F.regexp_replace(col(c).cast("string"), "/", "-")
-    return text.try_cast(T.TimestampNTZType())
+    timestamp_ntz, independent of the session time zone; other text, shorter
+    forms of a time included, gives null (ANSI-safe)."""
+    text = col(c).cast("string")
+    parsed = F.regexp_replace(text, "/", "-").try_cast(T.TimestampNTZType())
+    return F.when(text.rlike(TIME_TEXT), parsed)
 
 
 def tx_hour(ts) -> Column:

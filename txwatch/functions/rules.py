@@ -56,7 +56,9 @@ def rule_score() -> Column:
 
 
 def amount_vs_sender_avg(amount="amount", sender_avg="sender_avg_amount") -> Column:
-    return F.least(col(amount) / F.greatest(col(sender_avg), F.lit(0.01)), F.lit(1000.0))
+    """At most 1000; null without an amount or an average."""
+    known = col(amount).isNotNull() & col(sender_avg).isNotNull()
+    return F.when(known, F.least(col(amount) / F.greatest(col(sender_avg), F.lit(0.01)), F.lit(1000.0)))
 
 
 def typology() -> Column:

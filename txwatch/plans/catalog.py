@@ -30,4 +30,5 @@ def register(name: str, sql: str | None = None):
 
 def load_all() -> None:
     """Import the modules that register queries."""
-    from txwatch.plans import queries_core, queries_more, queries_reports, queries_splits, queries_streams  # noqa: F401
+    from txwatch.plans import (
+        queries_contract, queries_core, queries_more, queries_reports, queries_splits, queries_streams)  # noqa: F401
