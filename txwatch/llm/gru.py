@@ -16,6 +16,8 @@ from dataclasses import dataclass
 import numpy as np
 
 F32 = np.float32
+#: Logits up to this size need no shift before ``exp``.
+LARGE = 60
 Params = dict[str, np.ndarray]
 
 
@@ -89,60 +91,81 @@ def lanes(docs: list[np.ndarray], width: int, start: int) -> Lanes:
 
 
 def forward(p: Params, given: np.ndarray, fresh: np.ndarray, h: np.ndarray, keep: bool = False):
-    """The states of a window (steps, lanes, hidden) from the state before it."""
+    """The states of a window (steps, lanes, hidden) from the state before it, and with
+    ``keep`` each step's incoming state, gates and candidate."""
     steps, n = given.shape
     size = h.shape[1]
     x = p["inp"][given]
-    states, saved = np.empty((steps, n, size), F32), []
+    states = np.empty((steps, n, size), F32)
+    saved = (np.empty((steps, n, size), F32), np.empty((steps, n, 2 * size), F32), np.empty((steps, n, size), F32)) if keep else None
     carry = (~fresh)[:, :, None].astype(F32)
+    starts = fresh.any(1)
     for t in range(steps):
-        h = h * carry[t]
+        if starts[t]:
+            h = h * carry[t]
         gates = _sigmoid(x[t, :, :2 * size] + h @ p["rec"])
         z, r = gates[:, :size], gates[:, size:]
-        rh = r * h
-        c = np.tanh(x[t, :, 2 * size:] + rh @ p["cand"])
-        new = c + z * (h - c)
+        c = np.tanh(x[t, :, 2 * size:] + (r * h) @ p["cand"])
         if keep:
-            saved.append((h, z, r, rh, c))
-        states[t] = h = new
+            saved[0][t], saved[1][t], saved[2][t] = h, gates, c
+        states[t] = h = c + z * (h - c)
     return states, saved
 
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(1, keepdims=True)
-    return x - np.log(np.exp(x).sum(1, keepdims=True))
+def _exp_sum(x: np.ndarray, small: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray | float]:
+    """``exp(x - shift)``, its row sums, and ``shift``, which ``small`` values do not need."""
+    shift = F32(0) if small else x.max(1, keepdims=True)
+    e = np.exp(x) if small else np.exp(x - shift)
+    return e, e.sum(1, keepdims=True), shift
+
+
+def _small(weight: np.ndarray, bias: np.ndarray) -> bool:
+    """Whether no state (its parts lie between -1 and 1) gives a large logit."""
+    return bool((np.abs(weight).sum(-2) + np.abs(bias)).max(initial=0) < LARGE)
 
 
 def output(p: Params, states: np.ndarray, token: np.ndarray, grads: Params | None = None):
     """Natural-log probabilities of ``token`` given ``states`` (rows); with
     ``grads``, also the gradient of minus their sum, added up there."""
     each = p["word_b"].shape[1]
+    order = np.argsort(token, kind="stable")  # by class, then word
+    states, token = states[order], token[order]
     cls, within = np.divmod(token, each)
     rows = np.arange(len(token))
-    top = _log_softmax(states @ p["cls"] + p["cls_b"])
-    logp = top[rows, cls]
+    x = states @ p["cls"] + p["cls_b"]
+    e, total, shift = _exp_sum(x, _small(p["cls"], p["cls_b"]))
+    logp = (x[rows, cls][:, None] - shift - np.log(total))[:, 0]
     back = None
     if grads is not None:
-        d = np.exp(top)
-        d[rows, cls] -= 1
-        grads["cls"] += states.T @ d
-        grads["cls_b"] += d.sum(0)
-        back = d @ p["cls"].T
-    order = np.argsort(cls, kind="stable")
-    found, at = np.unique(cls[order], return_index=True)
-    for c, a, b in zip(found, at, np.append(at[1:], len(order)), strict=True):
-        part = order[a:b]
-        s = states[part]
-        low = _log_softmax(s @ p["word"][c] + p["word_b"][c])
-        mine = np.arange(len(part)), within[part]
-        logp[part] += low[mine]
-        if grads is not None:
-            d = np.exp(low)
-            d[mine] -= 1
-            grads["word"][c] += s.T @ d
-            grads["word_b"][c] += d.sum(0)
-            back[part] += d @ p["word"][c].T
-    return logp, back
+        e /= total
+        e[rows, cls] -= 1
+        grads["cls"] += states.T @ e
+        grads["cls_b"] += e.sum(0)
+        back = e @ p["cls"].T
+    at = np.searchsorted(cls, np.arange(len(p["word_b"]) + 1))
+    low = np.empty((len(token), each), F32)
+    for c in np.flatnonzero(np.diff(at)):
+        a, b = at[c], at[c + 1]
+        np.matmul(states[a:b], p["word"][c], out=low[a:b])
+        low[a:b] += p["word_b"][c]
+    e, total, shift = _exp_sum(low, _small(p["word"], p["word_b"]))
+    logp += (low[rows, within][:, None] - shift - np.log(total))[:, 0]
+    if grads is not None:
+        e /= total
+        e[rows, within] -= 1
+        for c in np.flatnonzero(np.diff(at)):
+            a, b = at[c], at[c + 1]
+            grads["word"][c] += states[a:b].T @ e[a:b]
+            grads["word_b"][c] += e[a:b].sum(0)
+            back[a:b] += e[a:b] @ p["word"][c].T
+        back = _unordered(back, order)
+    return _unordered(logp, order), back
+
+
+def _unordered(values: np.ndarray, order: np.ndarray) -> np.ndarray:
+    out = np.empty_like(values)
+    out[order] = values
+    return out
 
 
 def window_gradient(p: Params, given, token, fresh, live, h) -> tuple[float, Params, np.ndarray]:
@@ -153,18 +176,30 @@ def window_gradient(p: Params, given, token, fresh, live, h) -> tuple[float, Par
     d_states = np.zeros_like(states)
     d_states[live] = back
     size = h.shape[1]
+    before, gates, c = saved
+    z, r = gates[..., :size], gates[..., size:]
+    # what the chain needs of each step, for the whole window at once
+    by_c, by_z = (1 - z) * (1 - c * c), (before - c) * z * (1 - z)
+    by_r = before * r * (1 - r)
     d_in = np.empty((*given.shape, 3 * size), F32)
+    dg, dc = d_in[..., :2 * size], d_in[..., 2 * size:]
+    rec, cand = np.ascontiguousarray(p["rec"].T), np.ascontiguousarray(p["cand"].T)
+    carry, starts = (~fresh)[:, :, None].astype(F32), fresh.any(1)
     dh = np.zeros_like(h)
-    for t in range(len(saved) - 1, -1, -1):
-        h0, z, r, rh, c = saved[t]
-        dh = dh + d_states[t]
-        dc = dh * (1 - z) * (1 - c * c)
-        drh = dc @ p["cand"].T
-        dg = np.concatenate([dh * (h0 - c) * z * (1 - z), drh * h0 * r * (1 - r)], axis=1)
-        grads["cand"] += rh.T @ dc
-        grads["rec"] += h0.T @ dg
-        d_in[t, :, :2 * size], d_in[t, :, 2 * size:] = dg, dc
-        dh = (dh * z + drh * r + dg @ p["rec"].T) * (~fresh[t])[:, None]
+    for t in range(len(given) - 1, -1, -1):
+        dh += d_states[t]
+        np.multiply(dh, by_c[t], out=dc[t])
+        drh = dc[t] @ cand
+        np.multiply(dh, by_z[t], out=dg[t, :, :size])
+        np.multiply(drh, by_r[t], out=dg[t, :, size:])
+        dh *= z[t]
+        drh *= r[t]
+        dh += drh
+        dh += dg[t] @ rec
+        if starts[t]:
+            dh *= carry[t]
+    grads["cand"] += (r * before).reshape(-1, size).T @ dc.reshape(-1, size)
+    grads["rec"] += before.reshape(-1, size).T @ dg.reshape(-1, 2 * size)
     flat = given.ravel()
     order = np.argsort(flat, kind="stable")
     rows, at = np.unique(flat[order], return_index=True)
@@ -187,9 +222,16 @@ class Adam:
             p[k] -= rate * self.m[k] / (np.sqrt(self.v[k]) + F32(1e-8))
 
 
-def train(p: Params, docs: list[np.ndarray], start: int, adam: Adam, width: int = 256, window: int = 16) -> None:
-    """One pass over the documents, in place."""
-    w = lanes(docs, width, start)
+def segments(docs: list[np.ndarray], longest: int) -> list[np.ndarray]:
+    """The documents, long ones in pieces, so that lanes are of about one length."""
+    return [d[at:at + longest] for d in docs for at in range(0, len(d), longest)]
+
+
+def train(p: Params, docs: list[np.ndarray], start: int, adam: Adam, width: int = 512, window: int = 16, longest: int = 512) -> None:
+    """One pass over the documents, in place. Long documents train as pieces of
+    ``longest`` words, each from a zero state; as few lanes as they fill."""
+    pieces = segments(docs, longest)
+    w = lanes(pieces, max(16, min(width, sum(map(len, pieces)) // longest)), start)
     h = np.zeros((w.token.shape[1], p["cand"].shape[0]), F32)
     for a in range(0, len(w.token), window):
         n = w.active[a]
@@ -201,9 +243,10 @@ def train(p: Params, docs: list[np.ndarray], start: int, adam: Adam, width: int
 
 
 def score(p: Params, docs: list[np.ndarray], start: int, width: int = 512, window: int = 32) -> np.ndarray:
-    """The natural-log probability of each document, whole."""
+    """The natural-log probability of each document, whole; as few lanes (from 64 on) as the longest one leaves full."""
     out = np.zeros(len(docs))
-    w = lanes(docs, width, start)
+    most = max(map(len, docs), default=1)
+    w = lanes(docs, min(width, max(64, sum(map(len, docs)) // max(1, most))), start)
     h = np.zeros((w.token.shape[1], p["cand"].shape[0]), F32)
     for a in range(0, len(w.token), window):
         n = w.active[a]

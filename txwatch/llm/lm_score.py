@@ -1,20 +1,22 @@
 """Document scores of a gated recurrent language model and of a smoothed unigram base.
 
-1. Spark counts every token of all training documents; the counts table is
-   written once. The most frequent tokens are the model's vocabulary, the others
-   are one unknown word to the model and share its probability by their counts.
-2. Training is data-parallel: in each round every partition trains on its
+1. Documents are dealt in batches. Each batch writes its distinct tokens with
+   their counts in its training documents; Spark adds them up over all batches.
+   The most frequent tokens are the model's vocabulary, the others are one
+   unknown word to the model and share its probability by their counts.
+2. The training documents are written once as numbers, in parts by a hash.
+   Training is data-parallel: in each round every partition trains on its
    documents from the same parameters, and the parameters are averaged by
-   weight in two levels. A round takes its own part of the training documents
-   (by a hash) and the rounds deal all of them, so each is seen exactly once.
-3. Documents are dealt in batches; a batch joins its distinct rare tokens to the
-   counts and scores its texts whole.
+   weight in two levels. A round takes one part and the rounds deal all of them,
+   so each document is seen exactly once.
+3. Each batch joins its tokens to the counts and scores its texts whole.
 """
 
 from __future__ import annotations
 
 import math
 from collections import Counter
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -23,11 +25,11 @@ from pyspark.sql import functions as F
 
 from txwatch.llm import gru
 from txwatch.llm.common import UPPER, batched, n_parts, text_bytes
-from txwatch.session import materialize
+from txwatch.session import materialize, scratch_path
 
 #: Model size. SHARE of the training documents (all of them) moves the weights, in ROUNDS; all of them give the counts.
 VOCABULARY, HIDDEN, ROUNDS, SHARE, RATE = 1024, 16, 4, 1.0, 0.01
-BATCH_BYTES, COUNTED, BUFFER = 32 << 20, 400_000, 1 << 20
+BATCH_BYTES, BUFFER = 32 << 20, 1 << 20
 ALPHA = 0.1
 END = b""
 UNKNOWN, STOP = 0, 1
@@ -36,7 +38,15 @@ LOWER = bytes.maketrans(UPPER.encode(), UPPER.lower().encode())
 
 def tokens(body: bytes) -> list[bytes]:
     """Words of a text with A-Z lower-cased, then the end."""
-    return [*body.translate(LOWER).split(), END]
+    found = body.translate(LOWER).split()
+    found.append(END)
+    return found
+
+
+def numbers(index: dict[bytes, int], body: bytes) -> np.ndarray:
+    """Each token's number (``UNKNOWN`` if it has none)."""
+    found = tokens(body)
+    return np.fromiter(map(index.get, found, repeat(UNKNOWN)), np.int32, len(found))
 
 
 def held_out(doc_id):
@@ -44,35 +54,47 @@ def held_out(doc_id):
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 10 == 0
 
 
-def count_tokens(training: DataFrame) -> DataFrame:
-    """``token, c`` over the rows' ``body``; counted in each task before the shuffle."""
+def batch_tokens(rows: DataFrame) -> DataFrame:
+    """``batch, token, c``: the distinct tokens of each batch of ``rows`` and how
+    often they are in its training documents (0: only in held-out ones)."""
+
+    def run(key, group):
+        counts: Counter = Counter()
+        seen: set[bytes] = set()  # of held-out documents
+        for body, out in zip(group.column("body").to_pylist(), group.column("out").to_pylist(), strict=True):
+            (seen if out else counts).update(tokens(body))
+        rest = list(seen.difference(counts))
+        found = [*counts, *rest]
+        return pa.table([pa.array([key[0].as_py()] * len(found), pa.int32()), pa.array(found, pa.binary()),
+                         pa.array([*counts.values(), *[0] * len(rest)], pa.int64())], names=["batch", "token", "c"])
 
-    def table(counts: Counter) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(counts.keys(), pa.binary()), pa.array(counts.values(), pa.int64())],
-                                          names=["token", "c"])
+    return rows.withColumn("out", held_out(F.col("doc_id"))).groupBy("batch").applyInArrow(run, "batch int, token binary, c long")
+
+
+def numbered(training: DataFrame, vocabulary: list[bytes], parts: int) -> DataFrame:
+    """``part, ids`` of the training documents, written in parts: each word's number in
+    the vocabulary (16 bits; the vocabulary is smaller)."""
+    index = {t: i for i, t in enumerate(vocabulary)}
+    if len(index) > 1 << 15:
+        raise ValueError("the vocabulary is numbered in 16 bits")
 
     def run(batches):
-        counts: Counter = Counter()
         for b in batches:
-            for body in b.column("body").to_pylist():
-                counts.update(tokens(body))
-                if len(counts) > COUNTED:
-                    yield table(counts)
-                    counts = Counter()
-        if counts:
-            yield table(counts)
+            ids = [numbers(index, body).astype("<i2").tobytes() for body in b.column("body").to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column("part"), pa.array(ids, pa.binary())], names=["part", "ids"])
 
-    found = training.select("body").mapInArrow(run, "token binary, c long")
-    return found.groupBy("token").agg(F.sum("c").alias("c"))
+    path = scratch_path(training.sparkSession, "numbered")
+    dealt = F.pmod(F.xxhash64("doc_id", "body"), F.lit(parts)).cast("int")
+    training.select(dealt.alias("part"), "body").mapInArrow(run, "part int, ids binary").write.partitionBy("part").parquet(path)
+    return training.sparkSession.read.schema("ids binary, part int").parquet(path)
 
 
 def train_model(training: DataFrame, vocabulary: list[bytes], mass: np.ndarray, hidden: int, rounds: int, share: float,
                 rate: float) -> gru.Params:
     """Averaged parameters after all rounds; one model reaches the driver a round."""
-    index = {t: i for i, t in enumerate(vocabulary)}
     params = gru.init(mass, hidden)
     parts = max(1, round(rounds / share))
-    dealt = F.pmod(F.xxhash64("doc_id", "body"), F.lit(parts))
+    written = numbered(training, vocabulary, parts)
     for k in range(min(rounds, parts)):
         now = gru.dumps(params)
 
@@ -80,8 +102,8 @@ def train_model(training: DataFrame, vocabulary: list[bytes], mass: np.ndarray,
             p = gru.loads(now)
             adam, docs, held, seen = gru.Adam(p, rate), [], 0, 0
             for b in batches:
-                for body in b.column("body").to_pylist():
-                    docs.append(np.array([index.get(t, UNKNOWN) for t in tokens(body)], np.int32))
+                for ids in b.column("ids").to_pylist():
+                    docs.append(np.frombuffer(ids, "<i2").astype(np.int32))
                     held += len(docs[-1])
                     if held >= BUFFER:
                         gru.train(p, docs, STOP, adam)
@@ -103,7 +125,7 @@ def train_model(training: DataFrame, vocabulary: list[bytes], mass: np.ndarray,
             average = gru.dumps({x: (v / total).astype(np.float32) for x, v in summed.items()})
             return pa.table([pa.array([total], pa.int64()), pa.array([average], pa.binary())], names=["weight", "model"])
 
-        models = training.where(dealt == k).select("body").mapInArrow(run, "weight long, model binary")
+        models = written.where(F.col("part") == k).select("ids").mapInArrow(run, "weight long, model binary")
         models = materialize(models.withColumn("row", F.monotonically_increasing_id()), "models")
         groups = max(1, math.isqrt(models.count()))
         once = models.select(F.pmod(F.xxhash64("row"), F.lit(groups)).alias("g"), "weight", "model").groupBy("g").applyInArrow(mean, "weight long, model binary")
@@ -124,12 +146,14 @@ def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", voca
     only the unknown token. An empty table gives no rows; other columns are not read.
     """
     spark = docs.sparkSession
-    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    n_batches = n_parts(text_bytes(docs, text_col), batch_bytes, least)
+    # a batch for every core at least; larger ones share more of their tokens
+    n_batches = n_parts(text_bytes(docs, text_col), batch_bytes, spark.sparkContext.defaultParallelism)
     narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"),
                          F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary").alias("body"))
     training = narrow.where(~held_out(F.col("doc_id")))
-    counts = materialize(count_tokens(training), "token-counts")
+    rows = batched(docs, id_col, text_col, n_batches)
+    asked = materialize(batch_tokens(rows), "batch-tokens")
+    counts = materialize(asked.where(F.col("c") > 0).groupBy("token").agg(F.sum("c").alias("c")), "token-counts")
 
     whole = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
     top = counts.where(F.col("token") != F.lit(bytearray(END))).orderBy(F.desc("c"), "token").limit(vocabulary - 2).collect()
@@ -146,42 +170,43 @@ def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", voca
     index = {t: i for i, t in enumerate(words)}
     count_of = mass.copy()
 
-    rows = batched(docs, id_col, text_col, n_batches)
-
-    def ask(key, group):
-        rare: set[bytes] = set()
-        for body in group.column("body").to_pylist():
-            rare.update(tokens(body))
-        rare.difference_update(index)
-        return pa.table([pa.array([key[0].as_py()] * len(rare), pa.int32()), pa.array(list(rare), pa.binary())],
-                        names=["batch", "token"])
-
     def judge(group, answers):
         p = gru.loads(params)
-        number = dict(index)
-        rare = answers.column("token").to_pylist()
-        number.update(zip(rare, range(len(words), len(words) + len(rare)), strict=True))
-        c = np.concatenate([count_of, np.array(answers.column("c").to_pylist(), np.float64)])
+        number, rare = dict(index), []
+        for t, c in zip(answers.column("token").to_pylist(), answers.column("c").to_pylist(), strict=True):
+            if t not in index:
+                number[t] = len(words) + len(rare)
+                rare.append(c)
+        c = np.concatenate([count_of, np.array(rare, np.float64)])
         c[UNKNOWN] = 0  # below: a token that training has not seen
         base = np.log10((c + ALPHA) / all_mass)
         share_of = np.log10((c + ALPHA) / rare_mass)
         share_of[1:len(words)] = 0  # in the vocabulary: the model alone
-        n, known_, total, extra, docs_ = [], [], [], [], []
-        for body in group.column("body").to_pylist():
-            ids = np.array([number.get(t, UNKNOWN) for t in tokens(body)], np.int64)
-            n.append(len(ids))
-            known_.append(int((c[ids] > 0).sum()))
-            total.append(float(base[ids].sum()))
-            extra.append(float(share_of[ids].sum()))
-            docs_.append(np.where(ids < len(words), ids, UNKNOWN).astype(np.int32))
-        model = gru.score(p, docs_, STOP) / np.log(10) + np.array(extra)
-        return pa.table([group.column("doc_id"), pa.array(n, pa.int64()), pa.array(known_, pa.int64()),
-                         pa.array(total, pa.float64()), pa.array(model, pa.float64())],
+        bodies = group.column("body")
+        size = np.array([len(x) for x in bodies.to_pylist()], np.int64)
+        n, known_, total, model = (np.zeros(len(size), kind) for kind in (np.int64, np.int64, np.float64, np.float64))
+
+        def settle(at: list[int], docs_: list[np.ndarray]) -> None:
+            model[at] += gru.score(p, docs_, STOP) / np.log(10)
+
+        at, docs_, held = [], [], 0
+        for k in np.argsort(-size, kind="stable").tolist():  # texts of about one length run side by side
+            ids = numbers(number, bodies[k].as_py())
+            n[k], known_[k], total[k], model[k] = len(ids), (c[ids] > 0).sum(), base[ids].sum(), share_of[ids].sum()
+            ids[ids >= len(words)] = UNKNOWN
+            at.append(k)
+            docs_.append(ids)
+            held += len(ids)
+            if held >= BUFFER:
+                settle(at, docs_)
+                at, docs_, held = [], [], 0
+        if at:
+            settle(at, docs_)
+        return pa.table([group.column("doc_id"), *(pa.array(x) for x in (n, known_, total, model))],
                         names=["doc_id", "n_tokens", "n_known", "base_score", "score"])
 
-    asked = rows.groupBy("batch").applyInArrow(ask, "batch int, token binary")
-    answered = asked.join(counts, "token").select("batch", "token", "c")
-    judged = rows.groupBy("batch").cogroup(answered.groupBy("batch")).applyInArrow(
+    answered = asked.select("batch", "token").join(counts, "token").select(F.col("batch").alias("of"), "token", "c")
+    judged = rows.groupBy("batch").cogroup(answered.groupBy("of")).applyInArrow(
         judge, "doc_id long, n_tokens long, n_known long, base_score double, score double")
     return judged.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "n_tokens", "n_known",
                          F.lit(n_train).cast("long").alias("train_tokens"), "base_score", "score")
