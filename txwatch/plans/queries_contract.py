@@ -9,6 +9,7 @@ from txwatch.operators import analytics as AN
 from txwatch.operators import contract as K
 from txwatch.operators import ingest as I
 from txwatch.operators import quality as Q
+from txwatch.operators.clustered import ClusteredLayer
 from txwatch.oracle import CREATED_AT, RUN_TS, STATUS_NOW, with_layers
 from txwatch.plans import publish as P
 from txwatch.plans.catalog import register
@@ -127,3 +128,33 @@ def published_silver(spark, sf):
             raise
     layer.publish(silver, ("source", "year", "month"), gate=lambda df: Q.gate_silver(df, 1), expected=first)
     return layer.read().select(*S.SILVER_COLUMNS)
+
+
+def _pages(spark, sf) -> ClusteredLayer:
+    """Current alerts by falling score and id, in files of a thousand."""
+    alerts = ledger(spark, sf).alerts_current.select(
+        (-F.col("risk_score")).alias("rank"), "alert_id", "transaction_id", "risk_score", "typology", "status", "created_at")
+    layer = ClusteredLayer(spark, scratch_path(spark, "alert-pages"), ("rank", "alert_id"))
+    layer.write(alerts, rows_per_file=1000)
+    return layer
+
+
+ALERT_SQL = f"""alert_id, transaction_id, rule_score AS risk_score, hit_typology AS typology, {STATUS_NOW} AS status, {CREATED_AT} AS created_at"""
+
+
+@register("alert_page", with_layers(f"SELECT {ALERT_SQL} FROM hits ORDER BY rule_score DESC, alert_id LIMIT 100 OFFSET 200", "hits"))
+def alert_page(spark, sf):
+    """The third page of a hundred alerts, by the cursor of the page before."""
+    layer, after = _pages(spark, sf), None
+    for _ in range(2):
+        after = layer.cursor(layer.page(after, 100))
+    return layer.page(after, 100).drop("rank")
+
+
+@register("alert_lookup", with_layers(f"SELECT {ALERT_SQL} FROM hits ORDER BY alert_id DESC LIMIT 1", "hits"))
+def alert_lookup(spark, sf):
+    """One alert by its id (the key is taken from the data) from the one file that may hold it."""
+    alerts = ledger(spark, sf).alerts_current.drop("updated_at")
+    layer = ClusteredLayer(spark, scratch_path(spark, "alerts-by-id"), ("alert_id",))
+    layer.write(alerts, rows_per_file=1000)
+    return layer.lookup((alerts.agg(F.max("alert_id")).first()[0],))
