@@ -98,3 +98,34 @@ def test_text_around_the_largest_container_stays():
     assert H.extract(links, []) == body.strip()
     cards = f"<main><h1>T</h1><article><div class=x><p>{body}</p></div></article><article><p>{rest}</p></article></main>"
     assert H.extract(cards, []) == body.strip()
+
+
+def test_forms_and_whole_words_around_the_content_keep_it():
+    body = "<p>" + "main text here " * 9 + "</p>"
+    want = ("main text here " * 9).strip()
+    for wrap in ("<form id=aspnetForm>", '<div class="elementor-widget-container widget">', "<fieldset>", '<div class="comment form">'):
+        tag = wrap[1:-1].split()[0]
+        for inner in (f"<article>{body}</article>", f"<main>{body}</main>", f"<h1>T</h1><div>{body}</div>", body):
+            assert want in H.extract(f"<body><nav><a href=/>menu</a></nav>{wrap}{inner}</{tag}><footer><p>foot</p></footer></body>", []), (wrap, inner)
+    page = f"<body><article>{body}</article><div class=comments><article><p>{'a comment ' * 90}</p></article></div><form><p>mail me</p></form></body>"
+    assert H.extract(page, []) == want
+    assert H.extract(f"<body><article>{body}<div class='reader-responses'><p>I think so too</p></div></article></body>", []) == want
+    assert H.extract("<body><div class=comments><p>one</p></div><form><p>two</p></form></body>", []) == "one\n\ntwo"
+    assert H.extract("<body><nav><p>menu</p></nav></body>", []) == ""
+
+
+def test_a_lead_in_the_header_of_an_article_stays():
+    lead = "This is the lead of the article and it has quite a few words."
+    page = f"<article><header><h1>T</h1><p>by me</p><p>{lead}</p></header><p>{'text ' * 40}</p></article>"
+    assert H.extract(page, []).split("\n\n") == ["T", lead, ("text " * 40).strip()]
+
+
+def test_deep_pages_take_little_memory():
+    import tracemalloc
+    page = "<div class='a b/c'>" * 50_000 + "<p>deep text</p>"
+    tracemalloc.start()
+    assert H.extract(page, []) == "deep text"
+    assert tracemalloc.get_traced_memory()[1] < 300e6
+    tracemalloc.stop()
+    path = H.vote(page)
+    assert path.count("/") >= 50_000 - 1 and H.extract(page, [path]) == "deep text"

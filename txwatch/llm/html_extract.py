@@ -27,6 +27,8 @@ from pyspark.sql import functions as F
 from txwatch.session import materialize
 
 MIN_SHARE, HOT_SHARE = 0.1, 0.001
+#: Share of a page's text in an element that cannot be left out; words of a paragraph in an article's header that are a lead.
+NEARLY, LEAD = 0.95, 12
 
 RAW = {"script", "style", "textarea", "title", "iframe", "noembed", "noframes", "xmp"}
 #: Elements inside a line whose text goes; they end no block, and a parent's end tag closes them.
@@ -45,14 +47,16 @@ CLOSES = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "d
           "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
           "tbody": ({"tbody", "thead", "tfoot"}, {"table"}), "tfoot": ({"tbody", "thead", "tfoot"}, {"table"}),
           "body": ({"head"}, {"html"})}
-BAD_TAGS = {"nav", "footer", "aside", "form", "menu", "dialog", "head", "header", "search", "fieldset"}
+BAD_TAGS = {"nav", "footer", "aside", "menu", "dialog", "head", "header", "search"}
+#: These are bad as a whole class or id is: unless they are around the page's content.
+MOSTLY_BAD = {"form", "fieldset"}
 BAD_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alert", "alertdialog",
              "menu", "menubar", "toolbar"}
 BAD_WORDS = {"ad", "ads", "advert", "advertisement", "adverts", "banner", "breadcrumb", "breadcrumbs", "colophon",
              "comment", "comments", "commentlist", "consent", "cookie", "cookies", "disqus", "footer", "form", "gdpr",
              "header", "login", "masthead", "menu", "modal", "nav", "navbar", "navigation", "newsletter", "notice",
              "notices", "pager", "pagination", "popup", "promo", "promotion", "promoted", "recommended", "related",
-             "reply", "respond", "search", "share", "sharing", "sidebar", "signup", "social", "sponsor", "sponsored",
+             "replies", "reply", "respond", "responses", "search", "share", "sharing", "sidebar", "signup", "social", "sponsor", "sponsored",
              "subscribe", "subscription", "toolbar", "widget", "widgets"}
 #: These hold the article; they go only if a whole class or id is such a word.
 STURDY = {"html", "body", "main", "article"}
@@ -76,37 +80,44 @@ def _attributes(text: str) -> dict[str, str]:
 class Node:
     """An element of the page: its place in the tree and what was said of it."""
 
-    __slots__ = ("bad", "hint", "name", "parent", "path", "score")
+    __slots__ = ("bad", "firm", "hint", "label", "name", "parent", "path", "score")
 
-    def __init__(self, name: str, label: str, parent: Node | None, bad: bool, hint: bool):
-        self.name, self.parent, self.hint = name, parent, hint
-        self.path = f"{parent.path}/{label}" if parent else label
-        self.bad = bad or (parent is not None and parent.bad)
+    def __init__(self, name: str, label: str, parent: Node | None, bad: bool, hint: int, ids: dict[tuple[int, str], int]):
+        self.name, self.label, self.parent, self.hint = name, label, parent, hint
+        #: a number for the page's path of labels, so that a deep page holds no long texts
+        self.path = ids.setdefault((parent.path if parent else 0, label), len(ids) + 1)
+        self.bad = self.firm = bad or (parent is not None and parent.bad)
         self.score = 0.0
 
+    def path_text(self) -> str:
+        return "/".join(reversed([n.label for n in _up(self)]))
+
 
 def _is_bad(name: str, attrs: dict[str, str]) -> bool:
-    """By tag, role, style or a whole class or id."""
+    """By tag, role or style, whatever the element holds."""
     if name in BAD_TAGS or attrs.get("role", "").lower() in BAD_ROLES or "hidden" in attrs:
         return True
-    if re.search(r"display\s*:\s*none", attrs.get("style", ""), re.I):
+    if name in STURDY and any(n in BAD_WORDS for n in _names(attrs)):
         return True
-    return any(n in BAD_WORDS for n in _names(attrs))
+    return bool(re.search(r"display\s*:\s*none", attrs.get("style", ""), re.I))
 
 
 def _names(attrs: dict[str, str]) -> list[str]:
     return f"{attrs.get('class', '')} {attrs.get('id', '')}".lower().split()
 
 
-def _is_hint(name: str, attrs: dict[str, str]) -> bool:
-    """By a part of a class or id; ``settle`` decides."""
-    return name not in STURDY and any(w in BAD_WORDS for n in _names(attrs) for w in _patterns()[2].findall(n))
+def _is_hint(name: str, attrs: dict[str, str]) -> int:
+    """By a whole class or id or as a form (2), or by a part of a class or id (1); ``settle`` decides."""
+    if name in MOSTLY_BAD or (name not in STURDY and any(n in BAD_WORDS for n in _names(attrs))):
+        return 2
+    return int(name not in STURDY and any(w in BAD_WORDS for n in _names(attrs) for w in _patterns()[2].findall(n)))
 
 
 def settle(nodes: list[Node], found: list[tuple[Node, str, int]]) -> None:
     """Make elements with a hint bad, but not those around the page's content:
     a main or h1, articles if no article or main stands outside all hints, or,
-    on a page with neither, most of the text that is not link text."""
+    on a page with neither, most of the text that is not link text. A strong hint
+    is spared around a main or such an article, or if nearly all text is inside."""
     hinted = [n for n in nodes if n.hint and not n.bad]
     if not hinted:
         return
@@ -119,27 +130,32 @@ def settle(nodes: list[Node], found: list[tuple[Node, str, int]]) -> None:
     else:
         firm = marks
     spared: set[Node] = set()
-    for n in firm:
-        for above in _up(n):
-            if above in spared:
-                break
-            spared.add(above)
+    around: set[Node] = set()  # a main or an article that counts
+    for known, inside in ((spared, firm), (around, [n for n in firm if n.name != "h1"])):
+        for n in inside:
+            for above in _up(n):
+                if above in known:
+                    break
+                known.add(above)
+    weight = dict.fromkeys(nodes, 0)
+    for n, text, links in found:
+        if not n.bad:
+            weight[n] += len(text) - links
+    for n in reversed(nodes):
+        if n.parent:
+            weight[n.parent] += weight[n]
     if all(n.name == "h1" for n in marks):
-        weight = dict.fromkeys(nodes, 0)
-        for n, text, links in found:
-            if not n.bad:
-                weight[n] += len(text) - links
-        for n in reversed(nodes):
-            if n.parent:
-                weight[n.parent] += weight[n]
         spared |= {n for n in hinted if 2 * weight[n] > weight[nodes[0]]}
+    whole = {n for n in hinted if n.hint == 2 and n not in around and weight[n] < NEARLY * weight[nodes[0]]}
     for n in nodes:
-        n.bad = n.bad or (n.parent is not None and n.parent.bad) or (n.hint and n not in spared)
+        n.bad = n.bad or (n.parent is not None and n.parent.bad) or (n.hint > 0 and (n not in spared or n in whole) and
+                                                                      not (n.hint == 2 and n not in whole and weight[n]))
 
 
 def blocks(html: str) -> list[tuple[Node, str, int]]:
     """``(element, text, link characters)`` of each run of text between block boundaries."""
-    root = Node("html", "html", None, False, False)
+    ids: dict[tuple[int, str], int] = {}
+    root = Node("html", "html", None, False, 0, ids)
     stack, nodes, out = [root], [root], []
     run: list[str] = []
     skipped: list[tuple[str, int]] = []  # open INLINE_BAD elements and the stack's height at their start
@@ -215,8 +231,8 @@ def blocks(html: str) -> list[tuple[Node, str, int]]:
                     elif stack[k].name in stops:
                         break
             attrs = _attributes(m[4]) if m[4] else {}
-            label = ".".join([name, *sorted({re.sub(r"\d+", "#", c) for c in attrs.get("class", "").lower().split()})])
-            stack.append(Node(name, label, stack[-1], _is_bad(name, attrs), _is_hint(name, attrs)))
+            label = ".".join([name, *sorted({re.sub(r"\d+", "#", c) for c in attrs.get("class", "").lower().split()})]).replace("/", "|")
+            stack.append(Node(name, label, stack[-1], _is_bad(name, attrs), _is_hint(name, attrs), ids))
             nodes.append(stack[-1])
             in_link = 0
     add(html[at:])
@@ -226,14 +242,16 @@ def blocks(html: str) -> list[tuple[Node, str, int]]:
 
 
 def _kept(found: list[tuple[Node, str, int]]) -> list[tuple[Node, str, int]]:
-    """Without boilerplate; a heading inside an article's header stays."""
-    def good(node: Node) -> bool:
+    """Without boilerplate; a heading or lead inside an article's header stays. If
+    nothing else is left, what only classes or forms speak against stays."""
+    def good(node: Node, text: str) -> bool:
         if not node.bad:
             return True
         above = node.parent
-        return (node.name in HEADINGS and above is not None and above.name == "header" and above.parent is not None
-                and not above.parent.bad and any(n.name in ("article", "main") for n in _up(above)))
-    return [b for b in found if good(b[0])]
+        return ((node.name in HEADINGS or (node.name == "p" and len(text.split()) >= LEAD)) and above is not None
+                and above.name == "header" and above.parent is not None and not above.parent.bad
+                and any(n.name in ("article", "main") for n in _up(above)))
+    return [b for b in found if good(b[0], b[1])] or [b for b in found if not b[0].firm]
 
 
 def _up(node: Node | None):
@@ -303,13 +321,13 @@ def vote(html: str) -> str | None:
     """The generalised path of a page's best container with the text around it."""
     kept = _kept(blocks(html))
     node = best_container(kept)
-    return climb(node, kept).path if node else None
+    return climb(node, kept).path_text() if node else None
 
 
 def extract(html: str, paths: list[str]) -> str:
     """The text in the containers on the first of ``paths`` that the page has."""
     kept = _kept(blocks(html))
-    there: dict[str, set[Node]] = {}
+    there: dict[int, set[Node]] = {}
     seen: set[Node] = set()
     for node, _, _ in kept:
         for n in _up(node):
@@ -317,7 +335,17 @@ def extract(html: str, paths: list[str]) -> str:
                 break
             seen.add(n)
             there.setdefault(n.path, set()).add(n)
-    path = next((p for p in paths if p in there), None)
+    tree = {(n.parent.path if n.parent else 0, n.label): n.path for n in seen} if paths else {}
+
+    def number(path: str) -> int:
+        at = 0
+        for label in path.split("/"):
+            at = tree.get((at, label), -1)
+            if at < 0:
+                break
+        return at
+
+    path = next((n for n in map(number, paths) if n in there), None)
     best = best_container(kept) if path is None else None
     if path is None and best is None:
         return "\n\n".join(text for _, text, _ in kept)
