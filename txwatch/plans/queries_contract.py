@@ -5,17 +5,19 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from txwatch import schemas as S
+from txwatch.operators import alerts as A
 from txwatch.operators import analytics as AN
 from txwatch.operators import contract as K
 from txwatch.operators import ingest as I
 from txwatch.operators import quality as Q
 from txwatch.operators.clustered import ClusteredLayer
-from txwatch.oracle import CREATED_AT, RUN_TS, STATUS_NOW, with_layers
+from txwatch.oracle import CHANGED_NOW, CREATED_AT, RUN_TS, STATUS_NOW, with_layers
 from txwatch.plans import publish as P
 from txwatch.plans.catalog import register
 from txwatch.plans.pipeline import ledger
 from txwatch.plans.queries_more import UNIFIED_SQL, _cte, _unified
 from txwatch.plans.queries_reports import r4
+from txwatch.plans.status_log import StatusLog
 from txwatch.plans.versions import VersionedLayer
 from txwatch.session import materialize, scratch_path
 from txwatch.sources import testdata as TD
@@ -158,3 +160,19 @@ def alert_lookup(spark, sf):
     layer = ClusteredLayer(spark, scratch_path(spark, "alerts-by-id"), ("alert_id",))
     layer.write(alerts, rows_per_file=1000)
     return layer.lookup((alerts.agg(F.max("alert_id")).first()[0],))
+
+
+@register("status_log_current", with_layers(f"""
+SELECT alert_id, transaction_id, rule_score AS risk_score, hit_typology AS typology, {STATUS_NOW} AS status,
+       {CREATED_AT} AS created_at, {CHANGED_NOW} AS updated_at FROM hits""", "hits"))
+def status_log_current(spark, sf):
+    """Alerts with their status from a snapshot and a tail: the later changes come first,
+    one segment comes twice, and the log is compacted in between."""
+    lg, log = ledger(spark, sf), StatusLog(spark, scratch_path(spark, "status-log"))
+    changes = lg.status_changes
+    late = changes.where(F.col("status") == "CLOSED")
+    log.append(late)
+    log.append(changes.where(F.col("status") != "CLOSED"))
+    log.compact()
+    log.append(late)
+    return A.apply_status_changes(lg.alerts, log.latest())[0]
