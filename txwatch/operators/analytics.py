@@ -139,7 +139,7 @@ def batch_lookup(ids: DataFrame, scores: DataFrame, max_ids: int | None = None)
     if max_ids is not None:
         n = ids.count()
         if n > max_ids:
-            raise ValueError(f"Max {max_ids} transaction_ids per request (got {n})")
+            raise ValueError(f"{n} ids were asked for at once; {max_ids} are allowed")
     return (ids.join(scores, "transaction_id", "left")
             .select("ordinal", "transaction_id", "ml_probability", "final_risk_score",
                     C.risk_level("final_risk_score").alias("risk_level"))

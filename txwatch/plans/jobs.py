@@ -76,7 +76,7 @@ def _run(spark: SparkSession, raw: DataFrame, root: str, run_id: str, run_ts: st
     m_sd = P.observed_write(marked.where(F.col("dead_reason").isNotNull()), paths["silver_dead"])
     silver_pub = spark.read.parquet(paths["silver"]).select(*S.SILVER_COLUMNS)
     counts = silver_pub.agg(F.count(F.lit(1)).alias("n"), F.sum("is_laundering").alias("p")).first()
-    audit.append(P.audit_row(spark, "silver", run_id, "read_transform_load", "silver", "success",
+    audit.append(P.audit_row(spark, "silver", run_id, "build_silver", "silver", "success",
                              counts["n"], m_sd["rows"], t0, counts["p"]))
 
     # Gold: windows and rule score from the published silver, staged publish.
@@ -86,13 +86,13 @@ def _run(spark: SparkSession, raw: DataFrame, root: str, run_id: str, run_ts: st
                      gate=lambda d: Q.gate_gold(d, min_rows))
     gold_pub = spark.read.parquet(paths["gold"]).select(*S.GOLD_COLUMNS)
     n_gold = gold_pub.count()
-    audit.append(P.audit_row(spark, "gold", run_id, "feature_engineering", "gold", "success",
+    audit.append(P.audit_row(spark, "gold", run_id, "build_gold", "gold", "success",
                              n_gold, 0, t0))
 
     # Alerts: full refresh from the published gold.
     t0 = time.time()
     m_al = P.observed_write(A.generate_alerts(gold_pub, run_ts, percentile), paths["alerts"], None)
-    audit.append(P.audit_row(spark, "gold", run_id, "generate_alerts", "alerts", "success",
+    audit.append(P.audit_row(spark, "gold", run_id, "type_alerts", "alerts", "success",
                              m_al["rows"], 0, t0))
 
     _append(audit, paths["audit"])

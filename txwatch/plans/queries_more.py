@@ -254,13 +254,13 @@ AUDIT_STABLE = ("dag_id", "run_id", "task_id", "layer", "status", "rows_processe
 
 
 @register("audit_rows", with_layers(f"""
-SELECT 'silver' AS dag_id, '{RUN_TS}' AS run_id, 'read_transform_load' AS task_id, 'silver' AS layer,
+SELECT 'silver' AS dag_id, '{RUN_TS}' AS run_id, 'build_silver' AS task_id, 'silver' AS layer,
        'success' AS status, COUNT(*) AS rows_processed,
        (SELECT COUNT(*) FROM silver_dead) + (SELECT COUNT(*) FROM dead_letter) AS rows_dead_letter,
        CAST(SUM(is_laundering) AS DOUBLE) / CAST(COUNT(*) AS DOUBLE) * 100 AS laundering_rate,
        CAST(NULL AS VARCHAR) AS error_message FROM silver
 UNION ALL
-SELECT 'gold', '{RUN_TS}', 'feature_engineering', 'gold', 'success', COUNT(*), 0,
+SELECT 'gold', '{RUN_TS}', 'build_gold', 'gold', 'success', COUNT(*), 0,
        CAST(SUM(is_laundering) AS DOUBLE) / CAST(COUNT(*) AS DOUBLE) * 100, NULL FROM gold""", "gold"))
 def audit_rows(spark, sf):
     """Write silver and gold with counts observed in the same pass; one audit
@@ -271,11 +271,11 @@ def audit_rows(spark, sf):
     t0 = time.time()
     m = P.observed_write(lg.silver, f"{root}/silver")
     dead = lg.silver_dead.count() + lg.dead_letter.count()
-    rows.append(P.audit_row(spark, "silver", RUN_TS, "read_transform_load", "silver", "success",
+    rows.append(P.audit_row(spark, "silver", RUN_TS, "build_silver", "silver", "success",
                             m["rows"], dead, t0, m.get("positives")))
     t1 = time.time()
     m = P.observed_write(lg.gold, f"{root}/gold")
-    rows.append(P.audit_row(spark, "gold", RUN_TS, "feature_engineering", "gold", "success",
+    rows.append(P.audit_row(spark, "gold", RUN_TS, "build_gold", "gold", "success",
                             m["rows"], 0, t1, m.get("positives")))
     out = rows[0].unionByName(rows[1])
     P.append_audit(out, f"{root}/audit")
