@@ -80,3 +80,16 @@ def test_late_events_are_left_out(spark, tmp_path):
     assert 100 not in got and got[0] == (1, 1.0) and got[6] == (7, 7.0) and got[29] == (7, 7.0)
     assert got[101] == (7, 8.0) and 102 not in got and 103 not in got  # 101 sees 24 to 29, the last two are not passed yet
     assert len(got) == 31
+
+
+def test_keys_are_few_however_many_senders(spark, tmp_path):
+    """A key is a block of a part: state calls do not grow with the senders, and each sender has its own answers."""
+    rows = [(i, None if i % 50 == 0 else i % 300, START + dt.timedelta(seconds=20 * i), float(i)) for i in range(900)]
+    df = spark.createDataFrame(pd.DataFrame([(str(i), None if u is None else str(u), int((t - dt.datetime(1970, 1, 1)) / dt.timedelta(microseconds=1)), 1, t)
+                                             for i, u, t, _ in rows], columns=["transaction_id", "sender", "t", "micros", "event_time"]))
+    hours = len({t.replace(minute=0, second=0) for _, _, t, _ in rows})
+    assert B.routed(df, 3600 * B.US, 3600 * B.US).select("part", "block").distinct().count() <= B.PARTS * (hours + 1)
+    files(tmp_path, [rows])
+    got = answers(spark, B.stream_trailing_blocks(spark, str(tmp_path), delay_seconds=0, block_seconds=1800, parts=2))
+    want = plain(rows, dt.timedelta(hours=1))
+    assert got == want
