@@ -80,3 +80,15 @@ def test_ratio_needs_an_amount_and_an_average(spark):
     df = spark.createDataFrame([(1, 10.0, 5.0), (2, 10.0, None), (3, None, 5.0), (4, 10.0, 0.0)], "i int, amount double, sender_avg_amount double")
     assert {r.i: r.v for r in df.select("i", R.amount_vs_sender_avg().alias("v")).collect()} == {1: 2.0, 2: None, 3: None, 4: 1000.0}
     assert df.agg(F.count("amount")).first()[0] == 3
+
+
+def test_a_folder_of_files_lacks_a_column_if_one_file_does(spark, tmp_path):
+    from txwatch import schemas as S
+    from txwatch.operators import quality as Q
+    rows = spark.range(8).select(*[F.lit("x").alias(c) for c in S.BRONZE_REQUIRED]).repartition(3)
+    rows.write.parquet(str(tmp_path / "chunk=0"))
+    rows.write.parquet(str(tmp_path / "chunk=1"))
+    rows.drop("To Bank").limit(1).write.mode("append").parquet(str(tmp_path / "chunk=1"))
+    got = {r.rule: r.violations for r in Q.gate_bronze_files(spark, str(tmp_path), min_files=3, by_folder=True).collect()}
+    assert got["min_files"] == 1 and got["files_without_to_bank"] == 1 and got["files_without_timestamp"] == 0
+    assert {r.rule: r.violations for r in Q.gate_bronze_files(spark, str(tmp_path), min_files=3).collect()}["min_files"] == 0

@@ -67,3 +67,23 @@ def test_sample_rows_layout_independent(spark):
     b = {r.k for r in I.sample_rows(df.repartition(7), 0.15, key="k").collect()}
     assert a == b and 2500 < len(a) < 3500
     assert I.sample_rows(df, 1.0).count() == 20000
+
+
+@pytest.mark.parametrize("places", [1, 1 << 28])
+def test_rows_that_are_written_once_get_the_same_marks(spark, places):
+    """Only ids that may come again are compared; a taken place costs work, never a row."""
+    rows = ROWS + [(f"u{i}", i % 3, i) for i in range(200)] + [(None, 0, 1), (None, None, 2), ("n", None, 1), ("a", None, 9)]
+    df = spark.createDataFrame(rows, "transaction_id string, chunk_id int, ord int")
+    kept = []
+
+    def keep(part):
+        kept.append(part.localCheckpoint())
+        return kept[-1]
+
+    got = ST.mark_duplicates_kept(df, keep, order_cols=["ord"], places=places)
+    want = ST.mark_duplicates(df, order_cols=["ord"])
+    assert got.columns == want.columns
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    assert kept[0].count() == len(rows)
+    if places > 1:
+        assert kept[1].count() < 20

@@ -79,3 +79,25 @@ def test_filters_never_miss_and_seldom_err():
     assert X.may_hold(data, h[2], h[3]).mean() < 0.02
     assert 8 * len(data) <= X.BITS * 20_000 + 64
     assert X.may_hold(X.bloom(h[0, :1], h[1, :1]), h[0, :1], h[1, :1]).all()
+
+
+def test_places_are_made_in_slices(monkeypatch):
+    import numpy as np
+    rng = np.random.default_rng(3)
+    h1, h2 = (rng.integers(-2**63, 2**63 - 1, 1000) for _ in range(2))
+    whole = X.bloom(h1, h2)
+    sizes, places = [], X._places
+    monkeypatch.setattr(X, "AT_ONCE", 64)
+    monkeypatch.setattr(X, "_places", lambda a, b, n: sizes.append(len(a)) or places(a, b, n))
+    assert X.bloom(h1, h2) == whole and X.may_hold(whole, h1, h2).all()
+    assert max(sizes) == 64 and sum(sizes) == 2000
+
+
+def test_a_load_larger_than_the_segment_asks_in_parts(spark, tmp_path):
+    index = X.IdIndex(spark, str(tmp_path / "ix"))
+    index.add(spark.createDataFrame([(f"i{k}",) for k in range(20)], "transaction_id string"), "transaction_id")
+    asked = spark.createDataFrame([(f"i{k}",) for k in range(300)], "transaction_id string")
+    (segment, buckets), = index.segments()
+    found = {r.id for r in index.candidates(asked, "transaction_id", segment, buckets, per_bucket=50).collect()}
+    assert {f"i{k}" for k in range(20)} <= found and len(found) < 60
+    assert found == {r.id for r in index.candidates(asked, "transaction_id", segment, buckets).collect()}

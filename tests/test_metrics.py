@@ -80,3 +80,12 @@ def test_class_balance_no_positives(spark):
     df = spark.createDataFrame(rows, "timestamp timestamp_ntz, is_laundering long")
     ds = df.withColumn("split", ML.split_label())
     assert ML.class_balance(ds).first().scale_pos_weight == 1000.0
+
+
+def test_both_areas_group_the_rows_once(spark, monkeypatch):
+    pairs = [(i % 37 / 37, int(i % 5 == 0)) for i in range(400)]
+    written, keep = [], M.materialize
+    monkeypatch.setattr(M, "materialize", lambda df, *a, **k: written.append(keep(df, *a, **k)) or written[-1])
+    row = M.areas(frame(spark, pairs)).first()
+    assert abs(row.auc_roc - brute_auc(pairs)) < 1e-12 and abs(row.auc_pr - brute_ap(pairs)) < 1e-9
+    assert len(written) == 1 and written[0].count() == 37

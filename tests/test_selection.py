@@ -78,3 +78,16 @@ def test_no_task_gathers_the_scores(spark):
     assert "percentile" not in plan.lower()
     assert A.alert_threshold(gold, 0.5).first().threshold == 0.4995
     assert A.alert_threshold(gold.limit(0)).first().threshold is None
+
+
+def test_all_shares_come_from_the_same_passes(spark, monkeypatch):
+    rng = random.Random(8)
+    values = [rng.random() for _ in range(4000)]
+    passes, cells = [], S.Values._cells
+    monkeypatch.setattr(S.Values, "_cells", lambda self, spans, n: passes.append(len(spans)) or cells(self, spans, n))
+    shares = [0.01, 0.5, 0.9, 0.99, 0.999]
+    got = S.percentiles_exact(frame(spark, values), "s", shares, 64)
+    df = frame(spark, values)
+    assert got == [df.agg(F.percentile("s", F.lit(p))).first()[0] for p in shares]
+    assert len(passes) <= 6 and max(passes) > 1
+    assert S.percentiles_exact(frame(spark, [None]), "s", shares) == [None] * 5

@@ -68,3 +68,14 @@ def test_zscore_constant_and_single(spark):
     got = {r.transaction_id: r.amount_zscore for r in FE.amount_zscore(df).collect()}
     assert got["1"] == 0.0 and got["3"] == 0.0
     assert abs(got["4"] + 0.7071067811865475) < 1e-12 and abs(got["5"] - 0.7071067811865475) < 1e-12
+
+
+def test_shuffles_have_partitions_for_the_rows(spark):
+    from txwatch.session import shuffles_for
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    with shuffles_for(spark, 1001, 100):
+        assert int(spark.conf.get(name)) == max(11, int(before))
+    with shuffles_for(spark, 10, 100):
+        assert spark.conf.get(name) == before
+    assert spark.conf.get(name) == before

@@ -25,6 +25,8 @@ from pyspark.sql import functions as F
 
 #: Ids a bucket holds at first, on average; bits an id, and how many of them it sets (1 % false answers).
 PER_BUCKET, BITS, HASHES = 2_000_000, 10, 7
+#: Ids whose places a task holds at once.
+AT_ONCE = 1 << 16
 SEGMENTS = "segment string, n long, buckets int, replaces array<string>"
 
 
@@ -46,15 +48,19 @@ def _places(h1: np.ndarray, h2: np.ndarray, size: int) -> np.ndarray:
 def bloom(h1: np.ndarray, h2: np.ndarray) -> bytes:
     size = max(64, -(-len(h1) * BITS // 8) * 8)
     bits = np.zeros(size, bool)
-    bits[_places(h1, h2, size).ravel()] = True
+    for i in range(0, len(h1), AT_ONCE):
+        bits[_places(h1[i:i + AT_ONCE], h2[i:i + AT_ONCE], size).ravel()] = True
     return np.packbits(bits).tobytes()
 
 
 def may_hold(data: bytes, h1: np.ndarray, h2: np.ndarray) -> np.ndarray:
     """Which ids the filter may hold; an id that it holds is never missed."""
     held = np.frombuffer(data, np.uint8)
-    at = _places(h1, h2, 8 * len(held))
-    return ((held[at >> np.uint64(3)] >> (np.uint64(7) - (at & np.uint64(7))).astype(np.uint8)) & 1).all(1)
+    out = np.empty(len(h1), bool)
+    for i in range(0, len(h1), AT_ONCE):
+        at = _places(h1[i:i + AT_ONCE], h2[i:i + AT_ONCE], 8 * len(held))
+        out[i:i + AT_ONCE] = ((held[at >> np.uint64(3)] >> (np.uint64(7) - (at & np.uint64(7))).astype(np.uint8)) & 1).all(1)
+    return out
 
 
 @dataclass
@@ -100,12 +106,16 @@ class IdIndex:
         row.coalesce(1).write.mode("append").parquet(f"{self.path}/segments")
         return segment
 
-    def candidates(self, ids: DataFrame, id_col: str, segment: str, buckets: int) -> DataFrame:
-        """``id, bucket`` of the distinct ids that the segment's filters may hold."""
+    def candidates(self, ids: DataFrame, id_col: str, segment: str, buckets: int, per_bucket: int = PER_BUCKET) -> DataFrame:
+        """``id, bucket`` of the distinct ids that the segment's filters may hold. A
+        load that is larger than the segment asks each filter in several parts, so
+        that a task's ids stay about ``per_bucket``."""
+        parts = max(1, math.ceil(ids.count() / (per_bucket * buckets)))
         asked = ids.select(F.col(f"`{id_col}`").cast("string").alias("id")).where("id is not null").distinct()
         asked = asked.withColumn("bucket", _bucket(F.col("id"), buckets)).select("id", "bucket", *_hashes(F.col("id")))
         filters = self.spark.read.schema("bits binary, bucket int").parquet(f"{self.path}/filters/segment={segment}")
-        filters = filters.select("bits", F.col("bucket").alias("of"))
+        filters = filters.select("bits", F.col("bucket").alias("of"), F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("of_part"))
+        asked = asked.withColumn("part", F.pmod(F.xxhash64(F.col("id"), F.lit(3)), F.lit(parts)).cast("int"))
 
         def test(group, bits):
             if not group.num_rows or not bits.num_rows:
@@ -113,7 +123,7 @@ class IdIndex:
             h1, h2 = (group.column(c).to_numpy() for c in ("h1", "h2"))
             return group.select(["id", "bucket"]).filter(pa.array(may_hold(bits.column("bits")[0].as_py(), h1, h2)))
 
-        return asked.groupBy("bucket").cogroup(filters.groupBy("of")).applyInArrow(test, "id string, bucket int")
+        return asked.groupBy("bucket", "part").cogroup(filters.groupBy("of", "of_part")).applyInArrow(test, "id string, bucket int")
 
     def stored(self, segment: str, wanted: list[int]) -> DataFrame:
         """``id, bucket`` of the segment's wanted buckets; no other file is read."""

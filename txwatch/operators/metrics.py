@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from txwatch import schemas as S
+from txwatch.session import materialize
 
 BUCKETS = 256
 
@@ -97,12 +98,15 @@ def score_table(df: DataFrame, score: str = "score", label: str = "label",
     """Per distinct score: pos, neg and the counts strictly below it
     (pos_below, neg_below), plus totals P and N. Null scores are left out.
 
+    The counts of each distinct score are written once: bounds, bucket totals and
+    running counts read them, and the rows are scored and grouped one time only.
     A score's bucket depends on its value alone (``bucket_of``), so equal
     scores never split and repeated evaluations agree. Bucket totals get a
     prefix, and P and N, over a table of at most ``buckets`` rows (broadcast:
     a proven bound); each bucket orders only its own scores."""
     g = (df.where(F.col(score).isNotNull()).groupBy(F.col(score).cast("double").alias(score))
          .agg(F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) != 1).alias("neg")))
+    g = materialize(g, "scores", codec="zstd")
     g = g.withColumn("_bk", bucket_of(F.col(score), score_bounds(g, score, buckets)))
     bt = g.groupBy("_bk").agg(F.sum("pos").alias("_bp"), F.sum("neg").alias("_bn"))
     before = Window.orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
@@ -112,34 +116,36 @@ def score_table(df: DataFrame, score: str = "score", label: str = "label",
                    F.coalesce(F.sum("_bn").over(before), F.lit(0)).alias("_nb"),
                    F.sum("_bp").over(whole).alias("P"), F.sum("_bn").over(whole).alias("N"))
     within = Window.partitionBy("_bk").orderBy(score).rowsBetween(Window.unboundedPreceding, -1)
+    g = g.withColumns({"_pw": F.coalesce(F.sum("pos").over(within), F.lit(0)), "_nw": F.coalesce(F.sum("neg").over(within), F.lit(0))})
     return (g.join(F.broadcast(bt), "_bk")
-            .select(score, "pos", "neg",
-                    (F.col("_pb") + F.coalesce(F.sum("pos").over(within), F.lit(0))).alias("pos_below"),
-                    (F.col("_nb") + F.coalesce(F.sum("neg").over(within), F.lit(0))).alias("neg_below"),
+            .select(score, "pos", "neg", (F.col("_pb") + F.col("_pw")).alias("pos_below"), (F.col("_nb") + F.col("_nw")).alias("neg_below"),
                     "P", "N"))
 
 
+def areas(df: DataFrame, score: str = "score", label: str = "label", digits: int = 10) -> DataFrame:
+    """One row ``auc_roc, auc_pr`` from one score table (see the two functions below)."""
+    t = score_table(df, score, label)
+    num = F.sum(_d("pos") * (_d("neg_below") + _d("neg") * 0.5))
+    tp = _d("P") - _d("pos_below")
+    fp = _d("N") - _d("neg_below")
+    term = _d("pos") / _d("P") * (tp / (tp + fp))
+    a = t.agg(num.alias("num"), F.sum(F.when(F.col("pos") > 0, term)).alias("ap"), F.first("P").alias("P"), F.first("N").alias("N"))
+    return a.select(
+        F.when((F.col("P") > 0) & (F.col("N") > 0), F.col("num") / (_d("P") * _d("N"))).alias("auc_roc"),
+        F.when(F.col("P") > 0, F.round(F.col("ap").cast(f"decimal(38,{digits + 6})"), digits).cast("double")).alias("auc_pr"))
+
+
 def auc_roc(df: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
     """Area under ROC = P(score_pos > score_neg) + 1/2 P(tie); null if one
     class is missing."""
-    t = score_table(df, score, label)
-    num = F.sum(_d("pos") * (_d("neg_below") + _d("neg") * 0.5))
-    return t.agg((num / (F.first(_d("P")) * F.first(_d("N")))).alias("auc_roc"),
-                 F.first("P").alias("P"), F.first("N").alias("N")).select(
-        F.when((F.col("P") > 0) & (F.col("N") > 0), F.col("auc_roc")).alias("auc_roc"))
+    return areas(df, score, label).select("auc_roc")
 
 
 def average_precision(df: DataFrame, score: str = "score", label: str = "label",
                       digits: int = 10) -> DataFrame:
     """Σ (R_n − R_{n−1}) · P_n over distinct score thresholds (step-wise, not
     the trapezoid area), rounded to ``digits``."""
-    t = score_table(df, score, label)
-    tp = _d("P") - _d("pos_below")
-    fp = _d("N") - _d("neg_below")
-    term = _d("pos") / _d("P") * (tp / (tp + fp))
-    return t.agg(F.sum(F.when(F.col("pos") > 0, term)).alias("ap"), F.first("P").alias("P")).select(
-        F.when(F.col("P") > 0, F.round(F.col("ap").cast(f"decimal(38,{digits + 6})"), digits)
-               .cast("double")).alias("auc_pr"))
+    return areas(df, score, label, digits).select("auc_pr")
 
 
 def sweep_thresholds() -> list[tuple[int, str]]:

@@ -245,14 +245,20 @@ def gate_bronze(bronze: DataFrame) -> DataFrame:
         "row_count", bronze.agg(F.count(F.lit(1))).scalar())
 
 
-def gate_bronze_files(spark, path: str, min_files: int = 1) -> DataFrame:
+def gate_bronze_files(spark, path: str, min_files: int = 1, by_folder: bool = False) -> DataFrame:
     """Gate over the files of a written bronze layer: their number, and for
     each required column in how many files it is missing (no row of the file
-    has a value there). Files are counted by Spark, not listed on the driver."""
+    has a value there). Files are counted by Spark, not listed on the driver.
+
+    ``by_folder``: what many tasks wrote into one folder counts as one, and lacks
+    a column if any of its files does."""
     layer = spark.read.option("mergeSchema", True).parquet(path)
     required = [c for c in S.BRONZE_REQUIRED if c in layer.columns]
     per_file = layer.groupBy(F.col("_metadata.file_path").alias("file")).agg(
         *[F.count(F.col(f"`{c}`")).alias(f"_c{i}") for i, c in enumerate(required)])
+    if by_folder:
+        per_file = per_file.groupBy(F.regexp_replace("file", "/[^/]*$", "").alias("file")).agg(
+            *[F.min(f"_c{i}").alias(f"_c{i}") for i in range(len(required))])
     a = per_file.agg(F.count(F.lit(1)).alias("files"),
                      *[F.count_if(F.col(f"_c{i}") == 0).alias(f"_c{i}") for i in range(len(required))])
     rules = [("min_files", F.when(F.col("files") < min_files, 1).otherwise(0), None)]

@@ -109,12 +109,12 @@ SELECT 'min_files' AS rule, CAST(CASE WHEN files < 5 THEN 1 ELSE 0 END AS BIGINT
 
 @register("gate_bronze_files", with_layers(_FILES, "bronze").replace("\n, f AS", ",\nf AS", 1))
 def gate_bronze_files(spark, sf):
-    """The gate over written files, one a chunk, of which one lacks a column."""
+    """The gate over written files, one folder a chunk, of which one lacks a column."""
     bronze, path = ledger(spark, sf).bronze, scratch_path(spark, "bronze-files")
     for chunk in sorted(r.chunk_id for r in bronze.select("chunk_id").distinct().collect()):
         part = bronze.where(F.col("chunk_id") == chunk)
-        (part.drop("To Bank") if chunk == 1 else part).coalesce(1).write.mode("append").parquet(path)
-    return Q.gate_bronze_files(spark, path, min_files=5)
+        (part.drop("To Bank") if chunk == 1 else part).write.parquet(f"{path}/chunk={chunk}")
+    return Q.gate_bronze_files(spark, path, min_files=5, by_folder=True)
 
 
 @register("published_silver", with_layers(f"SELECT {', '.join(S.SILVER_COLUMNS)} FROM silver", "silver"))
