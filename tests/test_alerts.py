@@ -44,3 +44,21 @@ def test_status_log(spark):
     assert got == {"a1": ("CLOSED", T + dt.timedelta(hours=2)), "a2": ("OPEN", None), "a3": ("OPEN", None)}
     assert sorted((r.alert_id, r.reason) for r in rej.collect()) == [
         ("a2", "invalid_status"), ("zz", "alert_not_found")]
+
+
+def test_detail_moves_only_rows_that_an_alert_meets(spark):
+    from pyspark.sql import functions as F
+    from txwatch.operators import analytics as AN
+    from txwatch.operators.standardize import only_ids_of
+    gold = spark.range(5000).select(
+        F.when(F.col("id") % 1000 != 999, F.concat(F.lit("t"), (F.col("id") % 4000).cast("string"))).alias("transaction_id"), F.col("id").cast("double").alias("amount"),
+        F.lit("ACH").alias("payment_type"), F.lit("a").alias("sender_account_masked"), F.lit("b").alias("receiver_account_masked"),
+        F.lit("2022-09-01 00:00:00").cast("timestamp_ntz").alias("timestamp"), F.lit(0).cast("bigint").alias("is_laundering"), F.lit(0.5).alias("rule_score"))
+    scores = gold.select("transaction_id", F.lit(0.9).alias("ml_probability"), F.lit(0.9).alias("final_risk_score")).where(F.col("transaction_id") != "t7")
+    alerts = spark.createDataFrame([("x1", "t5"), ("x2", "t7"), ("x3", None), ("x4", "none"), ("x5", "t3000")], "alert_id string, transaction_id string")
+    alerts = alerts.withColumns({"risk_score": F.lit(0.5), "typology": F.lit("p"), "status": F.lit("OPEN"), "created_at": F.lit("2022-09-18 00:00:00").cast("timestamp_ntz")})
+    assert only_ids_of(gold, alerts).count() == 5  # t5 and t7 come twice
+    assert only_ids_of(gold, alerts.limit(0)).count() == 0 and only_ids_of(gold, alerts, places=1).count() == 4995
+    got = sorted((r.alert_id, r.amount, r.ml_probability, r.risk_level) for r in AN.alert_detail(alerts, gold, scores).collect() if r.amount is not None)
+    assert got == [("x1", 5.0, 0.9, "CRITICAL")] * 2 + [("x1", 4005.0, 0.9, "CRITICAL")] * 2 + [("x2", 7.0, None, "UNKNOWN"), ("x2", 4007.0, None, "UNKNOWN"), ("x5", 3000.0, 0.9, "CRITICAL")]
+    assert sorted(r.alert_id for r in AN.alert_detail(alerts, gold, scores).collect() if r.amount is None) == ["x3", "x4"]
