@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from txwatch import schemas as S
 from txwatch.functions import columns as C
+from txwatch.operators.standardize import AGAIN, with_again
 
 MASK_PATTERN = r"^\*{4}[A-Z0-9]{4}$"
 
@@ -41,16 +42,15 @@ def _per_id(df: DataFrame, id_col: str, extra: dict[str, Column]) -> DataFrame:
 
 
 def gate_silver(silver: DataFrame, min_rows: int = 6_000_000) -> DataFrame:
-    ids = _per_id(silver, "transaction_id", {
-        "_neg": F.col("amount") < 0,
-        "_badlabel": ~F.col("is_laundering").isin(0, 1) | F.col("is_laundering").isNull(),
-    })
-    a = ids.agg(
-        F.sum("_copies").alias("total"),
-        F.sum(F.when(F.col("transaction_id").isNull(), F.col("_copies"))).alias("null_id"),
-        F.sum("_neg").alias("neg"),
-        F.count_if(F.col("transaction_id").isNotNull() & (F.col("_copies") > 1)).alias("dup"),
-        F.sum("_badlabel").alias("badlabel"))
+    a = silver.agg(
+        F.count(F.lit(1)).alias("total"),
+        F.count_if(F.col("transaction_id").isNull()).alias("null_id"),
+        F.count_if(F.col("amount") < 0).alias("neg"),
+        F.count_if(~F.col("is_laundering").isin(0, 1) | F.col("is_laundering").isNull()).alias("badlabel"))
+    # the ids' hashes move, and of the ids only those that may come twice
+    ids = with_again(silver.select("transaction_id").where(F.col("transaction_id").isNotNull()))
+    twice = ids.where(F.col(AGAIN)).groupBy("transaction_id").count().where(F.col("count") > 1)
+    a = a.select("*", twice.agg(F.count(F.lit(1))).scalar().alias("dup"))
     return _rules(a, [
         ("null_transaction_id", F.col("null_id"), None),
         ("negative_amount", F.col("neg"), None),

@@ -25,18 +25,21 @@ def write_bronze(bronze: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def write_layer(df: DataFrame, path: str, partition_cols=("source", "year", "month"),
-                mode: str = "overwrite", max_records: int = 5_000_000) -> None:
+                mode: str = "overwrite", max_records: int = 5_000_000, few: int = 0, codec: str | None = None) -> None:
     """Partitioned Parquet. The rebalance hint gathers each output partition in
     few tasks, and AQE splits a partition that is too large for one (a month
-    that holds most rows); ``max_records`` bounds single files."""
+    that holds most rows); ``max_records`` bounds single files. With at most
+    ``few`` output partitions (counted first, for rows that are written already)
+    nothing moves: each task writes its rows of each of them."""
     parts = [c for c in partition_cols]
     with_parts = df
     if "year" in parts and "year" not in df.columns:
         with_parts = with_parts.withColumns({
             "year": F.year("timestamp").cast("string"),
             "month": F.lpad(F.month("timestamp").cast("string"), 2, "0")})
-    (with_parts.hint("rebalance", *parts).write.mode(mode).option("maxRecordsPerFile", max_records)
-     .partitionBy(*parts).parquet(path))
+    if not few or with_parts.select(*parts).distinct().limit(few + 1).count() > few:
+        with_parts = with_parts.hint("rebalance", *parts)
+    with_parts.write.mode(mode).option("maxRecordsPerFile", max_records).partitionBy(*parts).parquet(path, compression=codec)
 
 
 def write_features(df: DataFrame, root: str, run_date: str) -> None:

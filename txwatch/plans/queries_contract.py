@@ -117,18 +117,22 @@ def gate_bronze_files(spark, sf):
     return Q.gate_bronze_files(spark, path, min_files=5, by_folder=True)
 
 
+#: Output partitions that are written where the rows are: a year of months of one source.
+FEW = 12
+
+
 @register("published_silver", with_layers(f"SELECT {', '.join(S.SILVER_COLUMNS)} FROM silver", "silver"))
 def published_silver(spark, sf):
     """Silver as a published version: a first version, one that fails its gate, and the whole layer."""
     silver = ledger(spark, sf).silver
     layer = VersionedLayer(spark, scratch_path(spark, "published"))
-    first = layer.publish(silver.where(F.col("is_laundering") == 1), ("source", "year", "month"))
+    first = layer.publish(silver.where(F.col("is_laundering") == 1), ("source", "year", "month"), few=FEW)
     try:
-        layer.publish(silver.withColumn("amount", -F.col("amount")), ("source", "year", "month"), gate=lambda df: Q.gate_silver(df, 1), expected=first)
+        layer.publish(silver.withColumn("amount", -F.col("amount")), ("source", "year", "month"), gate=lambda df: Q.gate_silver(df, 1), expected=first, few=FEW)
     except Exception as e:  # noqa: BLE001 - the gate's own error
         if "non_negative" not in str(e) and "negative" not in str(e):
             raise
-    layer.publish(silver, ("source", "year", "month"), gate=lambda df: Q.gate_silver(df, 1), expected=first)
+    layer.publish(silver, ("source", "year", "month"), gate=lambda df: Q.gate_silver(df, 1), expected=first, few=FEW)
     return layer.read().select(*S.SILVER_COLUMNS)
 
 
