@@ -91,3 +91,34 @@ def test_gold_from_silver_without_its_derived_columns(spark):
     assert sorted(str(r.transaction_id) for r in gold.collect()) == sorted(map(str, ids))
     again = FE.gold_features(silver, block_seconds=900, derive=True)
     assert again.dtypes == gold.dtypes and sorted(map(str, again.collect())) == sorted(map(str, gold.collect()))
+
+
+@pytest.mark.parametrize("block", [7200, 86400])
+@pytest.mark.parametrize("derived", [False, True])
+def test_blocks_longer_than_the_frame(spark, block, derived):
+    """Only the end of a block is copied; rows without a time, nulls and whole-key sums are as ever."""
+    from pyspark.sql import functions as F
+    rows = fixture_rows(300, seed=5) + [("t1", "hot", None, 3.0), ("t2", "hot", None, None), ("t3", None, None, None),
+                                        ("v1", "alone", dt.datetime(2022, 9, 1, 23, 59, 59), None), ("v2", None, dt.datetime(2022, 9, 2), 5.0)]
+    df = spark.createDataFrame(rows, "id string, k string, ts timestamp_ntz, amount double")
+    money = F.col("amount").cast("decimal(24,6)")
+    frames, totals = [("n", 3600, None), ("s", 3600, "m"), ("all", None, "m")], [("ks", "m")]
+    more = {"derive": {"m": money}, "needs": ["amount"]} if derived else {}
+    rows_in = df if derived else df.withColumn("m", money)
+    want = {r.id: r for r in sliding_sums(df.withColumn("m", money), ["k"], "ts", frames, 3600, totals=totals).collect()}
+    got = {r.id: r for r in sliding_sums(rows_in, ["k"], "ts", frames, block, totals=totals, **more).collect()}
+    assert len(want) == len(rows) and got.keys() == want.keys()
+    for i, r in want.items():
+        assert all(got[i][c] == r[c] for c in ("k", "ts", "amount", "n", "s", "all", "ks")), (i, r, got[i])
+    with pytest.raises(ValueError):
+        sliding_sums(df, ["k"], "ts", [("s", 3600, "amount")], block)
+
+
+def test_auto_block_of_many_frames(spark):
+    df = spark.createDataFrame(fixture_rows(), "id string, k string, ts timestamp_ntz, amount double")
+    wide = (86400, 7200)
+    assert auto_block_seconds(df, ["k"], "ts", 3600, wide=wide) == 86400
+    busiest = max(r["count"] for r in df.selectExpr("k", "date(ts) as d").groupBy("k", "d").count().collect())
+    assert auto_block_seconds(df, ["k"], "ts", 3600, target_rows=2 * busiest, wide=wide) == 86400
+    assert auto_block_seconds(df, ["k"], "ts", 3600, target_rows=2 * busiest - 2, wide=wide) == 7200
+    assert auto_block_seconds(df, ["k"], "ts", 3600, target_rows=1, wide=wide) < 3600
