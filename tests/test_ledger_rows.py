@@ -3,6 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from txwatch.operators import ingest as I
+from txwatch.operators import quality as Q
 from txwatch.operators import standardize as ST
 from txwatch.plans import pipeline as PL
 from txwatch.sources import testdata as TD
@@ -57,6 +58,15 @@ def test_rows_are_written_once_and_read_the_same(spark, tmp_path, monkeypatch, n
     assert sum(written.values()) <= 2 * again + 1 and (n == 0 or again < kept.bronze.count() / 2)
 
 
+def test_layer_drift_builds_both_layers_from_one_table(spark, tmp_path, monkeypatch):
+    sf, names, wrote = tables(spark, tmp_path, 300), [], PL.materialize
+    monkeypatch.setattr(PL, "materialize", lambda df, name, *a, **k: (names.append((name, df.columns)), wrote(df, name, *a, **k))[1])
+    kept, plain = PL.Ledger(spark, sf), PL.Ledger(spark, sf, persist=False)
+    assert rows(Q.layer_drift(kept.bronze, kept.silver)) == rows(Q.layer_drift(plain.bronze, plain.silver))
+    assert [name for name, _ in names] == ["bronze", "silver-again", "silver-again"]
+    assert "Amount Received" not in names[0][1] and set(names[1][1]) == {"_row", "_bits"}
+
+
 def test_stored_rows_give_back_the_raw_columns(spark):
     """Every form of a time, junk, nulls; only bad rows have no hash."""
     times = ["2022-09-01 00:00:00", "2022/09/01 00:00:00", "2022-09-01 00:00", "2022-09-01T10:11:12", "2022-09-01 10:11:12.5",
